@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tillroll.functions import calendar
+
+DAYS = st.dates(date(1975, 1, 1), date(2060, 12, 31))
+SATURDAY, SUNDAY = 6, 7
+
+
+def _search(day, step, weekday):
+    while day.isoweekday() != weekday:
+        day += timedelta(days=step)
+    return day
+
+
+@given(DAYS)
+def test_python_calendar_agrees_with_searching_day_by_day(day):
+    assert calendar.last_saturday(day) == _search(day - timedelta(days=1), -1, SATURDAY)
+    assert calendar.last_sunday(day) == _search(day, -1, SUNDAY)
+    assert calendar.week_end(day) == _search(day, 1, SATURDAY)
+    assert (calendar.week_end(day) - date(1970, 1, 3)).days == 7 * calendar.week_number(day)
+
+
+@given(DAYS, st.integers(0, 60))
+def test_first_of_month_back_steps_over_months(day, months):
+    expected = day.replace(day=1)
+    for _ in range(months):
+        expected = (expected - timedelta(days=1)).replace(day=1)
+    assert calendar.first_of_month_back(day, months) == expected
+
+
+@given(DAYS)
+def test_household_weeks_start_25_weeks_after_card_weeks(day):
+    """What makes merging card bitmaps per household exact."""
+    bounds = calendar.WeeklyBounds.of(day)
+    assert bounds.household_first_week - bounds.card_first_week == timedelta(weeks=25)
+    assert bounds.fact_first_day.isoweekday() == SUNDAY
+
+
+def test_saturday_is_strict_and_sunday_is_inclusive():
+    assert calendar.last_saturday(date(2001, 7, 28)) == date(2001, 7, 21)
+    assert calendar.last_sunday(date(2001, 7, 29)) == date(2001, 7, 29)
+
+
+def test_bounds_of_the_fixture_run():
+    assert calendar.DailyBounds.of(date(2001, 8, 1)) == calendar.DailyBounds(date(1998, 12, 27), date(2001, 7, 28))
+    assert calendar.WeeklyBounds.of(date(2001, 8, 1)) == calendar.WeeklyBounds(
+        date(1998, 12, 1), date(1998, 12, 5), date(1998, 6, 13), date(1997, 12, 14), date(2001, 7, 28)
+    )
+
+
+def test_columns_agree_with_python(spark):
+    first = date(1999, 11, 1)
+    days = spark.range(1200).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("day"))
+    day = F.col("day")
+    rows = days.select(
+        "day",
+        calendar.last_saturday_of(day).alias("saturday"),
+        calendar.last_sunday_of(day).alias("sunday"),
+        calendar.week_end_of(day).alias("week_end"),
+        calendar.week_number_of(day).alias("number"),
+        calendar.week_end_of_number(calendar.week_number_of(day)).alias("from_number"),
+        F.struct(*[c.alias(n) for n, c in calendar.daily_bounds_of(day).items()]).alias("daily"),
+        F.struct(*[c.alias(n) for n, c in calendar.weekly_bounds_of(day).items()]).alias("weekly"),
+    ).collect()
+    assert len(rows) == 1200
+    for row in rows:
+        assert row.saturday == calendar.last_saturday(row.day)
+        assert row.sunday == calendar.last_sunday(row.day)
+        assert row.week_end == row.from_number == calendar.week_end(row.day)
+        assert row.number == calendar.week_number(row.day)
+        daily, weekly = calendar.DailyBounds.of(row.day), calendar.WeeklyBounds.of(row.day)
+        assert (row.daily.first_day, row.daily.last_day) == (daily.first_day, daily.last_day)
+        assert row.weekly.history_start == weekly.history_start
+        assert row.weekly.household_first_week == weekly.household_first_week
+        assert row.weekly.card_first_week == weekly.card_first_week
+        assert row.weekly.fact_first_day == weekly.fact_first_day
+
+
+def test_calendar_table_covers_the_range(spark):
+    rows = calendar.calendar_table(spark, date(2000, 12, 30), date(2001, 1, 7)).collect()
+    assert [r.date for r in rows] == [date(2000, 12, 30) + timedelta(days=i) for i in range(9)]
+    assert {r.week_end_date for r in rows} == {date(2000, 12, 30), date(2001, 1, 6), date(2001, 1, 13)}
+
+
+def test_load_stamp_does_not_depend_on_the_session_zone(spark):
+    from tillroll.functions.retail import load_stamp
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Vancouver")
+    try:
+        stamp = spark.range(1).select(load_stamp(datetime(2001, 8, 1, 4, 5, 6)).cast("string")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert stamp == "2001-08-01 04:05:06"
