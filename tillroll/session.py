@@ -14,6 +14,8 @@ def local_session(cpus: int | str = "*", name: str = "tillroll", **conf: str) ->
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the Python call site of every column costs more than planning short queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

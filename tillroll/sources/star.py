@@ -11,6 +11,18 @@ from tillroll.domain import ECOMM_SALE, IN_STORE_SALE
 from tillroll.sources.tables import GoldTables, SilverTables, read_table
 
 CURRENT = date(9999, 12, 31)
+
+# Declared, so that opening a table starts no job to look at file footers.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
 _BANNERS = ["SOF", "UF", "PSF", "BLF", "NM", "MFF", "QF", "OTH", "SOF"]
 _TYPES = ["ST", "CS", "LS", "WH", "ST"]
 
@@ -23,7 +35,9 @@ class RawTables:
         self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
 def _pick(index: Column, values: list[str]) -> Column:

@@ -28,8 +28,9 @@ class SilverTables:
     location: DataFrame
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def read_gold(spark: SparkSession, base: str) -> GoldTables:
