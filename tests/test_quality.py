@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def stored(spark):
     gold, silver = star.gold(spark, SF), star.silver(spark, SF)
-    return gold, silver, refresh.refresh_tables(gold, silver, AS_OF, sinks.scratch_folder(spark), layout={})
+    return gold, silver, refresh.Store(gold, silver, AS_OF, sinks.scratch_folder(spark), layout={}).refresh()
 
 
 def _results(report):
@@ -26,7 +26,7 @@ def _results(report):
 
 def test_report_passes_except_for_households_with_two_types(stored):
     gold, silver, tables = stored
-    report = checks.quality_report(tables, gold, silver, AS_OF)
+    report = checks.quality_report(tables, tables.get, gold, silver, AS_OF)
     results = _results(report)
     assert report.columns == quality.RESULT_COLUMNS
     assert len(results) == 26
@@ -56,7 +56,7 @@ def test_broken_tables_are_reported(stored):
         "household_transactions": tables["household_transactions"].filter("hhn > '3'"),
         "household_type": tables["household_type"].withColumn("hh_type", F.lit("Other")).distinct(),
     }
-    results = _results(checks.quality_report(broken, gold, silver, AS_OF))
+    results = _results(checks.quality_report(broken, broken.get, gold, silver, AS_OF))
     failed = {key for key, result in results.items() if result == "Fail"}
     assert {
         ("card_transactions", checks.DUPLICATE_CHECK),

@@ -418,5 +418,5 @@ def dq_row_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh and store all seven tables, then run every check on what was stored."""
     gold, silver = star.gold(spark, sf_dir), star.silver(spark, sf_dir)
-    tables = refresh.refresh_tables(gold, silver, AS_OF, sinks.scratch_folder(spark), layout={})
-    return checks.quality_report(tables, gold, silver, AS_OF)
+    store = refresh.Store(gold, silver, AS_OF, sinks.scratch_folder(spark), layout={})
+    return checks.quality_report(store.refresh(), store.table, gold, silver, AS_OF)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,3 +92,12 @@ def flags_per_week(
             for window, (newest, oldest) in windows.items()
         ],
     )
+
+
+def pack_flags(flags: Sequence[str]) -> Column:
+    """0/1 columns as the bits of one integer, in the given order."""
+    return reduce(lambda a, b: a + b, [F.when(F.col(name) == 1, 1 << i).otherwise(0) for i, name in enumerate(flags)])
+
+
+def unpack_flags(packed: str, flags: Sequence[str]) -> list[Column]:
+    return [(F.col(packed).bitwiseAND(1 << i) != 0).cast("int").alias(name) for i, name in enumerate(flags)]

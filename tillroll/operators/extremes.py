@@ -13,12 +13,16 @@ def first_last(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
 
 
 def pivot_first_last(df: DataFrame, key: str, scopes: Mapping[str, Column], suffix: str) -> DataFrame:
-    """Per key and scope the earliest first and latest last day among the rows the scope selects."""
+    """Per key and scope the earliest first and latest last day among the rows the scope selects.
+
+    ``df`` has few rows per key by now (see ``first_last``). They move to their key as they are;
+    pivoting on both sides of the shuffle would send each of them as a row of all the scopes.
+    """
     columns = []
     for scope, selected in scopes.items():
         columns.append(F.min(F.when(selected, F.col("first_day"))).alias(f"{scope}_first_{suffix}"))
         columns.append(F.max(F.when(selected, F.col("last_day"))).alias(f"{scope}_last_{suffix}"))
-    return df.groupBy(key).agg(*columns)
+    return df.repartition(key).groupBy(key).agg(*columns)
 
 
 def merge_first_last(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -21,7 +21,14 @@ from tillroll.domain import (
 )
 from tillroll.functions.calendar import WeeklyBounds
 from tillroll.functions.retail import stamped
-from tillroll.operators.activity import flags_per_week, merge_keys, weekly_bitmaps, with_history
+from tillroll.operators.activity import (
+    flags_per_week,
+    merge_keys,
+    pack_flags,
+    unpack_flags,
+    weekly_bitmaps,
+    with_history,
+)
 from tillroll.operators.versions import latest_version
 from tillroll.plans.daily_sales import financial_items
 from tillroll.sources.tables import GoldTables
@@ -103,14 +110,19 @@ def household_transactions(
     as_of: datetime,
     months: int = HISTORY_MONTHS,
 ) -> DataFrame:
-    """Household flags from the stored card table: a flag is set when any card of the household has it."""
+    """Household flags from the stored card table: a flag is set when any card of the household has it.
+
+    The twelve flags travel through both shuffles as one integer and are merged by ``bit_or``.
+    """
     bounds = WeeklyBounds.of(as_of.date(), months)
-    flags = (
+    merged = (
         card_flags.filter(F.col("week_end_date").between(bounds.household_first_week, bounds.last_day))
+        .select("card_number", "week_end_date", pack_flags(flag_columns()).alias("flags"))
         .join(household_of_card(customer_dim), "card_number")
         .groupBy("hhn", "week_end_date")
-        .agg(*[F.max(name).alias(name) for name in flag_columns()])
+        .agg(F.bit_or("flags").alias("flags"))
     )
+    flags = merged.select("hhn", "week_end_date", *unpack_flags("flags", flag_columns()))
     return stamped(flags, as_of, "dl_load_dt").select(*TABLE_COLUMNS["household_transactions"])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -115,13 +115,16 @@ def household_types_recomputed(customer_dim: DataFrame) -> DataFrame:
 
 def table_checks(
     name: str,
-    tables: Mapping[str, DataFrame],
+    df: DataFrame,
+    stored: Callable[[str], DataFrame],
     gold: GoldTables,
     silver: SilverTables,
     as_of: datetime,
 ) -> dict[str, DataFrame]:
-    """Verdicts (one row each) of the checks that belong to one table, by check name."""
-    df = tables[name]
+    """Verdicts (one row each) of the checks that belong to one table, by check name.
+
+    ``stored`` opens other stored tables that a check compares with.
+    """
     duplicate_check = SHOP_DATES_DUPLICATE_CHECK if name.endswith("shop_dates") else DUPLICATE_CHECK
     checks = {
         COLUMN_CHECK: quality.column_check(df, TABLE_COLUMNS[name]),
@@ -144,7 +147,7 @@ def table_checks(
         source = sold_to(gold, as_of, "current_household_id").withColumnRenamed("current_household_id", "hhn")
         checks[HOUSEHOLD_COUNT_CHECK] = quality.passed_if(quality.reconcile(source, df, ["hhn"]), same_count)
     elif name == "household_transactions":
-        source = households_of_active_cards(tables["card_transactions"], gold.customer_dim, as_of)
+        source = households_of_active_cards(stored("card_transactions"), gold.customer_dim, as_of)
         checks[HOUSEHOLD_COVERAGE_CHECK] = quality.passed_if_empty(quality.missing_in_target(source, df, ["hhn"]))
     elif name == "card_shop_dates":
         source = identified_card_numbers(silver.customer)
@@ -165,15 +168,16 @@ def table_checks(
 
 def quality_report(
     tables: Mapping[str, DataFrame],
+    stored: Callable[[str], DataFrame],
     gold: GoldTables,
     silver: SilverTables,
     as_of: datetime,
 ) -> DataFrame:
-    """All checks of all tables as one DataFrame, one row per check."""
+    """All checks of the given tables as one DataFrame, one row per check."""
     return quality.report(
         [
             quality.result_row(verdict, REPORT_NAMES[name], check, as_of)
-            for name in tables
-            for check, verdict in table_checks(name, tables, gold, silver, as_of).items()
+            for name, df in tables.items()
+            for check, verdict in table_checks(name, df, stored, gold, silver, as_of).items()
         ]
     )

@@ -1,41 +1,71 @@
-"""Full refresh: build all seven tables and store them, each from the stored result before it."""
+"""Full refresh of the seven tables: each is rebuilt on its own, from inputs and stored tables."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.domain import TABLE_PARTITIONS
+from tillroll.domain import TABLE_COLUMNS, TABLE_PARTITIONS
 from tillroll.plans import activity, daily_sales, household_types, shop_dates
-from tillroll.sources.sinks import stored
-from tillroll.sources.tables import GoldTables, SilverTables
+from tillroll.sources.sinks import full_refresh
+from tillroll.sources.tables import GoldTables, SilverTables, read_table
 
 
-def refresh_tables(
-    gold: GoldTables,
-    silver: SilverTables,
-    as_of: datetime,
-    base: str,
-    layout: Mapping[str, str] = TABLE_PARTITIONS,
-) -> dict[str, DataFrame]:
-    """Write every table below ``base`` and return scans of what was written.
+@dataclass(frozen=True)
+class Store:
+    """The stored tables below one folder, next to the inputs they are built from.
 
     ``layout`` names the storage partition column of a table; tables it leaves out are not partitioned.
     """
-    tables: dict[str, DataFrame] = {}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = stored(df, f"{base}/{name}", layout.get(name))
-        return tables[name]
-
-    customers = gold.customer_dim
-    card_daily = store("pos_daily_agg_card", daily_sales.pos_daily_agg_card(gold, as_of))
-    store("pos_daily_agg_hhn", daily_sales.pos_daily_agg_hhn(card_daily, customers, as_of))
-    card_dates = store("card_shop_dates", shop_dates.card_shop_dates(silver, as_of))
-    store("household_shop_dates", shop_dates.household_shop_dates(card_dates, customers, as_of))
-    card_flags = store("card_transactions", activity.card_transactions(gold, as_of))
-    store("household_transactions", activity.household_transactions(card_flags, customers, as_of))
-    store("household_type", household_types.household_type(customers, as_of))
-    return tables
+
+    gold: GoldTables
+    silver: SilverTables
+    as_of: datetime
+    base: str
+    layout: Mapping[str, str] = field(default_factory=lambda: TABLE_PARTITIONS)
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.gold.customer_dim.sparkSession
+
+    def path(self, name: str) -> str:
+        return f"{self.base}/{name}"
+
+    def table(self, name: str) -> DataFrame:
+        """A stored table. Storage moves the partition column to the end, so the order is restored;
+        columns that are not expected stay visible at the end for the column check to find."""
+        df = read_table(self.spark, self.path(name))
+        expected = [column for column in TABLE_COLUMNS[name] if column in df.columns]
+        return df.select(*expected, *[column for column in df.columns if column not in expected])
+
+    def refresh(self, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        """Rebuild and store the named tables (all by default), in the order they depend on each other."""
+        wanted = set(BUILDERS if names is None else names)
+        unknown = wanted - set(BUILDERS)
+        if unknown:
+            raise ValueError(f"unknown tables: {sorted(unknown)}")
+        for name, build in BUILDERS.items():
+            if name in wanted:
+                full_refresh(build(self), self.path(name), self.layout.get(name))
+        return {name: self.table(name) for name in BUILDERS if name in wanted}
+
+
+# In dependency order: household tables are built from the stored card tables.
+BUILDERS: dict[str, Callable[[Store], DataFrame]] = {
+    "pos_daily_agg_card": lambda store: daily_sales.pos_daily_agg_card(store.gold, store.as_of),
+    "pos_daily_agg_hhn": lambda store: daily_sales.pos_daily_agg_hhn(
+        store.table("pos_daily_agg_card"), store.gold.customer_dim, store.as_of
+    ),
+    "card_shop_dates": lambda store: shop_dates.card_shop_dates(store.silver, store.as_of),
+    "household_shop_dates": lambda store: shop_dates.household_shop_dates(
+        store.table("card_shop_dates"), store.gold.customer_dim, store.as_of
+    ),
+    "card_transactions": lambda store: activity.card_transactions(store.gold, store.as_of),
+    "household_transactions": lambda store: activity.household_transactions(
+        store.table("card_transactions"), store.gold.customer_dim, store.as_of
+    ),
+    "household_type": lambda store: household_types.household_type(store.gold.customer_dim, store.as_of),
+}
