@@ -283,6 +283,17 @@ CTES["household_types"] = f"""
 SELECT DISTINCT hhn, {_type_case('card_type', 'card_type_count > 1')} AS hh_type FROM card_type_counts"""
 
 
+CTES["types_per_household"] = """
+SELECT hhn, COUNT(card_type) AS n_types, MIN(card_type) AS some_type, BOOL_OR(card_type IS NULL) AS missing
+FROM household_card_types GROUP BY hhn"""
+
+# The same by grouping instead of windowing.
+CTES["household_types_grouped"] = f"""
+SELECT hhn, 'Other' AS hh_type FROM types_per_household WHERE n_types > 1
+UNION ALL SELECT hhn, {_type_case('some_type', 'FALSE')} FROM types_per_household WHERE n_types = 1
+UNION ALL SELECT hhn, NULL FROM types_per_household WHERE n_types = 0 OR (n_types = 1 AND missing)"""
+
+
 def _needed(names: list[str]) -> list[str]:
     """The named CTEs and everything they read, in definition order."""
     pending, found = list(names), set()
@@ -523,9 +534,14 @@ FROM (SELECT 1) one""".replace(
     ),
     "dq_row_mismatch": _sql(
         """
-SELECT COUNT(*) AS source_rows, COUNT(*) AS target_rows,
-       CAST(0 AS BIGINT) AS only_in_source, CAST(0 AS BIGINT) AS only_in_target FROM household_types""",
+SELECT (SELECT COUNT(*) FROM household_types_grouped) AS source_rows,
+       (SELECT COUNT(*) FROM household_types) AS target_rows,
+       (SELECT COUNT(*) FROM (SELECT * FROM household_types_grouped EXCEPT SELECT * FROM household_types) a)
+           AS only_in_source,
+       (SELECT COUNT(*) FROM (SELECT * FROM household_types EXCEPT SELECT * FROM household_types_grouped) b)
+           AS only_in_target""",
         "household_types",
+        "household_types_grouped",
     ),
 }
 
@@ -640,7 +656,11 @@ ORACLES["dq_report"] = _sql(
                 "SELECT current_household_id FROM customer_dim WHERE card_number <> '0' AND current_household_id <> '0'"
                 " EXCEPT SELECT hhn FROM household_shop_dates",
             ),
-            _check("Gold_Household_Type", "Household Type Check", "TRUE"),
+            _empty_check(
+                "Gold_Household_Type",
+                "Household Type Check",
+                "SELECT * FROM household_types EXCEPT SELECT * FROM household_types_grouped",
+            ),
         ]
     ),
     *[name for name in CTES],

@@ -88,6 +88,12 @@ def test_null_counts_and_duplicates(spark):
     assert [(r.a, r.b, r.cnt) for r in quality.duplicate_keys(df, ["a", "b"]).collect()] == [(None, 1, 2)]
 
 
+def test_row_checks_share_one_pass(spark):
+    df = spark.createDataFrame([(1, None), (2, 5)], "a int, b int")
+    verdicts = quality.row_checks(df, {"a null": quality.any_null(["a"]), "b null": quality.any_null(["a", "b"])})
+    assert {r.test_case_name: r.test_result for r in verdicts.collect()} == {"a null": "Pass", "b null": "Fail"}
+
+
 def test_implication_counts(spark):
     df = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (0, 0, 1), (1, None, 1)], "p int, c int, other int")
     rows = quality.implication_counts(df, {"p": "c", "other": "p"}).collect()

@@ -22,6 +22,14 @@ def test_full_refresh_replaces_rows_and_schema(spark, tmp_path):
     assert _rows(tables.read_table(spark, path).select("b", "c")) == [("x", 1)]
 
 
+def test_any_installed_table_format_will_do(spark, tmp_path):
+    path = str(tmp_path / "t")
+    back = sinks.stored(spark.range(3).toDF("a"), path, fmt="orc")
+    assert glob.glob(f"{path}/*.orc") and _rows(back) == [(0,), (1,), (2,)]
+    assert sinks.publish(spark, "shop_test", "orc_table", path, fmt="orc").count() == 3
+    spark.sql("DROP DATABASE shop_test CASCADE")
+
+
 def test_partitioned_table_reads_only_the_dates_asked_for(spark, tmp_path):
     path = str(tmp_path / "t")
     days = spark.range(40).select(F.date_add(F.lit(date(2001, 1, 1)), (F.col("id") % 4).cast("int")).alias("day"), "id")
@@ -62,8 +70,8 @@ def test_publish_creates_an_external_table_again_and_again(spark, tmp_path):
 
 def test_report_is_appended_as_one_csv_with_header(spark, tmp_path):
     executed = datetime(2001, 8, 1, 6, 7, 8)
-    verdict = quality.passed_if_empty(spark.range(0))
-    report = quality.report([quality.result_row(verdict, "t", name, executed) for name in ("one", "two")])
+    verdicts = [quality.passed_if_empty(name, spark.range(0)) for name in ("one", "two")]
+    report = quality.report({"t": verdicts}, executed)
     path = sinks.append_report(report, str(tmp_path), executed)
     assert path == f"{tmp_path}/2001/08/01/test_results_20010801.csv"
     assert len(glob.glob(f"{path}/part-*.csv")) == 1

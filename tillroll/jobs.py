@@ -2,6 +2,7 @@
 
     spark-submit --py-files ... tillroll/jobs.py --gold <folder> --silver <folder> --out <folder>
         [--as-of 2001-08-01T06:00:00] [--tables card_transactions ...] [--report <folder>] [--publish]
+        [--format parquet]
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def refresh_and_check(
     refreshed = store.refresh(names)
     if publish:
         for name in refreshed:
-            sinks.publish(store.spark, DATABASES[name], name, store.path(name))
+            sinks.publish(store.spark, DATABASES[name], name, store.path(name), store.fmt)
     stored = {name: store.table(name) for name in refreshed}
     # The report is a handful of rows: stored once, then both appended to the log and judged.
     folder = sinks.scratch_folder(store.spark)
@@ -57,10 +58,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--tables", nargs="+", choices=list(BUILDERS), help="default: all")
     parser.add_argument("--report", help="folder for the check reports")
     parser.add_argument("--publish", action="store_true", help="(re-)create the catalog tables")
+    parser.add_argument("--format", default="parquet", help="format of input and output tables")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("tillroll").getOrCreate()
     as_of = args.as_of or pacific_now()
-    store = Store(read_gold(spark, args.gold), read_silver(spark, args.silver), as_of, args.out)
+    gold, silver = read_gold(spark, args.gold, args.format), read_silver(spark, args.silver, args.format)
+    store = Store(gold, silver, as_of, args.out, fmt=args.format)
     refresh_and_check(store, args.tables, args.report, args.publish)
 
 

@@ -75,35 +75,40 @@ def reconcile(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> D
     )
 
 
-def passed_if_empty(violations: DataFrame) -> DataFrame:
-    return violations.agg(_verdict(F.count("*") == 0))
+def passed_if_empty(name: str, violations: DataFrame) -> DataFrame:
+    return passed_if(name, violations.agg(F.count("*").alias("_found")), F.col("_found") == 0)
 
 
-def passed_if(counts: DataFrame, condition: Column) -> DataFrame:
+def passed_if(name: str, counts: DataFrame, condition: Column) -> DataFrame:
     """Verdict from a one-row DataFrame."""
-    return counts.select(_verdict(condition))
+    return counts.select(F.lit(name).alias("test_case_name"), _verdict(condition))
 
 
-def column_check(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+def row_checks(df: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
+    """Verdicts of any number of row-level checks from a single pass over the table."""
+    counts = df.agg(*[F.count_if(broken).alias(name) for name, broken in violations.items()])
+    found = counts.unpivot([], list(violations), "test_case_name", "_found")
+    return found.select("test_case_name", _verdict(F.col("_found") == 0))
+
+
+def column_check(name: str, df: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Verdict on names and order of the columns; decided from the schema, no data is read."""
-    return df.sparkSession.range(1).select(_verdict(F.lit(df.columns == list(expected))))
+    return passed_if(name, df.sparkSession.range(1), F.lit(df.columns == list(expected)))
 
 
 def _verdict(condition: Column) -> Column:
     return F.when(condition, "Pass").otherwise("Fail").alias("test_result")
 
 
-def result_row(verdict: DataFrame, table_name: str, test_case_name: str, executed: datetime) -> DataFrame:
-    return verdict.select(
-        F.lit(table_name).alias("table_name"),
-        "test_result",
-        F.lit(test_case_name).alias("test_case_name"),
-        F.lit(executed.strftime("%Y-%m-%d %H:%M:%S")).alias("execution_date"),
-    )
-
-
-def report(results: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, results)
+def report(verdicts: Mapping[str, Sequence[DataFrame]], executed: datetime) -> DataFrame:
+    """Verdicts of all tables, by table name, as one DataFrame with a row per check."""
+    rows = [
+        verdict.withColumn("table_name", F.lit(table_name))
+        for table_name, frames in verdicts.items()
+        for verdict in frames
+    ]
+    stamp = F.lit(executed.strftime("%Y-%m-%d %H:%M:%S"))
+    return reduce(DataFrame.unionByName, rows).withColumn("execution_date", stamp).select(*RESULT_COLUMNS)
 
 
 class QualityGateError(RuntimeError):

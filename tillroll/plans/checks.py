@@ -120,50 +120,52 @@ def table_checks(
     gold: GoldTables,
     silver: SilverTables,
     as_of: datetime,
-) -> dict[str, DataFrame]:
-    """Verdicts (one row each) of the checks that belong to one table, by check name.
+) -> list[DataFrame]:
+    """Verdicts of the checks that belong to one table.
 
     ``stored`` opens other stored tables that a check compares with.
     """
     duplicate_check = SHOP_DATES_DUPLICATE_CHECK if name.endswith("shop_dates") else DUPLICATE_CHECK
-    checks = {
-        COLUMN_CHECK: quality.column_check(df, TABLE_COLUMNS[name]),
-        duplicate_check: quality.passed_if_empty(quality.duplicate_keys(df, TABLE_KEYS[name])),
-    }
-    same_count = F.col("source_rows") == F.col("target_rows")
-
+    verdicts = [
+        quality.column_check(COLUMN_CHECK, df, TABLE_COLUMNS[name]),
+        quality.passed_if_empty(duplicate_check, quality.duplicate_keys(df, TABLE_KEYS[name])),
+    ]
     if name.startswith("pos_daily"):
-        checks[SCAN_NULL_CHECK] = quality.passed_if_empty(df.filter(quality.any_null(["scan"])))
-    if name.endswith("transactions"):
-        checks[FLAG_NULL_CHECK] = quality.passed_if_empty(df.filter(quality.any_null(flag_columns())))
-        checks[FLAG_VALUE_CHECK] = quality.passed_if_empty(df.filter(quality.broken_implication(FLAG_IMPLICATIONS)))
+        verdicts.append(quality.row_checks(df, {SCAN_NULL_CHECK: quality.any_null(["scan"])}))
+    elif name.endswith("transactions"):
+        verdicts.append(
+            quality.row_checks(
+                df,
+                {
+                    FLAG_NULL_CHECK: quality.any_null(flag_columns()),
+                    FLAG_VALUE_CHECK: quality.broken_implication(FLAG_IMPLICATIONS),
+                },
+            )
+        )
+
+    def covers(check: str, source: DataFrame, key: str) -> DataFrame:
+        return quality.passed_if_empty(check, quality.missing_in_target(source, df, [key]))
 
+    same_count = F.col("source_rows") == F.col("target_rows")
+    customers = gold.customer_dim
     if name == "pos_daily_agg_card":
-        sides = quality.reconcile(
-            sold_to(gold, as_of, "card_number"), cards_in(df, gold.customer_dim), ["card_number"]
-        )
-        checks[CARD_COUNT_CHECK] = quality.passed_if(sides, same_count)
+        sides = quality.reconcile(sold_to(gold, as_of, "card_number"), cards_in(df, customers), ["card_number"])
+        verdicts.append(quality.passed_if(CARD_COUNT_CHECK, sides, same_count))
     elif name == "pos_daily_agg_hhn":
         source = sold_to(gold, as_of, "current_household_id").withColumnRenamed("current_household_id", "hhn")
-        checks[HOUSEHOLD_COUNT_CHECK] = quality.passed_if(quality.reconcile(source, df, ["hhn"]), same_count)
+        verdicts.append(quality.passed_if(HOUSEHOLD_COUNT_CHECK, quality.reconcile(source, df, ["hhn"]), same_count))
     elif name == "household_transactions":
-        source = households_of_active_cards(stored("card_transactions"), gold.customer_dim, as_of)
-        checks[HOUSEHOLD_COVERAGE_CHECK] = quality.passed_if_empty(quality.missing_in_target(source, df, ["hhn"]))
+        source = households_of_active_cards(stored("card_transactions"), customers, as_of)
+        verdicts.append(covers(HOUSEHOLD_COVERAGE_CHECK, source, "hhn"))
     elif name == "card_shop_dates":
-        source = identified_card_numbers(silver.customer)
-        checks[CARD_DATES_COVERAGE_CHECK] = quality.passed_if_empty(
-            quality.missing_in_target(source, df, ["card_number"])
-        )
+        verdicts.append(covers(CARD_DATES_COVERAGE_CHECK, identified_card_numbers(silver.customer), "card_number"))
     elif name == "household_shop_dates":
-        source = identified_households(gold.customer_dim)
-        checks[HOUSEHOLD_DATES_COVERAGE_CHECK] = quality.passed_if_empty(
-            quality.missing_in_target(source, df, ["hhn"])
-        )
+        verdicts.append(covers(HOUSEHOLD_DATES_COVERAGE_CHECK, identified_households(customers), "hhn"))
     elif name == "household_type":
-        sides = quality.reconcile(household_types_recomputed(gold.customer_dim), df, ["hhn", "hh_type"])
+        sides = quality.reconcile(household_types_recomputed(customers), df, ["hhn", "hh_type"])
         agree = (F.col("only_in_source") == 0) & (F.col("only_in_target") == 0)
-        checks[HOUSEHOLD_TYPE_CHECK] = quality.passed_if(sides, agree)
-    return checks
+        verdicts.append(quality.passed_if(HOUSEHOLD_TYPE_CHECK, sides, agree))
+    return verdicts
 
 
 def quality_report(
@@ -174,10 +176,7 @@ def quality_report(
     as_of: datetime,
 ) -> DataFrame:
     """All checks of the given tables as one DataFrame, one row per check."""
-    return quality.report(
-        [
-            quality.result_row(verdict, REPORT_NAMES[name], check, as_of)
-            for name, df in tables.items()
-            for check, verdict in table_checks(name, df, stored, gold, silver, as_of).items()
-        ]
-    )
+    verdicts = {
+        REPORT_NAMES[name]: table_checks(name, df, stored, gold, silver, as_of) for name, df in tables.items()
+    }
+    return quality.report(verdicts, as_of)

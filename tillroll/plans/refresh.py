@@ -26,6 +26,7 @@ class Store:
     as_of: datetime
     base: str
     layout: Mapping[str, str] = field(default_factory=lambda: TABLE_PARTITIONS)
+    fmt: str = "parquet"
 
     @property
     def spark(self) -> SparkSession:
@@ -37,7 +38,7 @@ class Store:
     def table(self, name: str) -> DataFrame:
         """A stored table. Storage moves the partition column to the end, so the order is restored;
         columns that are not expected stay visible at the end for the column check to find."""
-        df = read_table(self.spark, self.path(name))
+        df = read_table(self.spark, self.path(name), fmt=self.fmt)
         expected = [column for column in TABLE_COLUMNS[name] if column in df.columns]
         return df.select(*expected, *[column for column in df.columns if column not in expected])
 
@@ -49,7 +50,7 @@ class Store:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         for name, build in BUILDERS.items():
             if name in wanted:
-                full_refresh(build(self), self.path(name), self.layout.get(name))
+                full_refresh(build(self), self.path(name), self.layout.get(name), self.fmt)
         return {name: self.table(name) for name in BUILDERS if name in wanted}
 
 

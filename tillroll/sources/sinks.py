@@ -9,25 +9,28 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.tables import read_table
 
-def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+
+def full_refresh(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = "parquet") -> None:
     """Replace the table at ``path``, schema included.
 
     A partitioned table is first rebalanced on its partition column: a date gets few large files,
     and a date with very many rows is split over several tasks instead of landing in one.
     """
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write
     else:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).mode("overwrite").parquet(path)
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+    writer.format(fmt).mode("overwrite").option("overwriteSchema", True).save(path)
 
 
-def publish(spark: SparkSession, database: str, table: str, path: str) -> DataFrame:
+def publish(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> DataFrame:
     """(Re-)create an external catalog table over the files at ``path``."""
     name = f"{database}.{table}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    spark.catalog.createTable(name, path=path, source=fmt)
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
@@ -59,8 +62,8 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Write a table and hand back a scan of it, so later steps neither recompute it nor depend on
     blocks held by an executor. Column order is kept (partition columns otherwise move to the end)."""
-    full_refresh(df, path, partition_by)
-    return df.sparkSession.read.parquet(path).select(*[F.col(name) for name in df.columns])
+    full_refresh(df, path, partition_by, fmt)
+    return read_table(df.sparkSession, path, fmt=fmt).select(*[F.col(name) for name in df.columns])

@@ -1,4 +1,7 @@
-"""The input tables of the jobs, read from Parquet."""
+"""The input tables of the jobs.
+
+Parquet by default; any file-based table format installed on the cluster can be named instead.
+"""
 
 from __future__ import annotations
 
@@ -28,14 +31,14 @@ class SilverTables:
     location: DataFrame
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet") -> DataFrame:
+    reader = spark.read.format(fmt)
+    return (reader if schema is None else reader.schema(schema)).load(path)
 
 
-def read_gold(spark: SparkSession, base: str) -> GoldTables:
-    return GoldTables(**{f.name: read_table(spark, f"{base}/{f.name}") for f in fields(GoldTables)})
+def read_gold(spark: SparkSession, base: str, fmt: str = "parquet") -> GoldTables:
+    return GoldTables(**{f.name: read_table(spark, f"{base}/{f.name}", fmt=fmt) for f in fields(GoldTables)})
 
 
-def read_silver(spark: SparkSession, base: str) -> SilverTables:
-    return SilverTables(**{f.name: read_table(spark, f"{base}/{f.name}") for f in fields(SilverTables)})
+def read_silver(spark: SparkSession, base: str, fmt: str = "parquet") -> SilverTables:
+    return SilverTables(**{f.name: read_table(spark, f"{base}/{f.name}", fmt=fmt) for f in fields(SilverTables)})
