@@ -4,13 +4,15 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests import semi_join_formulation
 from tests.small_tables import CURRENT, ECOMM, IN_STORE, STORES, gold, sale
 from tillroll.domain import ACTIVITY_WINDOWS, BANNER_GROUPS, FLAG_CHANNELS, LOCATION_TYPES, TABLE_COLUMNS, flag_columns
 from tillroll.functions.calendar import WeeklyBounds, week_end
-from tillroll.operators.activity import flags_per_week
+from tillroll.operators.activity import flags_per_week, weekly_bitmaps, with_history
 from tillroll.operators.spans import flag_in_window, spread_weeks
 from tillroll.plans.activity import card_transactions, household_transactions, household_transactions_from_sales
 
@@ -159,6 +161,36 @@ def test_windows_beyond_the_history_are_refused(spark):
         flags_per_week(empty, "k", "visits", ["s"], {"long": (0, 33)}, date(2001, 1, 6), date(2001, 2, 3))
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    weeks=st.lists(st.integers(-70, 200), min_size=1, max_size=12),
+    windows=st.lists(st.tuples(st.integers(0, 32), st.integers(0, 32)), min_size=1, max_size=3),
+    first=st.integers(-80, 100),
+    length=st.integers(0, 150),
+)
+def test_bitmap_flags_for_any_windows(spark, weeks, windows, first, length):
+    """Weeks around 1970 as well, so that block borders and negative week numbers are met."""
+    origin = date(1970, 1, 3)
+    windows = {f"w{i}": (min(pair), max(pair)) for i, pair in enumerate(windows)}
+    lookback = max(oldest for _, oldest in windows.values())
+    events = spark.createDataFrame([("a", origin + _weeks(w) - timedelta(days=abs(w) % 7)) for w in weeks], "k string, day date")
+    odd = F.dayofyear("day") % 2 == 1
+    series = {"any": F.lit(True), "odd": odd}
+    histories = with_history(weekly_bitmaps(events, "k", "day", series), "k", list(series))
+    found = flags_per_week(histories, "k", "any", ["odd"], windows, origin + _weeks(first), origin + _weeks(first + length))
+    flagged = {w for w in weeks if (origin + _weeks(w) - timedelta(days=abs(w) % 7)).timetuple().tm_yday % 2}
+    expected = {
+        week: [int(any(week - oldest <= w <= week - newest for w in flagged)) for newest, oldest in windows.values()]
+        for week in range(first, first + length + 1)
+        if any(week - lookback <= w <= week for w in weeks)
+    }
+    rows = found.collect()
+    assert len(rows) == len(expected)
+    assert {
+        (r.week_end_date - origin).days // 7: [r[f"odd_{name}_flag"] for name in windows] for r in rows
+    } == expected
+
+
 def test_spread_weeks_fills_gaps_once(spark):
     w = date(2001, 1, 6)
     own = spark.createDataFrame([("a", w), ("a", w), ("a", w + _weeks(2)), ("a", w + _weeks(9)), ("b", w)], "k string, week date")

@@ -40,6 +40,10 @@ def _raw(spark: SparkSession, sf_dir: str) -> star.RawTables:
     return star.RawTables(spark, sf_dir)
 
 
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.customer_dim(_raw(spark, sf_dir))
+
+
 def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir).orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("run_date"))
 
@@ -67,7 +71,7 @@ def card_shop_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def household_shop_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     card_dates = shop_dates.card_shop_dates(star.silver(spark, sf_dir), AS_OF)
-    return shop_dates.household_shop_dates(card_dates, star.gold(spark, sf_dir).customer_dim, AS_OF)
+    return shop_dates.household_shop_dates(card_dates, _customers(spark, sf_dir), AS_OF)
 
 
 @query
@@ -88,7 +92,7 @@ def household_transactions_from_sales(spark: SparkSession, sf_dir: str) -> DataF
 
 @query
 def household_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return household_types.household_type(star.gold(spark, sf_dir).customer_dim, AS_OF)
+    return household_types.household_type(_customers(spark, sf_dir), AS_OF)
 
 
 # --- projections, filters, expressions --------------------------------------------------------
@@ -102,7 +106,7 @@ def project_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retail.stamped(star.gold(spark, sf_dir).customer_dim, AS_OF, "dl_load_dt", "dl_update_dt")
+    return retail.stamped(_customers(spark, sf_dir), AS_OF, "dl_load_dt", "dl_update_dt")
 
 
 @query
@@ -120,7 +124,7 @@ def filter_financial_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_sentinel_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.identified_cards(star.gold(spark, sf_dir).customer_dim)
+    return activity.identified_cards(_customers(spark, sf_dir))
 
 
 @query
@@ -141,7 +145,7 @@ def channel_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def hh_type_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     card_type = retail.recode(F.col("current_card_type"), domain.CARD_TYPE_ALIASES)
-    return star.gold(spark, sf_dir).customer_dim.select(
+    return _customers(spark, sf_dir).select(
         "customer_hk", "current_card_type", retail.household_type(card_type, F.lit(1)).alias("hh_type")
     )
 
@@ -227,11 +231,14 @@ def join_left_register(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _card_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Qualifying sales of identified cards with the week they fall in."""
+    """Days on which identified cards made qualifying sales, by banner and channel, with their week.
+
+    Sales shrink to such days per customer version before customers are joined."""
     gold = star.gold(spark, sf_dir)
     bounds = calendar.WeeklyBounds.of(AS_OF.date())
     cards = activity.identified_cards(gold.customer_dim).select("customer_hk", "card_number")
-    sales = activity.weekly_facts(gold, bounds).join(cards, "customer_hk")
+    days = ["customer_hk", "fiscal_date", "current_banner_short_name", "ecomm_flag"]
+    sales = activity.weekly_facts(gold, bounds).select(*days).distinct().join(cards, "customer_hk")
     return sales.withColumn("week_end_date", calendar.week_end_of(F.col("fiscal_date")))
 
 
@@ -309,7 +316,7 @@ def join_latest_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT w.card_number, w.week_end_date, n.hhn
         FROM {weeks} w JOIN newest n ON w.card_number = n.card_number AND n.version = 1
         """,
-        versions=star.gold(spark, sf_dir).customer_dim,
+        versions=_customers(spark, sf_dir),
         weeks=_shopping_weeks(_card_sales(spark, sf_dir)),
     )
 
@@ -332,12 +339,12 @@ def agg_sum_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd_latest_by_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity.household_of_card(star.gold(spark, sf_dir).customer_dim)
+    return activity.household_of_card(_customers(spark, sf_dir))
 
 
 @query
 def scd_latest_by_card_household(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = star.gold(spark, sf_dir).customer_dim
+    customers = _customers(spark, sf_dir)
     return latest_version(customers, ["card_number", "current_household_id"], tie_breakers=["customer_hk"])
 
 
@@ -353,7 +360,7 @@ def scd_latest_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def window_count_card_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = household_types.household_card_types(star.gold(spark, sf_dir).customer_dim)
+    types = household_types.household_card_types(_customers(spark, sf_dir))
     return household_types.with_card_type_count(types)
 
 
@@ -371,7 +378,7 @@ def sink_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = household_types.household_types(star.gold(spark, sf_dir).customer_dim)
+    types = household_types.household_types(_customers(spark, sf_dir))
     return quality.duplicate_keys(types, domain.TABLE_KEYS["household_type"])
 
 
@@ -409,7 +416,7 @@ def dq_distinct_count_recon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_row_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = star.gold(spark, sf_dir).customer_dim
+    customers = _customers(spark, sf_dir)
     recomputed = checks.household_types_recomputed(customers)
     return quality.reconcile(recomputed, household_types.household_types(customers), ["hhn", "hh_type"])
 
