@@ -29,7 +29,8 @@ def _run(inputs, out, *extra):
 
 def test_tables_are_refreshed_one_by_one_checked_and_published(spark, inputs, tmp_path):
     out, report = str(tmp_path / "out"), str(tmp_path / "report")
-    _run(inputs, out, "--tables", "card_transactions", "--report", report)
+    _run(inputs, out, "--tables", "card_transactions", "--steps", "refresh")
+    _run(inputs, out, "--tables", "card_transactions", "--steps", "check", "--report", report)
     _run(inputs, out, "--tables", "household_transactions", "--report", report, "--publish")
     published = spark.table("customer.household_transactions")
     assert set(published.columns) == set(TABLE_COLUMNS["household_transactions"])
@@ -47,6 +48,16 @@ def test_failed_check_fails_the_job_after_the_report_is_written(spark, inputs, t
     assert log.filter("test_result = 'Fail'").count() == 1
 
 
+def test_damaged_table_is_found_by_checking_alone(spark, inputs, tmp_path):
+    out = str(tmp_path / "out")
+    _run(inputs, out, "--tables", "card_shop_dates", "--steps", "refresh")
+    sound = spark.read.parquet(f"{out}/card_shop_dates")
+    sinks.full_refresh(sound.filter("card_number <> '7'").withColumn("extra", sound["dl_load_dt"]), f"{tmp_path}/bad/card_shop_dates")
+    _run(inputs, out, "--tables", "card_shop_dates", "--steps", "check")
+    with pytest.raises(QualityGateError, match="Column Def Check.*Verifying"):
+        _run(inputs, f"{tmp_path}/bad", "--tables", "card_shop_dates", "--steps", "check")
+
+
 def test_unknown_table_is_refused(spark, tmp_path):
     store = Store(star.gold(spark, SF), star.silver(spark, SF), AS_OF, str(tmp_path))
     with pytest.raises(ValueError, match="receipts"):

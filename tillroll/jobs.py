@@ -2,7 +2,7 @@
 
     spark-submit --py-files ... tillroll/jobs.py --gold <folder> --silver <folder> --out <folder>
         [--as-of 2001-08-01T06:00:00] [--tables card_transactions ...] [--report <folder>] [--publish]
-        [--format parquet]
+        [--steps refresh check] [--format parquet]
 """
 
 from __future__ import annotations
@@ -29,24 +29,25 @@ def pacific_now() -> datetime:
     return datetime.now(ZoneInfo("America/Los_Angeles")).replace(microsecond=0, tzinfo=None)
 
 
-def refresh_and_check(
-    store: Store,
-    names: Sequence[str] | None = None,
-    report_base: str | None = None,
-    publish: bool = False,
-) -> None:
-    """Refresh the named tables and publish them, then check what is stored and fail on a failed check."""
-    refreshed = store.refresh(names)
-    if publish:
-        for name in refreshed:
+def refresh(store: Store, names: Sequence[str], publish: bool = False) -> None:
+    """Rebuild the named tables and, if asked, (re-)create their catalog entries."""
+    for name in store.refresh(names):
+        if publish:
             sinks.publish(store.spark, DATABASES[name], name, store.path(name), store.fmt)
-    stored = {name: store.table(name) for name in refreshed}
-    # The report is a handful of rows: stored once, then both appended to the log and judged.
-    folder = sinks.scratch_folder(store.spark)
-    report = sinks.stored(checks.quality_report(stored, store.table, store.gold, store.silver, store.as_of), folder)
+
+
+def check(store: Store, names: Sequence[str], report_base: str | None = None) -> None:
+    """Run the checks of the named stored tables, log them and fail on a failed gating check."""
+    tables = {name: store.table(name) for name in names}
+    report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of)
+    # A handful of rows, stored once so that logging and judging them runs the checks only once.
+    results = sinks.stored(report, sinks.scratch_folder(store.spark))
     if report_base:
-        sinks.append_report(report, report_base, store.as_of)
-    quality.enforce(report, advisory=checks.ADVISORY_CHECKS)
+        sinks.append_report(results, report_base, store.as_of)
+    quality.enforce(results, advisory=checks.ADVISORY_CHECKS)
+
+
+STEPS = ("refresh", "check")
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -55,7 +56,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--silver", required=True, help="folder of the silver input tables")
     parser.add_argument("--out", required=True, help="folder of the tables to refresh")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="run time; default: now, Pacific time")
-    parser.add_argument("--tables", nargs="+", choices=list(BUILDERS), help="default: all")
+    parser.add_argument("--tables", nargs="+", choices=list(BUILDERS), default=list(BUILDERS), help="default: all")
+    parser.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS, help="default: both")
     parser.add_argument("--report", help="folder for the check reports")
     parser.add_argument("--publish", action="store_true", help="(re-)create the catalog tables")
     parser.add_argument("--format", default="parquet", help="format of input and output tables")
@@ -64,7 +66,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     as_of = args.as_of or pacific_now()
     gold, silver = read_gold(spark, args.gold, args.format), read_silver(spark, args.silver, args.format)
     store = Store(gold, silver, as_of, args.out, fmt=args.format)
-    refresh_and_check(store, args.tables, args.report, args.publish)
+    if "refresh" in args.steps:
+        refresh(store, args.tables, args.publish)
+    if "check" in args.steps:
+        check(store, args.tables, args.report)
 
 
 if __name__ == "__main__":
