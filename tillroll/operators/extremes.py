@@ -8,21 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_last(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+def first_last(df: DataFrame, keys: Sequence[str], day: str, parts: Mapping[str, Column]) -> DataFrame:
+    """Per key the first and last ``day`` of each part, a part being the rows that meet its condition."""
+    edges = []
+    for part, selected in parts.items():
+        edges.append(F.min(F.when(selected, F.col(day))).alias(f"{part}_first"))
+        edges.append(F.max(F.when(selected, F.col(day))).alias(f"{part}_last"))
+    return df.groupBy(*keys).agg(*edges)
 
 
-def pivot_first_last(df: DataFrame, key: str, scopes: Mapping[str, Column], suffix: str) -> DataFrame:
-    """Per key and scope the earliest first and latest last day among the rows the scope selects.
+def pivot_first_last(
+    df: DataFrame, key: str, parts: Sequence[str], scopes: Mapping[str, Column], suffix: str
+) -> DataFrame:
+    """Per key, scope and part the earliest first and latest last day among the rows the scope selects.
 
     ``df`` has few rows per key by now (see ``first_last``). They move to their key as they are;
     pivoting on both sides of the shuffle would send each of them as a row of all the scopes.
     """
-    columns = []
+    edges = []
     for scope, selected in scopes.items():
-        columns.append(F.min(F.when(selected, F.col("first_day"))).alias(f"{scope}_first_{suffix}"))
-        columns.append(F.max(F.when(selected, F.col("last_day"))).alias(f"{scope}_last_{suffix}"))
-    return df.repartition(key).groupBy(key).agg(*columns)
+        for part in parts:
+            first, last = (F.when(selected, F.col(f"{part}_{edge}")) for edge in ("first", "last"))
+            edges.append(F.min(first).alias(f"{scope}_{part}_first_{suffix}"))
+            edges.append(F.max(last).alias(f"{scope}_{part}_last_{suffix}"))
+    return df.repartition(key).groupBy(key).agg(*edges)
 
 
 def merge_first_last(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -25,15 +25,8 @@ from tillroll.sources.tables import SilverTables
 _SUFFIX = "shop_date"
 
 
-def _scope_conditions(scopes: Mapping[str, Sequence[str] | None]) -> dict[str, Column]:
-    conditions = {}
-    for scope, banners in scopes.items():
-        for channel, ecomm_flag in SHOP_CHANNELS.items():
-            selected = F.col("ecomm_flag") == ecomm_flag
-            if banners is not None:
-                selected = selected & F.col("banner_short_name").isin(*banners)
-            conditions[f"{scope}_{channel}"] = selected
-    return conditions
+def _scope(banners: Sequence[str] | None) -> Column:
+    return F.lit(True) if banners is None else F.col("banner_short_name").isin(*banners)
 
 
 def current_cards(customer: DataFrame) -> DataFrame:
@@ -52,8 +45,8 @@ def customer_shop_dates(
 ) -> DataFrame:
     """Shop dates per customer id, before cards come in.
 
-    The facts are reduced to two dates per (customer, banner, channel) on the map side; only those
-    few rows per customer go through the wide pivot.
+    The facts are reduced to first and last dates by channel per (customer, banner) on the map side;
+    only those few rows per customer go through the wide pivot.
     """
     items = latest_version(tables.item, ["id"], tie_breakers=["financial_sale_flag"])
     items = items.filter(F.col("financial_sale_flag") == "Y").select(F.col("id").alias("item_id"))
@@ -69,9 +62,11 @@ def customer_shop_dates(
         .join(items, "item_id")
         .withColumn("fiscal_date", F.col("fiscal_date").cast("date"))
     )
-    per_banner = first_last(visits, ["customer_id", "banner_short_name", "ecomm_flag"], "fiscal_date")
-    dates = pivot_first_last(per_banner, "customer_id", _scope_conditions(scopes), _SUFFIX)
-    return overall(dates, "pfg_overall", [f"pfg_{channel}" for channel in SHOP_CHANNELS], _SUFFIX)
+    channels = {channel: F.col("ecomm_flag") == ecomm_flag for channel, ecomm_flag in SHOP_CHANNELS.items()}
+    per_banner = first_last(visits, ["customer_id", "banner_short_name"], "fiscal_date", channels)
+    selections = {scope: _scope(banners) for scope, banners in scopes.items()}
+    dates = pivot_first_last(per_banner, "customer_id", list(channels), selections, _SUFFIX)
+    return overall(dates, "pfg_overall", [f"pfg_{channel}" for channel in channels], _SUFFIX)
 
 
 def card_shop_dates(tables: SilverTables, as_of: datetime) -> DataFrame:
