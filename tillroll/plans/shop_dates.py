@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ def current_cards(customer: DataFrame) -> DataFrame:
 
 def customer_shop_dates(
     tables: SilverTables,
-    last_day,
+    last_day: date,
     scopes: Mapping[str, Sequence[str] | None] = SHOP_SCOPES,
     location_types: Sequence[str] = LOCATION_TYPES,
 ) -> DataFrame:
