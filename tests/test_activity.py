@@ -173,15 +173,19 @@ def test_bitmap_flags_for_any_windows(spark, weeks, windows, first, length):
     origin = date(1970, 1, 3)
     windows = {f"w{i}": (min(pair), max(pair)) for i, pair in enumerate(windows)}
     lookback = max(oldest for _, oldest in windows.values())
-    events = spark.createDataFrame([("a", origin + _weeks(w) - timedelta(days=abs(w) % 7)) for w in weeks], "k string, day date")
+    days = {w: origin + _weeks(w) - timedelta(days=abs(w) % 7) for w in weeks}
+    events = spark.createDataFrame([("a", days[w]) for w in weeks], "k string, day date")
     odd = F.dayofyear("day") % 2 == 1
     series = {"any": F.lit(True), "odd": odd}
     histories = with_history(weekly_bitmaps(events, "k", "day", series), "k", list(series))
-    found = flags_per_week(histories, "k", "any", ["odd"], windows, origin + _weeks(first), origin + _weeks(first + length))
-    flagged = {w for w in weeks if (origin + _weeks(w) - timedelta(days=abs(w) % 7)).timetuple().tm_yday % 2}
+    last = first + length
+    found = flags_per_week(
+        histories, "k", "any", ["odd"], windows, origin + _weeks(first), origin + _weeks(last)
+    )
+    flagged = {w for w, day in days.items() if day.timetuple().tm_yday % 2}
     expected = {
         week: [int(any(week - oldest <= w <= week - newest for w in flagged)) for newest, oldest in windows.values()]
-        for week in range(first, first + length + 1)
+        for week in range(first, last + 1)
         if any(week - lookback <= w <= week for w in weeks)
     }
     rows = found.collect()
@@ -193,7 +197,9 @@ def test_bitmap_flags_for_any_windows(spark, weeks, windows, first, length):
 
 def test_spread_weeks_fills_gaps_once(spark):
     w = date(2001, 1, 6)
-    own = spark.createDataFrame([("a", w), ("a", w), ("a", w + _weeks(2)), ("a", w + _weeks(9)), ("b", w)], "k string, week date")
+    own = spark.createDataFrame(
+        [("a", w), ("a", w), ("a", w + _weeks(2)), ("a", w + _weeks(9)), ("b", w)], "k string, week date"
+    )
     rows = spread_weeks(own, "k", "week", 4, F.lit(w + _weeks(10))).collect()
     found = sorted((r.k, (r.week - w).days // 7) for r in rows)
     assert found == [("a", n) for n in (0, 1, 2, 3, 4, 5, 9, 10)] + [("b", n) for n in range(4)]
@@ -201,11 +207,20 @@ def test_spread_weeks_fills_gaps_once(spark):
 
 def test_flag_in_window_takes_any_window(spark):
     spine = spark.createDataFrame(
-        [("a", date(2001, 1, 3), date(2001, 1, 5)), ("a", date(2001, 1, 6), date(2001, 1, 9)), ("b", date(2001, 1, 1), date(2001, 1, 9))],
+        [
+            ("a", date(2001, 1, 3), date(2001, 1, 5)),
+            ("a", date(2001, 1, 6), date(2001, 1, 9)),
+            ("b", date(2001, 1, 1), date(2001, 1, 9)),
+        ],
         "k string, lo date, hi date",
     )
     events = spark.createDataFrame(
-        [("a", date(2001, 1, 5), 1), ("a", date(2001, 1, 5), 1), ("a", date(2001, 1, 7), 2), ("c", date(2001, 1, 5), 1)],
+        [
+            ("a", date(2001, 1, 5), 1),
+            ("a", date(2001, 1, 5), 1),
+            ("a", date(2001, 1, 7), 2),
+            ("c", date(2001, 1, 5), 1),
+        ],
         "k string, day date, kind int",
     )
     rows = flag_in_window(spine, events, "k", "day", "lo", "hi", "hit", F.col("kind") == 1).collect()

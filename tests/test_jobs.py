@@ -52,7 +52,8 @@ def test_damaged_table_is_found_by_checking_alone(spark, inputs, tmp_path):
     out = str(tmp_path / "out")
     _run(inputs, out, "--tables", "card_shop_dates", "--steps", "refresh")
     sound = spark.read.parquet(f"{out}/card_shop_dates")
-    sinks.full_refresh(sound.filter("card_number <> '7'").withColumn("extra", sound["dl_load_dt"]), f"{tmp_path}/bad/card_shop_dates")
+    damaged = sound.filter("card_number <> '7'").withColumn("extra", sound["dl_load_dt"])
+    sinks.full_refresh(damaged, f"{tmp_path}/bad/card_shop_dates")
     _run(inputs, out, "--tables", "card_shop_dates", "--steps", "check")
     with pytest.raises(QualityGateError, match="Column Def Check.*Verifying"):
         _run(inputs, f"{tmp_path}/bad", "--tables", "card_shop_dates", "--steps", "check")

@@ -99,6 +99,7 @@ def test_stored_star_tables_can_be_read_back(spark, tmp_path):
 
 
 def test_cast_timestamps(spark):
-    df = cast_timestamps(spark.createDataFrame([("2001-08-01 01:02:03", "x", None)], "a string, b string, c string"), ["a", "c"])
+    texts = spark.createDataFrame([("2001-08-01 01:02:03", "x", None)], "a string, b string, c string")
+    df = cast_timestamps(texts, ["a", "c"])
     assert [f.dataType.simpleString() for f in df.schema] == ["timestamp", "string", "timestamp"]
     assert df.first().a == datetime(2001, 8, 1, 1, 2, 3)

@@ -78,10 +78,11 @@ def flags_per_week(
         return recent.bitwiseAND(F.lit(mask).cast("bigint")) != 0
 
     slots = F.explode(F.array(*[F.lit(i) for i in range(BLOCK_WEEKS)])).alias("_slot")
+    first, last = week_number(first_week), week_number(last_week)
     weeks = (
-        histories.filter(F.col("block").between(week_number(first_week) >> _BLOCK_BITS, week_number(last_week) >> _BLOCK_BITS))
+        histories.filter(F.col("block").between(first >> _BLOCK_BITS, last >> _BLOCK_BITS))
         .select(key, "block", presence, *series, slots)
-        .filter(number.between(week_number(first_week), week_number(last_week)) & hit(presence, 0, lookback))
+        .filter(number.between(first, last) & hit(presence, 0, lookback))
     )
     return weeks.select(
         key,
