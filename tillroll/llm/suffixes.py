@@ -2,10 +2,11 @@
 
 Every ``LENGTH``-byte string has an anchor: its least-hashed ``GRAM``-byte gram, the leftmost of equal
 ones. Equal strings have equal anchors at equal places, so only strings around anchors that several
-documents have can occur twice; that is decided from packed anchor hashes. The bytes around those anchors
-are brought together by anchor and their suffixes sorted: multikey quicksort, eight bytes a
-character, to a shallow depth, then blind tries for groups whose common prefix is longer. Suffixes that
-agree on ``LENGTH`` bytes are one class, and a string is removed wherever its class has a smaller doc_id.
+documents have can occur twice; that is decided from packed anchor hashes. Hashes of the bytes around
+those anchors are brought together by anchor: mostly the same bytes lie around it everywhere, as in
+copies. Where they differ, at the ends of what is shared, the bytes are fetched and their suffixes
+sorted: multikey quicksort, eight bytes a character, to a shallow depth, then blind tries for groups whose
+common prefix is longer. Suffixes that agree on ``LENGTH`` bytes are one class, and a string is removed wherever its class has a smaller doc_id.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from tillroll.llm import hashing as H
 from tillroll.llm.store import shuffle_partitions
 
 LENGTH = 50
-GRAM = 24
+GRAM = 20
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 24
 #: Rows around anchors that are sorted at once.
@@ -32,6 +33,8 @@ ROWS_AT_ONCE = 150_000
 NULL_ID = -(1 << 63)
 
 SHARED = "doc_id long, anchor long"
+AROUND = "anchor long, doc_id long, copy long, start int, size int, hash long"
+DECIDED = "anchor long, doc_id long, copy long, low long, high long, open boolean"
 CONTEXT = "anchor long, doc_id long, copy long, start long, context binary"
 CUT = "doc_id long, copy long, low long, high long"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<low: long, high: long>>"
@@ -176,12 +179,16 @@ def owners(h: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def _doc_of_anchor(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the grams of a block; for each text its number of strings of LENGTH bytes."""
-    return H.Rolling(data).grams(GRAM), np.maximum(np.diff(offsets) - LENGTH + 1, 0), offsets[:-1]
+WIDTH = LENGTH - GRAM + 1
 
 
-WIDTH = LENGTH - GRAM + 1
+def _code(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """An anchor's number: 32 bits of its hash, and the bucket that other 32 bits fall into."""
+    return (hashes >> np.uint64(32)).astype(np.int64) * buckets + (hashes & np.uint64(0xFFFFFFFF)).astype(np.int64) % buckets
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
 
 
 def _packed_anchors(docs: DataFrame, buckets: int) -> DataFrame:
@@ -191,7 +198,7 @@ def _packed_anchors(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in H.blocks(batches):
             data, offsets = H.text_bytes(batch.column("text"))
-            h, windows, begins = _doc_of_anchor(data, offsets)
+            h, windows, begins = H.Rolling(data).grams(GRAM), np.maximum(np.diff(offsets) - LENGTH + 1, 0), offsets[:-1]
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             parts = []
             for i in np.flatnonzero(windows).tolist():
@@ -201,7 +208,7 @@ def _packed_anchors(docs: DataFrame, buckets: int) -> DataFrame:
             if not parts:
                 continue
             hashes, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
-            code = (hashes >> np.uint64(32)).astype(np.int64) * buckets + (hashes & np.uint64(0xFFFFFFFF)).astype(np.int64) % buckets
+            code = _code(hashes, buckets)
             order = np.lexsort((doc, code))
             code, doc = code[order], doc[order]
             fresh = np.concatenate(([True], (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])))
@@ -248,14 +255,16 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
     return _packed_anchors(docs, buckets).groupBy("bucket").applyInArrow(run, SHARED)
 
 
-def contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """The bytes of all strings of LENGTH bytes whose anchor is shared: one row per anchor and place."""
+def around_anchors(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The stretch of all strings of LENGTH bytes that have a shared anchor, with a hash of its bytes:
+    one row per anchor and place."""
     buckets = 4 * shuffle_partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in H.blocks(batches):
             data, offsets = H.text_bytes(batch.column("text"))
-            h, windows, begins = _doc_of_anchor(data, offsets)
+            rolling = H.Rolling(data)
+            h, windows, begins = rolling.grams(GRAM), np.maximum(np.diff(offsets) - LENGTH + 1, 0), offsets[:-1]
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             copies = batch.column("copy").to_numpy(zero_copy_only=False)
             lists = batch.column("anchors")
@@ -265,21 +274,97 @@ def contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
                 owner = owners(own, WIDTH)
                 low = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
                 high = np.append(low[1:], len(owner)) - 1 + LENGTH
-                hashes = own[owner[low]]
-                code = (hashes >> np.uint64(32)).astype(np.int64) * buckets + (hashes & np.uint64(0xFFFFFFFF)).astype(np.int64) % buckets
+                code = _code(own[owner[low]], buckets)
                 hit = np.isin(code, lists[i].values.to_numpy(zero_copy_only=False))
                 if hit.any():
                     out.append((code[hit], np.full(hit.sum(), ids[i]), np.full(hit.sum(), copies[i]), low[hit], begins[i] + low[hit], begins[i] + high[hit]))
             if out:
                 code, doc, copy, start, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
-                sizes = high - low
-                raw = data[H.ranges(low, sizes)]
-                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                context = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(doc), pa.array(copy), pa.array(start.astype(np.int64)), context], [x.split()[0] for x in CONTEXT.split(", ")])
+                hashes = rolling.between(low, high).view(np.int64)
+                columns = (code, doc, copy, start.astype(np.int32), (high - low).astype(np.int32), hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _names(AROUND))
 
     own = shared.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    return docs.join(own, "doc_id").select("doc_id", "copy", "text", "anchors").mapInArrow(run, CONTEXT)
+    return docs.join(own, "doc_id").select("doc_id", "copy", "text", "anchors").mapInArrow(run, AROUND)
+
+
+def decided(around: DataFrame) -> DataFrame:
+    """Stretches to remove whole, as the same bytes lie around the same anchor in a document before; and
+    ``open`` ones, the first of each kind where different bytes lie around one anchor.
+
+    Rows of an anchor stream by in doc_id order; what is kept of those gone by are the first ones of
+    each kind of the anchor at hand.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: pa.Table | None = None
+        opened = False
+        for block in _whole_blocks(batches, ROWS_AT_ONCE):
+            table = block if before is None else pa.concat_tables([before, block]).combine_chunks()
+            carried = 0 if before is None else before.num_rows
+            code, doc, copy, start, size, kind = (table.column(x).to_numpy() for x in _names(AROUND))
+            n = len(code)
+            at = np.arange(n)
+            order = np.lexsort((at, kind, size, code))
+            fresh = np.zeros(n, bool)
+            fresh[:1] = True
+            for key in (code, size, kind):
+                fresh[1:] |= key[order][1:] != key[order][:-1]
+            rep = np.empty(n, np.int64)
+            rep[order] = order[np.maximum.accumulate(np.where(fresh, at, 0))]
+            _, group = np.unique(code, return_inverse=True)
+            crowded = np.bincount(group[rep == at])[group] > 1
+            new = at >= carried
+            # Rows carried over are open already if their anchor was crowded then.
+            fine = crowded & (doc == doc[rep]) & (new | (not opened))
+            whole = new & (doc > doc[rep])
+            some = np.flatnonzero(fine | whole)
+            if len(some):
+                low = start[some].astype(np.int64)
+                columns = (code[some], doc[some], copy[some], low, low + size[some], fine[some])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _names(DECIDED))
+            # Of the last anchor: the first row of each kind, and its repeats in the same document.
+            last = np.flatnonzero((code == code[-1]) & (doc == doc[rep]))
+            before, opened = table.take(pa.array(last)).combine_chunks(), bool(crowded[-1])
+
+    parts = shuffle_partitions(around.sparkSession)
+    return around.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(run, DECIDED)
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The rows of ``batches``, at least so many at a time but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def contexts(docs: DataFrame, open_: DataFrame) -> DataFrame:
+    """The bytes of the open stretches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in H.blocks(batches):
+            data, offsets = H.text_bytes(batch.column("text"))
+            wanted = batch.column("wanted")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
+            anchor, copy, low, high = (x.to_numpy(zero_copy_only=False) for x in wanted.flatten().flatten())
+            own = copy == batch.column("copy").to_numpy(zero_copy_only=False)[row]
+            row, anchor, copy, low, high = (x[own] for x in (row, anchor, copy, low, high))
+            if not len(row):
+                continue
+            raw = data[H.ranges(offsets[row] + low, high - low)]
+            ends = np.concatenate(([0], np.cumsum(high - low))).astype(np.int32)
+            context = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+            doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(doc), pa.array(copy), pa.array(low), context], _names(CONTEXT))
+
+    wanted = open_.groupBy("doc_id").agg(F.collect_set(F.struct("anchor", "copy", "low", "high")).alias("wanted"))
+    return docs.join(wanted, "doc_id").select("doc_id", "copy", "text", "wanted").mapInArrow(run, CONTEXT)
 
 
 # -- classes ------------------------------------------------------------------------------------
@@ -346,28 +431,16 @@ def removals(context: DataFrame) -> DataFrame:
     kept of those gone by are the different contexts of the anchor at hand, with their first document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        carried = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, carried
-            rows = pa.Table.from_batches(held).combine_chunks().to_batches()
-            if not rows:
-                return
-            rows = rows[0]
-            code, doc, copy, start = (rows.column(x).to_numpy(zero_copy_only=False) for x in ("anchor", "doc_id", "copy", "start"))
-            cut, last = _cuts(code, doc, copy, start, *H.text_bytes(rows.column("context")), carried)
-            held, carried = [rows.take(pa.array(last))], len(last)
+        before: pa.Table | None = None
+        for block in _whole_blocks(batches, ROWS_AT_ONCE):
+            table = block if before is None else pa.concat_tables([before, block]).combine_chunks()
+            carried = 0 if before is None else before.num_rows
+            code, doc, copy, start = (table.column(x).to_numpy() for x in ("anchor", "doc_id", "copy", "start"))
+            cut, last = _cuts(code, doc, copy, start, *H.text_bytes(table.column("context")), carried)
+            before = table.take(pa.array(last)).combine_chunks()
             if len(cut["doc_id"]):
                 yield pa.RecordBatch.from_pydict({k: pa.array(v.astype(np.int64)) for k, v in cut.items()})
 
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) - carried >= ROWS_AT_ONCE:
-                yield from flush()
-        if held:
-            yield from flush()
-
     parts = shuffle_partitions(context.sparkSession)
     return context.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(run, CUT)
 
@@ -382,7 +455,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
-    cuts = removals(contexts(rows, shared_anchors(rows.select("doc_id", "text"))))
+    found = decided(around_anchors(rows, shared_anchors(rows.select("doc_id", "text"))))
+    sorted_out = removals(contexts(rows, found.where("open")))
+    cuts = sorted_out.unionByName(found.where("NOT open").select("doc_id", "copy", "low", "high"))
     by_doc = cuts.groupBy("doc_id").agg(F.collect_set(F.struct("copy", "low", "high")).alias("cuts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
