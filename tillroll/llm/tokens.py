@@ -7,6 +7,7 @@ other. So the distinct parts of a block are encoded, and kept for later blocks o
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,12 +17,14 @@ import pyarrow.compute as pc
 from tillroll.llm import hashing as H
 
 #: Parts kept by a worker between blocks; beyond it the store starts afresh.
-KEPT_PARTS = 700_000
-BLOCK_BYTES = 6 << 20
+KEPT_PARTS = 1_000_000
+BLOCK_BYTES = 16 << 20
 
 #: White space as the tokenizers see it, and more that Python takes for it.
 _SPACES = "\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 _PLAIN = re.compile(r" ?\S+")
+#: A Latin word and marks after it: to both tokenizers a word by itself, then the marks.
+_WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|]*)")
 
 
 def tokenizer_path(name: str) -> str:
@@ -31,11 +34,27 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_names() -> tuple[np.ndarray, np.ndarray]:
+    """What stands for each byte in byte-level vocabularies, as UTF-8, and whether that has two bytes:
+    printable Latin-1 bytes for themselves, the others by the characters from U+0100 on. A line end
+    stays, as it only separates here."""
+    same = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in same]
+    names = [chr(b) if b in same or b == 10 else chr(256 + others.index(b)) for b in range(256)]
+    table = np.zeros((256, 2), np.uint8)
+    for b, name in enumerate(names):
+        table[b, : len(name.encode())] = list(name.encode())
+    return table, table[:, 1] > 0
+
+
+BYTE_NAMES, TWO_BYTES = _byte_names()
+
+
 class Encoder:
     """``lossless``: byte-level parts keep the space before them; else white space only separates."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -46,12 +65,38 @@ class Encoder:
         self.between = "\n" if self.lossless else " \0 "
         (self.mark,) = self._ids("\n" if self.lossless else "\0")
         self.kept: dict[str, bytes] = {}
+        #: By id: bytes of its piece, and whether it ends a word.
+        self.sizes, self.last = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, bool)
+        for piece, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.sizes[number], self.last[number] = len(piece), piece.endswith("</w>")
+        self.words = Tokenizer.from_file(path)
+        self.words.encode_special_tokens = True
+        self.words.normalizer = None
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of Latin words. Each is one pre-token, so the library gets them with their bytes
+        named as in the vocabulary, and needs to cut at line ends only."""
+        for at in range(0, len(words), 5000):
+            some = words[at : at + 5000]
+            joined = "\n".join(some)
+            raw = np.frombuffer((joined if self.lossless else joined.lower()).encode(), np.uint8)
+            named = BYTE_NAMES[raw][np.stack([np.ones(len(raw), bool), TWO_BYTES[raw]], axis=1)].tobytes().decode()
+            (found,) = self.words.encode_batch_fast([named], add_special_tokens=False)
+            ids = np.array(found.ids, np.uint16)
+            if self.lossless:  # a word ends where its bytes are used up
+                size = np.cumsum([len(w.encode()) for w in some])
+                ends = np.searchsorted(np.cumsum(self.sizes[ids]), size) + 1
+            else:
+                ends = np.flatnonzero(self.last[ids]) + 1
+            out = ids.tobytes()
+            yield from (out[2 * a : 2 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+
     def block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids (16 bits) of all texts, one after the other, and the number of ids of each."""
         odd = f"[{_SPACES}]{{2}}|\\x00" if self.lossless else "\\x00"
@@ -84,7 +129,17 @@ class Encoder:
         kept = self.kept
         if len(kept) > KEPT_PARTS:
             kept.clear()
-        new = [p for p in parts if p not in kept]
+        new, words = [], {}
+        for p in parts:
+            if p not in kept:
+                found = _WORD.fullmatch(p)
+                if found:
+                    words[p] = found.groups()
+                else:
+                    new.append(p)
+        new += {marks for _, marks in words.values()} - kept.keys()
+        heads = list({head for head, _ in words.values()} - kept.keys())
+        kept.update(zip(heads, self._words(heads), strict=True))
         joint = [p for p in new if _PLAIN.fullmatch(p)] if self.lossless else [p for p in new if p]
         for at in range(0, len(joint), 5000):
             some = joint[at : at + 5000]
@@ -95,6 +150,8 @@ class Encoder:
         for p in new:
             if p not in kept:
                 kept[p] = np.array(self._ids(p), np.uint16).tobytes()
+        for p, (head, marks) in words.items():
+            kept[p] = kept[head] + kept[marks]
         return [kept[p] for p in parts]
 
 
