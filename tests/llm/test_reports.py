@@ -1,0 +1,143 @@
+"""License scans and quality rules against plain Python."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from tests.llm.small import SF, edge_documents, texts_of
+from tillroll.llm import licenses, lines, queries
+
+LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+VISIBLE = re.compile(r"[^\x20\x09-\x0D]+")
+UPPER = {i: i + 32 for i in range(65, 91)}
+
+
+def places(text: str) -> tuple[int, list[tuple[int, str]]]:
+    words = LETTERS.findall((text or "").translate(UPPER))
+    found = []
+    for phrase, label in licenses.PHRASES.items():
+        want = phrase.split()
+        found += [(i, label) for i in range(len(words) - len(want) + 1) if words[i : i + len(want)] == want]
+    return len(words), sorted(found)
+
+
+def check_scan(rows, result):
+    expected = Counter()
+    for doc_id, text in rows:
+        n, found = places(text)
+        labels = ",".join(sorted({label for _, label in found}))
+        expected[(doc_id, n, len(found), found[0][0] if found else None, found[-1][0] if found else None, labels)] += 1
+    columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert Counter(tuple(r[c] for c in columns) for r in result) == expected
+    for r in result:
+        assert 0 <= r["score"] <= 1
+        assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+        assert (r["score"] > 0) == bool(r["labels"])
+
+
+def test_scan_matches_plain_python(spark):
+    check_scan(texts_of(spark), queries.op1_license_scan(spark, SF).collect())
+
+
+def test_scan_of_odd_rows(spark):
+    docs = edge_documents(spark)
+    check_scan([(r.doc_id, r.text) for r in docs.collect()], licenses.scan(docs).collect())
+    assert licenses.scan(docs.limit(0)).collect() == []
+
+
+def test_scan_finds_edited_notices_and_long_texts(spark):
+    notice = licenses.NOTICES[1][1]
+    words = notice.split()
+    edited = " ".join([*words[:9], "certainly", *words[9:20], *words[22:]])
+    filler = " ".join(f"w{i}" for i in range(9000))
+    docs = spark.createDataFrame(
+        [(1, f"intro {edited} end"), (2, f"{filler} MIT License {filler} mit-license"), (3, "permission is hereby refused"), (4, "mit\nlicense")],
+        "doc_id long, text string",
+    )
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert got[1].labels == "mit" and got[1].n_base == 0 and 0.6 <= got[1].score < 1
+    assert (got[2].n_base, got[2].first_word, got[2].last_word, got[2].n_words) == (2, 9000, 18002, 18004)
+    assert got[3].labels == "" and got[3].score == 0
+    assert got[4].base_labels == "mit" and got[4].score == 1
+
+
+def counts(text: str | None) -> tuple[int, ...]:
+    text = text or ""
+    words = VISIBLE.findall(text)
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if often[g] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if VISIBLE.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(covered)
+
+
+def judged(rows, limit, least_left=lines.LEAST_LEFT):
+    """(doc_id, counts, removed, failed, kept) of each (doc_id, source, text)."""
+
+    def normal(line):
+        return tuple(VISIBLE.findall(line.translate(UPPER)))
+
+    holders = defaultdict(set)
+    first = {}
+    for doc_id, source, text in rows:
+        for line in (text or "").split("\n"):
+            if normal(line):
+                key = (source, normal(line))
+                holders[key].add(text)
+                rank = (doc_id is not None, doc_id)
+                first[key] = min(first.get(key, rank), rank)
+    out = []
+    for doc_id, source, text in rows:
+        c = counts(text)
+        removed = 0
+        for line in (text or "").split("\n"):
+            key = (source, normal(line))
+            if normal(line) and len(holders[key]) > limit and first[key] != (doc_id is not None, doc_id):
+                removed += len(normal(line))
+        failed = c[0] < 50 or 100 * c[4] > 50 * c[0]
+        out.append((doc_id, *c, removed, failed, not failed and c[0] - removed >= least_left * c[0]))
+    return Counter(out)
+
+
+COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept")
+
+
+@pytest.mark.parametrize("limit", [0, 2, lines.LINE_LIMIT])
+def test_quality_matches_plain_python(spark, limit):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = Counter(tuple(r[c] for c in COLUMNS) for r in lines.quality_report(docs, limit).collect())
+    assert got == judged([(r.doc_id, r.source, r.text) for r in docs.collect()], limit)
+
+
+@pytest.mark.parametrize("limit", [1, 100])
+def test_quality_of_odd_rows(spark, limit):
+    docs = edge_documents(spark)
+    got = Counter(tuple(r[c] for c in COLUMNS) for r in lines.quality_report(docs, limit).collect())
+    assert got == judged([(r.doc_id, r.source, r.text) for r in docs.collect()], limit)
+    assert lines.quality_report(docs.limit(0)).collect() == []
+
+
+def test_depleted_documents_go_and_one_holder_stays(spark):
+    shared = "\n".join(" ".join(f"s{i}x{k}" for k in range(12)) for i in range(5))
+    rows = [(i, "host", f"{shared}\n" + " ".join(f"own{i}y{k}" for k in range(20))) for i in range(6)]
+    rows += [(10 + i, f"host{i}", shared) for i in range(6)] + [(20 + i, "host", shared) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    kept = {r.doc_id for r in lines.keep_good(docs, line_limit=3).collect()}
+    # The first holder keeps its lines; on other hosts the lines are rare.
+    assert kept == {0, *range(10, 16)}
+    # Exact copies count once.
+    assert {r.doc_id for r in lines.keep_good(docs.where("doc_id >= 20"), line_limit=3).collect()} == set(range(20, 29))
+
+
+def test_base_columns_of_the_query(spark):
+    result = queries.op7_quality(spark, SF)
+    expected = {doc_id: counts(text) for doc_id, text in texts_of(spark)}
+    got = {r.doc_id: tuple(r[c] for c in COLUMNS[1:6]) for r in result.collect()}
+    assert got == expected
