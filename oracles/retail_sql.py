@@ -400,10 +400,9 @@ FROM (SELECT *, {_week_end('history_start')} AS household_first_week
         "customer_dim",
     ),
     "join_calendar": _sql(
-        "SELECT f.transaction_number, f.fiscal_date, d.week_end_date"
-        " FROM retail_sale_fact f JOIN date_dim d ON f.fiscal_date = d.date",
+        "SELECT transaction_number, fiscal_date, CAST(fiscal_date + CAST(6 - dayofweek(fiscal_date) AS INTEGER) AS DATE)"
+        " AS week_end_date FROM retail_sale_fact",
         "retail_sale_fact",
-        "date_dim",
     ),
     "join_left_register": _sql(
         "SELECT f.transaction_number, f.register_hk, r.id"
@@ -573,8 +572,11 @@ def _flag_checks(table: str, keys: str) -> list[str]:
     ]
 
 
-def _same_count(left: str, right: str) -> str:
-    return f"(SELECT COUNT(*) FROM ({left}) l) = (SELECT COUNT(*) FROM ({right}) r)"
+def _same_rows(left: str, right: str) -> str:
+    return (
+        f"(SELECT COUNT(*) FROM (({left}) EXCEPT ({right})) l) = 0"
+        f" AND (SELECT COUNT(*) FROM (({right}) EXCEPT ({left})) r) = 0"
+    )
 
 
 _COVERAGE = "Verifying that {} table includes all {} from client table"
@@ -626,7 +628,7 @@ ORACLES["dq_report"] = _sql(
             _check(
                 "pos_daily_agg_card",
                 "card numbers count Check",
-                _same_count(
+                _same_rows(
                     _SOURCE.format("card_number"),
                     "SELECT DISTINCT c.card_number FROM pos_daily_agg_card p"
                     " JOIN customer_dim c ON p.customer_hk = c.customer_hk",
@@ -635,7 +637,7 @@ ORACLES["dq_report"] = _sql(
             _check(
                 "pos_daily_agg_hhn",
                 "household count Check",
-                _same_count(_SOURCE.format("current_household_id"), "SELECT DISTINCT hhn FROM pos_daily_agg_hhn"),
+                _same_rows(_SOURCE.format("current_household_id"), "SELECT DISTINCT hhn FROM pos_daily_agg_hhn"),
             ),
             _empty_check(
                 "household_transactions",

@@ -97,3 +97,12 @@ def test_load_stamp_does_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert stamp == "2001-08-01 04:05:06"
+
+
+def test_a_calendar_covers_all_days_it_is_made_from(spark):
+    days = [(date(1993, 12, 31),), (date(2001, 1, 1),), (date(2003, 1, 1),), (None,)]
+    df = spark.createDataFrame(days, "day date")
+    table = calendar.calendar_of(df, "day")
+    assert df.join(table, df["day"] == table["date"]).count() == 3
+    assert table.count() == (date(2003, 1, 1) - date(1993, 12, 31)).days + 1
+    assert calendar.calendar_of(df.limit(0), "day").collect() == []

@@ -73,6 +73,15 @@ def test_broken_tables_are_reported(stored):
     } <= failed
 
 
+def test_sets_of_equal_size_that_differ_fail(stored):
+    gold, silver, tables = stored
+    daily = tables["pos_daily_agg_hhn"]
+    some = daily.first().hhn
+    swapped = {"pos_daily_agg_hhn": daily.withColumn("hhn", F.when(F.col("hhn") == some, "another").otherwise(F.col("hhn")))}
+    results = _results(checks.quality_report(swapped, swapped.get, gold, silver, AS_OF))
+    assert results["pos_daily_agg_hhn", checks.HOUSEHOLD_COUNT_CHECK] == "Fail"
+
+
 def test_sides_treat_nulls_as_equal_and_count_rows_once(spark):
     left = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
     right = spark.createDataFrame([(None,), ("b",), ("c",), ("c",)], "k string")

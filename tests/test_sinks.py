@@ -4,6 +4,7 @@ import glob
 import re
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions.retail import cast_timestamps
@@ -22,6 +23,16 @@ def test_full_refresh_replaces_rows_and_schema(spark, tmp_path):
     assert _rows(tables.read_table(spark, path).select("b", "c")) == [("x", 1)]
 
 
+def test_a_failed_refresh_leaves_the_former_table_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.full_refresh(spark.range(5).toDF("a"), path)
+    fails = spark.range(100, numPartitions=4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("a"))
+    with pytest.raises(Exception, match="no"):
+        sinks.full_refresh(fails, path)
+    assert tables.read_table(spark, path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_any_installed_table_format_will_do(spark, tmp_path):
     path = str(tmp_path / "t")
     back = sinks.stored(spark.range(3).toDF("a"), path, fmt="orc")

@@ -7,7 +7,7 @@ different engines compare by value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,6 @@ from tillroll.plans import activity, checks, daily_sales, household_types, refre
 from tillroll.sources import sinks, star
 
 AS_OF = datetime(2001, 8, 1)
-CALENDAR_DAYS = (date(1994, 1, 2), date(2002, 12, 28))
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -219,7 +218,7 @@ def join_inner_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = star.gold(spark, sf_dir).retail_sale_fact
-    days = calendar.calendar_table(spark, *CALENDAR_DAYS)
+    days = calendar.calendar_of(fact, "fiscal_date")
     return fact.join(days, fact["fiscal_date"] == days["date"]).select(
         "transaction_number", "fiscal_date", "week_end_date"
     )
@@ -350,12 +349,12 @@ def scd_latest_by_card_household(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd_latest_item(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_version(star.silver(spark, sf_dir).item, ["id"])
+    return latest_version(star.silver(spark, sf_dir).item, ["id"], tie_breakers=["financial_sale_flag"])
 
 
 @query
 def scd_latest_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_version(star.silver(spark, sf_dir).location, ["id"])
+    return latest_version(star.silver(spark, sf_dir).location, ["id"], tie_breakers=["banner_short_name", "location_type"])
 
 
 @query

@@ -146,6 +146,14 @@ def weekly_bounds_of(run_date: Column, months: int = HISTORY_MONTHS) -> dict[str
     }
 
 
+def calendar_of(df: DataFrame, column: str) -> DataFrame:
+    """One row per day from the first to the last ``column`` of ``df``, with the Saturday that ends its
+    week; so no day of ``df`` is missing."""
+    ends = df.agg(F.min(column).alias("first"), F.max(column).alias("last")).where(F.col("first").isNotNull())
+    days = ends.select(F.explode(F.sequence("first", "last")).alias("date"))
+    return days.withColumn("week_end_date", week_end_of(F.col("date")))
+
+
 def calendar_table(spark: SparkSession, first: date, last: date) -> DataFrame:
     """One row per day with the Saturday that ends its week; as long as the date range, never longer."""
     days = spark.range((last - first).days + 1).select(

@@ -146,14 +146,15 @@ def table_checks(
     def covers(check: str, source: DataFrame, key: str) -> DataFrame:
         return quality.passed_if_empty(check, quality.missing_in_target(source, df, [key]))
 
-    same_count = F.col("source_rows") == F.col("target_rows")
+    # Equal sets, not only sets of equal size.
+    agree = (F.col("only_in_source") == 0) & (F.col("only_in_target") == 0)
     customers = gold.customer_dim
     if name == "pos_daily_agg_card":
         sides = quality.reconcile(sold_to(gold, as_of, "card_number"), cards_in(df, customers), ["card_number"])
-        verdicts.append(quality.passed_if(CARD_COUNT_CHECK, sides, same_count))
+        verdicts.append(quality.passed_if(CARD_COUNT_CHECK, sides, agree))
     elif name == "pos_daily_agg_hhn":
         source = sold_to(gold, as_of, "current_household_id").withColumnRenamed("current_household_id", "hhn")
-        verdicts.append(quality.passed_if(HOUSEHOLD_COUNT_CHECK, quality.reconcile(source, df, ["hhn"]), same_count))
+        verdicts.append(quality.passed_if(HOUSEHOLD_COUNT_CHECK, quality.reconcile(source, df, ["hhn"]), agree))
     elif name == "household_transactions":
         source = households_of_active_cards(stored("card_transactions"), customers, as_of)
         verdicts.append(covers(HOUSEHOLD_COVERAGE_CHECK, source, "hhn"))
@@ -163,7 +164,6 @@ def table_checks(
         verdicts.append(covers(HOUSEHOLD_DATES_COVERAGE_CHECK, identified_households(customers), "hhn"))
     elif name == "household_type":
         sides = quality.reconcile(household_types_recomputed(customers), df, ["hhn", "hh_type"])
-        agree = (F.col("only_in_source") == 0) & (F.col("only_in_target") == 0)
         verdicts.append(quality.passed_if(HOUSEHOLD_TYPE_CHECK, sides, agree))
     return verdicts
 

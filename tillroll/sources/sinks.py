@@ -13,7 +13,8 @@ from tillroll.sources.tables import read_table
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = "parquet") -> None:
-    """Replace the table at ``path``, schema included.
+    """Replace the table at ``path``, schema included, once the new one is written whole: if writing
+    fails, the former table stays as it is.
 
     A partitioned table is first rebalanced on its partition column: a date gets few large files,
     and a date with very many rows is split over several tasks instead of landing in one.
@@ -22,7 +23,50 @@ def full_refresh(df: DataFrame, path: str, partition_by: str | None = None, fmt:
         writer = df.write
     else:
         writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
-    writer.format(fmt).mode("overwrite").option("overwriteSchema", True).save(path)
+    if fmt not in PLAIN_FORMATS:
+        writer.format(fmt).mode("overwrite").option("overwriteSchema", True).save(path)
+        return
+    staged = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    try:
+        writer.format(fmt).save(staged)
+    except Exception:
+        _delete(df.sparkSession, staged)
+        raise
+    _swap(df.sparkSession, staged, path.rstrip("/"))
+
+
+# Formats that are folders of files, without commits of their own.
+PLAIN_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of a table; the former one goes last.
+
+    A reader finds the former table, for the time of two renames none, then the new one; never a
+    half-written one. If the second rename fails, the former table is put back.
+    """
+    files, new = _file_system(spark, staged)
+    _, place = _file_system(spark, path)
+    _, former = _file_system(spark, f"{path}.old-{uuid.uuid4().hex}")
+    had = files.exists(place)
+    if had and not files.rename(place, former):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(new, place):
+        if had:
+            files.rename(former, place)
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        files.delete(former, True)
 
 
 def publish(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> DataFrame:
@@ -54,7 +98,8 @@ def scratch_folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         shared = tempfile.mkdtemp(prefix="tillroll-")
         spark.sparkContext.setCheckpointDir(shared)
