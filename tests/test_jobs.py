@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 import pytest
 
 from tillroll import jobs
-from tillroll.domain import TABLE_COLUMNS
+from tillroll.domain import TABLE_COLUMNS, Settings
 from tillroll.operators.quality import QualityGateError
+from tillroll.plans import checks
+from tillroll.plans.activity import household_transactions_from_sales
 from tillroll.plans.refresh import BUILDERS, Store
 from tillroll.sources import sinks, star
 
@@ -59,6 +62,32 @@ def test_damaged_table_is_found_by_checking_alone(spark, inputs, tmp_path):
         _run(inputs, f"{tmp_path}/bad", "--tables", "card_shop_dates", "--steps", "check")
 
 
+def test_banners_scopes_and_location_types_are_the_callers(spark, inputs, tmp_path):
+    out, report = str(tmp_path / "out"), str(tmp_path / "report")
+    own = {
+        "daily_banners": ["BLF"],
+        "banner_groups": {"qf": ["QF"], "both": ["SOF", "BLF"], "uf": ["UF"]},
+        "location_types": ["ST"],
+        "shop_scopes": {"quick": ["QF"]},
+    }
+    tables = ["pos_daily_agg_card", "pos_daily_agg_hhn", "card_shop_dates", "household_shop_dates", "card_transactions", "household_transactions"]
+    _run(inputs, out, "--settings", json.dumps(own), "--report", report, "--tables", *tables)
+    log = spark.read.option("header", True).csv(sinks.report_path(report, AS_OF)).collect()
+    assert {r.table_name for r in log} == {checks.REPORT_NAMES[name] for name in tables}
+    flags = spark.read.parquet(f"{out}/household_transactions")
+    assert [c for c in flags.columns if c.endswith("4wk_flag")] == [f"{g}_{c}_current_4wk_flag" for g in own["banner_groups"] for c in ("instore", "ecomm")]
+    dates = spark.read.parquet(f"{out}/household_shop_dates")
+    assert dates.columns[1:9] == [f"{s}_{c}_{e}_shop_date" for s in ("quick", "pfg") for c in ("instore", "ecom") for e in ("first", "last")]
+    # The weeks of the narrower choice are found by the plan from sales, and by the banners of the stores.
+    settings = Settings(**own)
+    gold = star.gold(spark, SF)
+    again = household_transactions_from_sales(gold, AS_OF, groups=settings.banner_groups, location_types=["ST"])
+    assert flags.select(*again.columns).exceptAll(again).isEmpty() and again.count() == flags.count() > 0
+    stores = gold.location_dim.filter("current_banner_short_name = 'BLF'")
+    daily = spark.read.parquet(f"{out}/pos_daily_agg_card")
+    assert daily.count() == daily.join(stores, "location_hk").count() > 0
+
+
 def test_unknown_table_is_refused(spark, tmp_path):
     store = Store(star.gold(spark, SF), star.silver(spark, SF), AS_OF, str(tmp_path))
     with pytest.raises(ValueError, match="receipts"):

@@ -65,8 +65,12 @@ def test_no_query_pairs_rows_without_a_key(spark, name):
 
 
 def test_date_bounds_reach_the_scan(spark):
-    for name in ("pos_daily_agg_card", "card_transactions", "card_shop_dates"):
-        assert re.search(r"PushedFilters: \[[^\]]*o_orderdate", _plan(QUERIES[name](spark, SF)))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for name, first_day in (("pos_daily_agg_card", True), ("card_transactions", True), ("card_shop_dates", False)):
+        pushed = re.findall(r"PushedFilters: \[[^\]]*", _plan(QUERIES[name](spark, SF)))
+        assert any(re.search(r"LessThan(OrEqual)?\(o_orderdate,2001-07-2[89]", p) for p in pushed), pushed
+        assert not first_day or any(re.search(r"GreaterThan(OrEqual)?\(o_orderdate,199\d-", p) for p in pushed), pushed
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_card_activity_reduces_facts_before_customers_are_joined(spark):

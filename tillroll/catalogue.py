@@ -394,7 +394,7 @@ def dq_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_flag_implication(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = activity.card_transactions(star.gold(spark, sf_dir), AS_OF)
-    return quality.implication_counts(flags, checks.FLAG_IMPLICATIONS)
+    return quality.implication_counts(flags, checks.flag_implications())
 
 
 @query
@@ -424,5 +424,5 @@ def dq_row_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh and store all seven tables, then run every check on what was stored."""
     gold, silver = star.gold(spark, sf_dir), star.silver(spark, sf_dir)
-    store = refresh.Store(gold, silver, AS_OF, sinks.scratch_folder(spark), layout={})
+    store = refresh.Store(gold, silver, AS_OF, sinks.scratch_folder(spark))
     return checks.quality_report(store.refresh(), store.table, gold, silver, AS_OF)

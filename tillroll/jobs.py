@@ -2,18 +2,20 @@
 
     spark-submit --py-files ... tillroll/jobs.py --gold <folder> --silver <folder> --out <folder>
         [--as-of 2001-08-01T06:00:00] [--tables card_transactions ...] [--report <folder>] [--publish]
-        [--steps refresh check] [--format parquet]
+        [--steps refresh check] [--format parquet] [--settings '{"location_types": ["ST"]}']
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import SparkSession
 
+from tillroll.domain import Settings
 from tillroll.operators import quality
 from tillroll.plans import checks
 from tillroll.plans.refresh import BUILDERS, Store
@@ -39,7 +41,7 @@ def refresh(store: Store, names: Sequence[str], publish: bool = False) -> None:
 def check(store: Store, names: Sequence[str], report_base: str | None = None) -> None:
     """Run the checks of the named stored tables, log them and fail on a failed gating check."""
     tables = {name: store.table(name) for name in names}
-    report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of)
+    report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of, store.settings)
     # A handful of rows, stored once so that logging and judging them runs the checks only once.
     results = sinks.stored(report, sinks.scratch_folder(store.spark))
     if report_base:
@@ -61,11 +63,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--report", help="folder for the check reports")
     parser.add_argument("--publish", action="store_true", help="(re-)create the catalog tables")
     parser.add_argument("--format", default="parquet", help="format of input and output tables")
+    parser.add_argument("--settings", type=lambda text: Settings(**json.loads(text)), default=Settings(), help="JSON object of settings that differ from the defaults")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("tillroll").getOrCreate()
     as_of = args.as_of or pacific_now()
     gold, silver = read_gold(spark, args.gold, args.format), read_silver(spark, args.silver, args.format)
-    store = Store(gold, silver, as_of, args.out, fmt=args.format)
+    store = Store(gold, silver, as_of, args.out, fmt=args.format, settings=args.settings)
     if "refresh" in args.steps:
         refresh(store, args.tables, args.publish)
     if "check" in args.steps:

@@ -15,9 +15,9 @@ from tillroll.domain import (
     FLAG_CHANNELS,
     HISTORY_MONTHS,
     LOCATION_TYPES,
-    TABLE_COLUMNS,
     flag_columns,
     series_names,
+    table_columns,
 )
 from tillroll.functions.calendar import WeeklyBounds
 from tillroll.functions.retail import stamped
@@ -77,31 +77,44 @@ def _series(bounds: WeeklyBounds, groups: Mapping[str, Sequence[str]]) -> dict[s
     return series
 
 
-def card_histories(tables: GoldTables, bounds: WeeklyBounds) -> DataFrame:
+def card_histories(
+    tables: GoldTables,
+    bounds: WeeklyBounds,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+    location_types: Sequence[str] = LOCATION_TYPES,
+) -> DataFrame:
     """Activity bitmaps with history per identified card and 32-week block.
 
     Facts are reduced per customer version before customers are joined: the join sees a handful of
     rows per version, and none of a busy version's (or the anonymous card's) individual sales.
     """
-    series = _series(bounds, BANNER_GROUPS)
-    by_version = weekly_bitmaps(weekly_facts(tables, bounds), "customer_hk", "fiscal_date", series)
+    series = _series(bounds, groups)
+    facts = weekly_facts(tables, bounds, groups, location_types)
+    by_version = weekly_bitmaps(facts, "customer_hk", "fiscal_date", series)
     cards = identified_cards(tables.customer_dim).select("customer_hk", "card_number")
     return with_history(by_version.join(cards, "customer_hk"), "card_number", list(series))
 
 
-def card_transactions(tables: GoldTables, as_of: datetime, months: int = HISTORY_MONTHS) -> DataFrame:
-    """Twelve 0/1 flags per card and week, for every week up to 25 weeks after a shopping week."""
+def card_transactions(
+    tables: GoldTables,
+    as_of: datetime,
+    months: int = HISTORY_MONTHS,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+    location_types: Sequence[str] = LOCATION_TYPES,
+) -> DataFrame:
+    """0/1 flags (six for each banner group) per card and week, for every week up to 25 weeks after a
+    shopping week."""
     bounds = WeeklyBounds.of(as_of.date(), months)
     flags = flags_per_week(
-        card_histories(tables, bounds),
+        card_histories(tables, bounds, groups, location_types),
         "card_number",
         _PRESENCE,
-        series_names(),
+        series_names(groups),
         ACTIVITY_WINDOWS,
         bounds.card_first_week,
         bounds.last_day,
     )
-    return stamped(flags, as_of, "dl_load_dt", "dl_update_dt").select(*TABLE_COLUMNS["card_transactions"])
+    return stamped(flags, as_of, "dl_load_dt", "dl_update_dt").select(*table_columns(groups)["card_transactions"])
 
 
 def household_transactions(
@@ -109,24 +122,31 @@ def household_transactions(
     customer_dim: DataFrame,
     as_of: datetime,
     months: int = HISTORY_MONTHS,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
 ) -> DataFrame:
     """Household flags from the stored card table: a flag is set when any card of the household has it.
 
-    The twelve flags travel through both shuffles as one integer and are merged by ``bit_or``.
+    The flags travel through both shuffles as one integer and are merged by ``bit_or``.
     """
     bounds = WeeklyBounds.of(as_of.date(), months)
     merged = (
         card_flags.filter(F.col("week_end_date").between(bounds.household_first_week, bounds.last_day))
-        .select("card_number", "week_end_date", pack_flags(flag_columns()).alias("flags"))
+        .select("card_number", "week_end_date", pack_flags(flag_columns(groups)).alias("flags"))
         .join(household_of_card(customer_dim), "card_number")
         .groupBy("hhn", "week_end_date")
         .agg(F.bit_or("flags").alias("flags"))
     )
-    flags = merged.select("hhn", "week_end_date", *unpack_flags("flags", flag_columns()))
-    return stamped(flags, as_of, "dl_load_dt").select(*TABLE_COLUMNS["household_transactions"])
+    flags = merged.select("hhn", "week_end_date", *unpack_flags("flags", flag_columns(groups)))
+    return stamped(flags, as_of, "dl_load_dt").select(*table_columns(groups)["household_transactions"])
 
 
-def household_transactions_from_sales(tables: GoldTables, as_of: datetime, months: int = HISTORY_MONTHS) -> DataFrame:
+def household_transactions_from_sales(
+    tables: GoldTables,
+    as_of: datetime,
+    months: int = HISTORY_MONTHS,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+    location_types: Sequence[str] = LOCATION_TYPES,
+) -> DataFrame:
     """The same table straight from the facts, for when the card table is not at hand.
 
     Card bitmaps are merged per household before any weekly row exists. This is exact because the
@@ -134,15 +154,16 @@ def household_transactions_from_sales(tables: GoldTables, as_of: datetime, month
     card row.
     """
     bounds = WeeklyBounds.of(as_of.date(), months)
-    histories = card_histories(tables, bounds).join(household_of_card(tables.customer_dim), "card_number")
-    series = [_PRESENCE, *series_names()]
+    cards = card_histories(tables, bounds, groups, location_types)
+    histories = cards.join(household_of_card(tables.customer_dim), "card_number")
+    series = [_PRESENCE, *series_names(groups)]
     flags = flags_per_week(
         merge_keys(histories, "hhn", series),
         "hhn",
         _PRESENCE,
-        series_names(),
+        series_names(groups),
         ACTIVITY_WINDOWS,
         bounds.household_first_week,
         bounds.last_day,
     )
-    return stamped(flags, as_of, "dl_load_dt").select(*TABLE_COLUMNS["household_transactions"])
+    return stamped(flags, as_of, "dl_load_dt").select(*table_columns(groups)["household_transactions"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from tillroll.domain import (
     ANONYMOUS_CARD,
+    BANNER_GROUPS,
     CARD_TYPE_ALIASES,
     HOUSEHOLD_TYPES,
     MIXED_HOUSEHOLD,
-    TABLE_COLUMNS,
+    SOF_BANNERS,
     TABLE_KEYS,
     UNKNOWN_CARD_TYPE,
+    Settings,
     flag_columns,
     series_names,
 )
@@ -54,17 +56,19 @@ HOUSEHOLD_DATES_COVERAGE_CHECK = (
 # Recorded in the report, but no reason to fail a run.
 ADVISORY_CHECKS = (HOUSEHOLD_COVERAGE_CHECK,)
 
+
 # A shop in the last 4 weeks is also one in the last 13.
-FLAG_IMPLICATIONS = {f"{name}_current_4wk_flag": f"{name}_current_13wk_flag" for name in series_names()}
+def flag_implications(groups: Mapping[str, Sequence[str]] = BANNER_GROUPS) -> dict[str, str]:
+    return {f"{name}_current_4wk_flag": f"{name}_current_13wk_flag" for name in series_names(groups)}
 
 
-def sold_to(gold: GoldTables, as_of: datetime, attribute: str) -> DataFrame:
+def sold_to(gold: GoldTables, as_of: datetime, attribute: str, banners: Sequence[str] = SOF_BANNERS) -> DataFrame:
     """Distinct cards (or households) behind the facts of the daily tables.
 
     Customer versions are made distinct before the dimension is joined, so the join never sees
     individual sales.
     """
-    versions = daily_facts(gold, as_of).select("customer_hk").distinct()
+    versions = daily_facts(gold, as_of, banners).select("customer_hk").distinct()
     return versions.join(gold.customer_dim, "customer_hk").select(attribute).distinct()
 
 
@@ -120,6 +124,7 @@ def table_checks(
     gold: GoldTables,
     silver: SilverTables,
     as_of: datetime,
+    settings: Settings = Settings(),
 ) -> list[DataFrame]:
     """Verdicts of the checks that belong to one table.
 
@@ -127,7 +132,7 @@ def table_checks(
     """
     duplicate_check = SHOP_DATES_DUPLICATE_CHECK if name.endswith("shop_dates") else DUPLICATE_CHECK
     verdicts = [
-        quality.column_check(COLUMN_CHECK, df, TABLE_COLUMNS[name]),
+        quality.column_check(COLUMN_CHECK, df, settings.columns[name]),
         quality.passed_if_empty(duplicate_check, quality.duplicate_keys(df, TABLE_KEYS[name])),
     ]
     if name.startswith("pos_daily"):
@@ -137,8 +142,8 @@ def table_checks(
             quality.row_checks(
                 df,
                 {
-                    FLAG_NULL_CHECK: quality.any_null(flag_columns()),
-                    FLAG_VALUE_CHECK: quality.broken_implication(FLAG_IMPLICATIONS),
+                    FLAG_NULL_CHECK: quality.any_null(flag_columns(settings.banner_groups)),
+                    FLAG_VALUE_CHECK: quality.broken_implication(flag_implications(settings.banner_groups)),
                 },
             )
         )
@@ -150,10 +155,10 @@ def table_checks(
     agree = (F.col("only_in_source") == 0) & (F.col("only_in_target") == 0)
     customers = gold.customer_dim
     if name == "pos_daily_agg_card":
-        sides = quality.reconcile(sold_to(gold, as_of, "card_number"), cards_in(df, customers), ["card_number"])
+        sides = quality.reconcile(sold_to(gold, as_of, "card_number", settings.daily_banners), cards_in(df, customers), ["card_number"])
         verdicts.append(quality.passed_if(CARD_COUNT_CHECK, sides, agree))
     elif name == "pos_daily_agg_hhn":
-        source = sold_to(gold, as_of, "current_household_id").withColumnRenamed("current_household_id", "hhn")
+        source = sold_to(gold, as_of, "current_household_id", settings.daily_banners).withColumnRenamed("current_household_id", "hhn")
         verdicts.append(quality.passed_if(HOUSEHOLD_COUNT_CHECK, quality.reconcile(source, df, ["hhn"]), agree))
     elif name == "household_transactions":
         source = households_of_active_cards(stored("card_transactions"), customers, as_of)
@@ -174,9 +179,10 @@ def quality_report(
     gold: GoldTables,
     silver: SilverTables,
     as_of: datetime,
+    settings: Settings = Settings(),
 ) -> DataFrame:
     """All checks of the given tables as one DataFrame, one row per check."""
     verdicts = {
-        REPORT_NAMES[name]: table_checks(name, df, stored, gold, silver, as_of) for name, df in tables.items()
+        REPORT_NAMES[name]: table_checks(name, df, stored, gold, silver, as_of, settings) for name, df in tables.items()
     }
     return quality.report(verdicts, as_of)

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.domain import TABLE_COLUMNS, TABLE_PARTITIONS
+from tillroll.domain import TABLE_PARTITIONS, Settings
 from tillroll.plans import activity, daily_sales, household_types, shop_dates
 from tillroll.sources.sinks import full_refresh
 from tillroll.sources.tables import GoldTables, SilverTables, read_table
@@ -27,6 +27,7 @@ class Store:
     base: str
     layout: Mapping[str, str] = field(default_factory=lambda: TABLE_PARTITIONS)
     fmt: str = "parquet"
+    settings: Settings = Settings()
 
     @property
     def spark(self) -> SparkSession:
@@ -39,7 +40,7 @@ class Store:
         """A stored table. Storage moves the partition column to the end, so the order is restored;
         columns that are not expected stay visible at the end for the column check to find."""
         df = read_table(self.spark, self.path(name), fmt=self.fmt)
-        expected = [column for column in TABLE_COLUMNS[name] if column in df.columns]
+        expected = [column for column in self.settings.columns[name] if column in df.columns]
         return df.select(*expected, *[column for column in df.columns if column not in expected])
 
     def refresh(self, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
@@ -56,17 +57,23 @@ class Store:
 
 # In dependency order: household tables are built from the stored card tables.
 BUILDERS: dict[str, Callable[[Store], DataFrame]] = {
-    "pos_daily_agg_card": lambda store: daily_sales.pos_daily_agg_card(store.gold, store.as_of),
+    "pos_daily_agg_card": lambda store: daily_sales.pos_daily_agg_card(
+        store.gold, store.as_of, store.settings.daily_banners
+    ),
     "pos_daily_agg_hhn": lambda store: daily_sales.pos_daily_agg_hhn(
         store.table("pos_daily_agg_card"), store.gold.customer_dim, store.as_of
     ),
-    "card_shop_dates": lambda store: shop_dates.card_shop_dates(store.silver, store.as_of),
+    "card_shop_dates": lambda store: shop_dates.card_shop_dates(
+        store.silver, store.as_of, store.settings.shop_scopes, store.settings.location_types
+    ),
     "household_shop_dates": lambda store: shop_dates.household_shop_dates(
-        store.table("card_shop_dates"), store.gold.customer_dim, store.as_of
+        store.table("card_shop_dates"), store.gold.customer_dim, store.as_of, store.settings.shop_scopes
+    ),
+    "card_transactions": lambda store: activity.card_transactions(
+        store.gold, store.as_of, groups=store.settings.banner_groups, location_types=store.settings.location_types
     ),
-    "card_transactions": lambda store: activity.card_transactions(store.gold, store.as_of),
     "household_transactions": lambda store: activity.household_transactions(
-        store.table("card_transactions"), store.gold.customer_dim, store.as_of
+        store.table("card_transactions"), store.gold.customer_dim, store.as_of, groups=store.settings.banner_groups
     ),
     "household_type": lambda store: household_types.household_type(store.gold.customer_dim, store.as_of),
 }

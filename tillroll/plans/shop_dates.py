@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tillroll.domain import (
     ANONYMOUS_CARD,
     LOCATION_TYPES,
+    OVERALL_SCOPE,
     SHOP_CHANNELS,
     SHOP_SCOPES,
-    TABLE_COLUMNS,
+    all_scopes,
     shop_date_columns,
+    table_columns,
 )
 from tillroll.functions.calendar import last_saturday
 from tillroll.functions.retail import stamped
@@ -64,24 +66,34 @@ def customer_shop_dates(
     )
     channels = {channel: F.col("ecomm_flag") == ecomm_flag for channel, ecomm_flag in SHOP_CHANNELS.items()}
     per_banner = first_last(visits, ["customer_id", "banner_short_name"], "fiscal_date", channels)
-    selections = {scope: _scope(banners) for scope, banners in scopes.items()}
+    selections = {scope: _scope(banners) for scope, banners in all_scopes(scopes).items()}
     dates = pivot_first_last(per_banner, "customer_id", list(channels), selections, _SUFFIX)
-    return overall(dates, "pfg_overall", [f"pfg_{channel}" for channel in channels], _SUFFIX)
+    return overall(dates, f"{OVERALL_SCOPE}_overall", [f"{OVERALL_SCOPE}_{channel}" for channel in channels], _SUFFIX)
 
 
-def card_shop_dates(tables: SilverTables, as_of: datetime) -> DataFrame:
+def card_shop_dates(
+    tables: SilverTables,
+    as_of: datetime,
+    scopes: Mapping[str, Sequence[str] | None] = SHOP_SCOPES,
+    location_types: Sequence[str] = LOCATION_TYPES,
+) -> DataFrame:
     """One row per identified card, with NULL dates where it never shopped.
 
     The latest version gives each card exactly one customer id, so joining the finished customer
     rows to the cards needs no further grouping and no second pass to bring back idle cards.
     """
-    dates = customer_shop_dates(tables, last_saturday(as_of.date()))
+    dates = customer_shop_dates(tables, last_saturday(as_of.date()), scopes, location_types)
     cards = current_cards(tables.customer)
     joined = cards.join(dates, cards["ldw_customer_id"] == dates["customer_id"], "left")
-    return stamped(joined, as_of, "dl_load_dt").select(*TABLE_COLUMNS["card_shop_dates"])
+    return stamped(joined, as_of, "dl_load_dt").select(*table_columns(scopes=scopes)["card_shop_dates"])
 
 
-def household_shop_dates(card_dates: DataFrame, customer_dim: DataFrame, as_of: datetime) -> DataFrame:
+def household_shop_dates(
+    card_dates: DataFrame,
+    customer_dim: DataFrame,
+    as_of: datetime,
+    scopes: Mapping[str, Sequence[str] | None] = SHOP_SCOPES,
+) -> DataFrame:
     """Shop dates over all cards ever seen in a household; cards that moved count in both."""
     memberships = (
         customer_dim.filter(F.col("card_number") != ANONYMOUS_CARD)
@@ -89,5 +101,5 @@ def household_shop_dates(card_dates: DataFrame, customer_dim: DataFrame, as_of:
         .distinct()
     )
     joined = card_dates.drop("dl_load_dt", "dl_update_dt").join(memberships, "card_number")
-    dates = merge_first_last(joined, "hhn", shop_date_columns())
-    return stamped(dates, as_of, "dl_load_dt").select(*TABLE_COLUMNS["household_shop_dates"])
+    dates = merge_first_last(joined, "hhn", shop_date_columns(scopes))
+    return stamped(dates, as_of, "dl_load_dt").select(*table_columns(scopes=scopes)["household_shop_dates"])
