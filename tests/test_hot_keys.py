@@ -11,9 +11,10 @@ from tests.small_tables import CURRENT, gold, silver
 from tillroll.operators import quality
 from tillroll.operators.spans import flag_in_window
 from tillroll.operators.versions import latest_version
-from tillroll.plans.activity import card_transactions
-from tillroll.plans.daily_sales import pos_daily_agg_card
-from tillroll.plans.shop_dates import card_shop_dates
+from tillroll.operators.skew import SPREAD, busy_keys, join_spread
+from tillroll.plans.activity import card_transactions, household_transactions_from_sales
+from tillroll.plans.daily_sales import pos_daily_agg_card, pos_daily_agg_hhn
+from tillroll.plans.shop_dates import card_shop_dates, household_shop_dates
 from tillroll.sources.tables import GoldTables, SilverTables
 
 AS_OF = datetime(2001, 8, 1)
@@ -102,6 +103,68 @@ def test_daily_sales_spread_a_customer_over_transactions(spark, adaptive_off, ho
     assert final <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_busy_key_is_spread_where_it_meets_its_dimension(spark, adaptive_off, no_broadcast, hot_facts):
+    rows = hot_facts.select("customer_hk", "fiscal_date", "transaction_number")
+    names = hot_facts.select("customer_hk").distinct().withColumn("name", F.concat(F.lit("n"), "customer_hk"))
+    assert sorted(r.customer_hk for r in busy_keys(rows, "customer_hk").collect() if r.customer_hk < 100) == [10, 99]
+    joined = join_spread(rows, names, "customer_hk", ["fiscal_date", "transaction_number"])
+    assert joined.exceptAll(rows.join(names, "customer_hk").select(*joined.columns)).isEmpty() and joined.count() == ROWS
+    tasks = [r["count"] for r in joined.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()]
+    plain = rows.join(names, "customer_hk").withColumn("task", F.spark_partition_id()).groupBy("task").count()
+    # Each of the two hot keys holds a third of the rows, and lands in one task where it is not spread.
+    assert max(r["count"] for r in plain.collect()) >= ROWS // 3
+    assert max(tasks) < 1.5 * ROWS / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_spread_join_without_busy_keys_rows_or_partners(spark):
+    many = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    assert busy_keys(many, "k").isEmpty() and busy_keys(many.limit(0), "k").isEmpty()
+    half = many.filter("k % 2 = 0").select("k", F.lit("x").alias("name"))
+    assert join_spread(many, half, "k", ["v"]).count() == 2500
+    assert join_spread(many.limit(0), half, "k", ["v"]).count() == 0
+    empty_key = spark.createDataFrame([(None, 1), (3, 2), (3, 3)], "k bigint, v bigint")
+    assert sorted((r.k, r.v) for r in join_spread(empty_key, many.select("k"), "k", ["v"]).collect()) == [(3, 2), (3, 3)]
+
+
+def test_daily_household_sales_spread_the_anonymous_card(spark, adaptive_off, no_broadcast, hot_facts):
+    i = F.col("transaction_number")
+    spread = hot_facts.filter("customer_hk in (10, 99)").withColumn("location_hk", i % 100).withColumn("fiscal_date", F.lit(date(2001, 7, 1)))
+    cards = spread.groupBy("fiscal_date", "customer_hk", "location_hk").agg(F.lit("In Store").alias("channel"), *[F.count("*").alias(c) for c in ("transaction_count", "sales", "scan", "units", "items")])
+    customers = gold(spark, [], CUSTOMERS).customer_dim
+    df = pos_daily_agg_hhn(cards, customers, AS_OF)
+    assert {r.hhn: r.total for r in df.groupBy("hhn").agg(F.sum("items").alias("total")).collect()} == {"h": ROWS // 3, None: ROWS // 3}
+    # The two busy versions of the dimension are repeated; Spark drops the third, which has no rows.
+    assert 2 * SPREAD in _shuffled(df)
+
+
+def test_household_shop_dates_shuffle_one_row_per_household(spark, adaptive_off):
+    small = silver(spark, [(date(2001, 7, 1), 10, 1, "Non-Ecomm Sale")], [(10, "5", CURRENT)])
+    one = card_shop_dates(small, AS_OF).drop("card_number")
+    cards = spark.range(0, 4000, 1, PARTITIONS).select(F.col("id").cast("string").alias("card_number"))
+    versions = [(k, str(k), "h", None, CURRENT) for k in range(1, 4000)]
+    df = household_shop_dates(cards.join(F.broadcast(one)), gold(spark, [], versions).customer_dim, AS_OF)
+    assert [r.sof_instore_first_shop_date for r in df.collect()] == [date(2001, 7, 1)]
+    # Memberships are made distinct by card; the household's 3,999 cards arrive as one row per task.
+    assert _shuffled(df)[0] <= max(PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def test_household_activity_shuffles_blocks_of_a_household(spark, adaptive_off, hot_facts):
+    facts = hot_facts.filter("customer_hk >= 100")
+    versions = [(k, str(k), "h", None, CURRENT) for k in range(100, 150)]
+    small = gold(spark, [], versions)
+    df = household_transactions_from_sales(GoldTables(facts, small.location_dim, small.item_dim, small.register_dim, small.customer_dim), AS_OF)
+    assert df.count() > 50
+    # 50 cards of one household: six blocks for each task before the merge, whatever the number of weeks.
+    assert _shuffled(df)[0] <= 6 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_latest_version_sends_one_row_per_partition(spark, adaptive_off):
     versions = spark.range(0, ROWS, 1, PARTITIONS).select(
         (F.col("id") % 1).cast("string").alias("card_number"),

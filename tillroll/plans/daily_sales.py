@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillroll.domain import HISTORY_MONTHS, SOF_BANNERS, TABLE_COLUMNS
 from tillroll.functions.calendar import DailyBounds
 from tillroll.functions.retail import sales_channel, stamped
+from tillroll.operators.skew import join_spread
 from tillroll.sources.tables import GoldTables
 
 
@@ -70,13 +71,17 @@ def pos_daily_agg_hhn(
     months: int = HISTORY_MONTHS,
 ) -> DataFrame:
     """Card-level rows summed per household. Transaction counts are added up, not counted afresh:
-    a transaction that touches two channels or two card versions counts in each."""
+    a transaction that touches two channels or two card versions counts in each.
+
+    A busy version (the anonymous card has rows for every day, store and channel) is spread over
+    many tasks where its rows meet their household.
+    """
     bounds = DailyBounds.of(as_of.date(), months)
     households = customer_dim.select("customer_hk", F.col("current_household_id").alias("hhn"))
     measures = ["transaction_count", "sales", "scan", "units", "items"]
+    rows = card_daily.filter(F.col("fiscal_date").between(bounds.first_day, bounds.last_day))
     daily = (
-        card_daily.filter(F.col("fiscal_date").between(bounds.first_day, bounds.last_day))
-        .join(households, "customer_hk")
+        join_spread(rows, households, "customer_hk", ["fiscal_date", "location_hk", "channel"])
         .groupBy("fiscal_date", "hhn", "location_hk", "channel")
         .agg(*[F.sum(name).alias(name) for name in measures])
     )
