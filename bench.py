@@ -28,12 +28,14 @@ HEADLINE = [
     "card_transactions",
     "household_transactions",
     "household_transactions_from_sales",
+    "household_transactions_from_cards",
     "household_type",
     "range_join_weeks",
     "semi_join_flag",
     "dq_flag_implication",
     "dq_distinct_count_recon",
     "dq_row_mismatch",
+    "dq_report",
 ]
 
 

@@ -323,6 +323,7 @@ ORACLES: dict[str, str] = {
     "card_transactions": _sql("SELECT * FROM card_transactions", "card_transactions"),
     "household_transactions": _sql("SELECT * FROM household_transactions", "household_transactions"),
     "household_transactions_from_sales": _sql("SELECT * FROM household_transactions", "household_transactions"),
+    "household_transactions_from_cards": _sql("SELECT * FROM household_transactions", "household_transactions"),
     "household_type": _sql(f"SELECT *, {STAMP} AS dl_load_dt FROM household_types", "household_types"),
     # projections, filters, expressions
     "project_fact": _sql(

@@ -80,6 +80,14 @@ def card_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def household_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = star.gold(spark, sf_dir)
+    histories = activity.card_histories(gold, calendar.WeeklyBounds.of(AS_OF.date()))
+    return activity.household_flags(histories, gold.customer_dim, AS_OF)
+
+
+@query
+def household_transactions_from_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the weekly rows of the card table."""
     gold = star.gold(spark, sf_dir)
     return activity.household_transactions(activity.card_transactions(gold, AS_OF), gold.customer_dim, AS_OF)
 
@@ -424,5 +432,7 @@ def dq_row_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh and store all seven tables, then run every check on what was stored."""
     gold, silver = star.gold(spark, sf_dir), star.silver(spark, sf_dir)
-    store = refresh.Store(gold, silver, AS_OF, sinks.scratch_folder(spark))
-    return checks.quality_report(store.refresh(), store.table, gold, silver, AS_OF)
+    with sinks.scratch(spark) as base:
+        store = refresh.Store(gold, silver, AS_OF, base)
+        report = checks.quality_report(store.refresh(), store.table, gold, silver, AS_OF)
+        return sinks.stored(report, sinks.scratch_folder(spark))

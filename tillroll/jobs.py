@@ -42,11 +42,12 @@ def check(store: Store, names: Sequence[str], report_base: str | None = None) ->
     """Run the checks of the named stored tables, log them and fail on a failed gating check."""
     tables = {name: store.table(name) for name in names}
     report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of, store.settings)
-    # A handful of rows, stored once so that logging and judging them runs the checks only once.
-    results = sinks.stored(report, sinks.scratch_folder(store.spark))
-    if report_base:
-        sinks.append_report(results, report_base, store.as_of)
-    quality.enforce(results, advisory=checks.ADVISORY_CHECKS)
+    with sinks.scratch(store.spark) as folder:
+        # A handful of rows, stored once so that logging and judging them runs the checks only once.
+        results = sinks.stored(report, folder)
+        if report_base:
+            sinks.append_report(results, report_base, store.as_of)
+        quality.enforce(results, advisory=checks.ADVISORY_CHECKS)
 
 
 STEPS = ("refresh", "check")

@@ -105,8 +105,19 @@ def card_transactions(
     """0/1 flags (six for each banner group) per card and week, for every week up to 25 weeks after a
     shopping week."""
     bounds = WeeklyBounds.of(as_of.date(), months)
+    return card_flags(card_histories(tables, bounds, groups, location_types), as_of, months, groups)
+
+
+def card_flags(
+    histories: DataFrame,
+    as_of: datetime,
+    months: int = HISTORY_MONTHS,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+) -> DataFrame:
+    """The card table from bitmaps that ``card_histories`` made for the same run date, months and groups."""
+    bounds = WeeklyBounds.of(as_of.date(), months)
     flags = flags_per_week(
-        card_histories(tables, bounds, groups, location_types),
+        histories,
         "card_number",
         _PRESENCE,
         series_names(groups),
@@ -147,15 +158,26 @@ def household_transactions_from_sales(
     groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
     location_types: Sequence[str] = LOCATION_TYPES,
 ) -> DataFrame:
-    """The same table straight from the facts, for when the card table is not at hand.
+    """The same table straight from the facts."""
+    bounds = WeeklyBounds.of(as_of.date(), months)
+    histories = card_histories(tables, bounds, groups, location_types)
+    return household_flags(histories, tables.customer_dim, as_of, months, groups)
+
+
+def household_flags(
+    card_bitmaps: DataFrame,
+    customer_dim: DataFrame,
+    as_of: datetime,
+    months: int = HISTORY_MONTHS,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+) -> DataFrame:
+    """The household table from the bitmaps of ``card_histories``, merged before any weekly row exists.
 
-    Card bitmaps are merged per household before any weekly row exists. This is exact because the
-    household weeks start 25 weeks after the card weeks: whatever a row looks back on also made a
-    card row.
+    This is exact because the household weeks start 25 weeks after the card weeks: whatever a row
+    looks back on also made a card row.
     """
     bounds = WeeklyBounds.of(as_of.date(), months)
-    cards = card_histories(tables, bounds, groups, location_types)
-    histories = cards.join(household_of_card(tables.customer_dim), "card_number")
+    histories = card_bitmaps.join(household_of_card(customer_dim), "card_number")
     series = [_PRESENCE, *series_names(groups)]
     flags = flags_per_week(
         merge_keys(histories, "hhn", series),

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.domain import TABLE_PARTITIONS, Settings
+from tillroll.functions.calendar import WeeklyBounds
 from tillroll.plans import activity, daily_sales, household_types, shop_dates
-from tillroll.sources.sinks import full_refresh
+from tillroll.sources.sinks import full_refresh, scratch, stored
 from tillroll.sources.tables import GoldTables, SilverTables, read_table
 
 
@@ -49,31 +52,101 @@ class Store:
         unknown = wanted - set(BUILDERS)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
-        for name, build in BUILDERS.items():
-            if name in wanted:
-                full_refresh(build(self), self.path(name), self.layout.get(name), self.fmt)
+        with scratch(self.spark) as folder:
+            run = Run(self, folder)
+            for name, build in BUILDERS.items():
+                if name in wanted:
+                    full_refresh(build(run), self.path(name), self.layout.get(name), self.fmt)
         return {name: self.table(name) for name in BUILDERS if name in wanted}
 
 
-# In dependency order: household tables are built from the stored card tables.
-BUILDERS: dict[str, Callable[[Store], DataFrame]] = {
-    "pos_daily_agg_card": lambda store: daily_sales.pos_daily_agg_card(
-        store.gold, store.as_of, store.settings.daily_banners
-    ),
-    "pos_daily_agg_hhn": lambda store: daily_sales.pos_daily_agg_hhn(
-        store.table("pos_daily_agg_card"), store.gold.customer_dim, store.as_of
-    ),
-    "card_shop_dates": lambda store: shop_dates.card_shop_dates(
-        store.silver, store.as_of, store.settings.shop_scopes, store.settings.location_types
-    ),
-    "household_shop_dates": lambda store: shop_dates.household_shop_dates(
+@dataclass(frozen=True)
+class Run:
+    """One refresh, and what several of its tables are built from.
+
+    The keys that sales are joined on are stored as narrow tables, so that Spark knows their true
+    size when it chooses between sending them to the sales and shuffling the sales. The weekly tables
+    share the stored histories of cards, so the facts are read once for both.
+    """
+
+    store: Store
+    folder: str
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        return stored(df, f"{self.folder}/{name}")
+
+    @cached_property
+    def gold(self) -> GoldTables:
+        gold = self.store.gold
+        items = gold.item_dim.filter(F.col("current_financial_sale_flag") == "Y")
+        locations = gold.location_dim.select("location_hk", "current_banner_short_name", "location_type")
+        return replace(
+            gold,
+            item_dim=self._stored(items.select("item_hk", "current_financial_sale_flag"), "items"),
+            location_dim=self._stored(locations, "locations"),
+        )
+
+    @cached_property
+    def current_items(self) -> DataFrame:
+        return self._stored(shop_dates.current_items(self.store.silver.item), "current_items")
+
+    @cached_property
+    def current_stores(self) -> DataFrame:
+        stores = shop_dates.current_stores(self.store.silver.location, self.store.settings.location_types)
+        return self._stored(stores, "current_stores")
+
+    @cached_property
+    def card_histories(self) -> DataFrame:
+        settings, bounds = self.store.settings, WeeklyBounds.of(self.store.as_of.date())
+        found = activity.card_histories(self.gold, bounds, settings.banner_groups, settings.location_types)
+        return self._stored(found, "card_histories")
+
+
+def _daily_by_card(run: Run) -> DataFrame:
+    return daily_sales.pos_daily_agg_card(run.gold, run.store.as_of, run.store.settings.daily_banners)
+
+
+def _daily_by_household(run: Run) -> DataFrame:
+    store = run.store
+    return daily_sales.pos_daily_agg_hhn(store.table("pos_daily_agg_card"), store.gold.customer_dim, store.as_of)
+
+
+def _shop_dates_by_card(run: Run) -> DataFrame:
+    store, settings = run.store, run.store.settings
+    return shop_dates.card_shop_dates(
+        store.silver, store.as_of, settings.shop_scopes, settings.location_types, run.current_items, run.current_stores
+    )
+
+
+def _shop_dates_by_household(run: Run) -> DataFrame:
+    store = run.store
+    return shop_dates.household_shop_dates(
         store.table("card_shop_dates"), store.gold.customer_dim, store.as_of, store.settings.shop_scopes
-    ),
-    "card_transactions": lambda store: activity.card_transactions(
-        store.gold, store.as_of, groups=store.settings.banner_groups, location_types=store.settings.location_types
-    ),
-    "household_transactions": lambda store: activity.household_transactions(
-        store.table("card_transactions"), store.gold.customer_dim, store.as_of, groups=store.settings.banner_groups
-    ),
-    "household_type": lambda store: household_types.household_type(store.gold.customer_dim, store.as_of),
+    )
+
+
+def _activity_by_card(run: Run) -> DataFrame:
+    return activity.card_flags(run.card_histories, run.store.as_of, groups=run.store.settings.banner_groups)
+
+
+def _activity_by_household(run: Run) -> DataFrame:
+    store = run.store
+    return activity.household_flags(
+        run.card_histories, store.gold.customer_dim, store.as_of, groups=store.settings.banner_groups
+    )
+
+
+def _household_type(run: Run) -> DataFrame:
+    return household_types.household_type(run.store.gold.customer_dim, run.store.as_of)
+
+
+# In dependency order: daily sales and shop dates of households are built from the stored card tables.
+BUILDERS: dict[str, Callable[[Run], DataFrame]] = {
+    "pos_daily_agg_card": _daily_by_card,
+    "pos_daily_agg_hhn": _daily_by_household,
+    "card_shop_dates": _shop_dates_by_card,
+    "household_shop_dates": _shop_dates_by_household,
+    "card_transactions": _activity_by_card,
+    "household_transactions": _activity_by_household,
+    "household_type": _household_type,
 }

@@ -39,23 +39,36 @@ def current_cards(customer: DataFrame) -> DataFrame:
     )
 
 
+def current_items(item: DataFrame) -> DataFrame:
+    """Ids of the items whose latest version is financial."""
+    items = latest_version(item, ["id"], tie_breakers=["financial_sale_flag"])
+    return items.filter(F.col("financial_sale_flag") == "Y").select(F.col("id").alias("item_id"))
+
+
+def current_stores(location: DataFrame, location_types: Sequence[str] = LOCATION_TYPES) -> DataFrame:
+    """Number and banner of the stores whose latest version has one of the types."""
+    stores = latest_version(location, ["id"], tie_breakers=["banner_short_name", "location_type"])
+    return stores.filter(F.col("location_type").isin(*location_types)).select(
+        F.col("id").alias("store_number"), "banner_short_name"
+    )
+
+
 def customer_shop_dates(
     tables: SilverTables,
     last_day: date,
     scopes: Mapping[str, Sequence[str] | None] = SHOP_SCOPES,
     location_types: Sequence[str] = LOCATION_TYPES,
+    items: DataFrame | None = None,
+    stores: DataFrame | None = None,
 ) -> DataFrame:
     """Shop dates per customer id, before cards come in.
 
     The facts are reduced to first and last dates by channel per (customer, banner) on the map side;
-    only those few rows per customer go through the wide pivot.
+    only those few rows per customer go through the wide pivot. ``items`` and ``stores`` are results of
+    ``current_items`` and ``current_stores`` that are stored already.
     """
-    items = latest_version(tables.item, ["id"], tie_breakers=["financial_sale_flag"])
-    items = items.filter(F.col("financial_sale_flag") == "Y").select(F.col("id").alias("item_id"))
-    stores = latest_version(tables.location, ["id"], tie_breakers=["banner_short_name", "location_type"])
-    stores = stores.filter(F.col("location_type").isin(*location_types)).select(
-        F.col("id").alias("store_number"), "banner_short_name"
-    )
+    items = current_items(tables.item) if items is None else items
+    stores = current_stores(tables.location, location_types) if stores is None else stores
     sales = tables.retail_sale.filter(
         F.col("ecomm_flag").isin(*SHOP_CHANNELS.values()) & (F.col("fiscal_date").cast("date") <= last_day)
     )
@@ -76,13 +89,15 @@ def card_shop_dates(
     as_of: datetime,
     scopes: Mapping[str, Sequence[str] | None] = SHOP_SCOPES,
     location_types: Sequence[str] = LOCATION_TYPES,
+    items: DataFrame | None = None,
+    stores: DataFrame | None = None,
 ) -> DataFrame:
     """One row per identified card, with NULL dates where it never shopped.
 
     The latest version gives each card exactly one customer id, so joining the finished customer
     rows to the cards needs no further grouping and no second pass to bring back idle cards.
     """
-    dates = customer_shop_dates(tables, last_saturday(as_of.date()), scopes, location_types)
+    dates = customer_shop_dates(tables, last_saturday(as_of.date()), scopes, location_types, items, stores)
     cards = current_cards(tables.customer)
     joined = cards.join(dates, cards["ldw_customer_id"] == dates["customer_id"], "left")
     return stamped(joined, as_of, "dl_load_dt").select(*table_columns(scopes=scopes)["card_shop_dates"])

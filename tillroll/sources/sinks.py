@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,6 +109,16 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder that is removed in the end; what reads it has to be done by then."""
+    folder = scratch_folder(spark)
+    try:
+        yield folder
+    finally:
+        _delete(spark, folder)
+
+
 def stored(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Write a table and hand back a scan of it, so later steps neither recompute it nor depend on
     blocks held by an executor. Column order is kept (partition columns otherwise move to the end)."""
