@@ -150,6 +150,16 @@ def test_odd_values_and_clashing_columns(spark):
     assert pseudonyms.pseudonymised(edge.limit(0)).collect() == []
 
 
+def test_secrets_behind_names_in_any_case(spark):
+    bodies = ["9233A8ECF7C5B09FE594", "e3b3ed3cc8548923d6", "Abc/12345", "abc+12345", "abc_12345"]
+    lower = [f'{name} = "{body}"' for name, body in zip(("token", "password", "passwd", "secret", "api_key"), bodies, strict=True)]
+    rows = [*lower, *(f"{x.split()[0].upper()}{x[x.index(' ') :]}" for x in lower), *(x.title()[: x.index(" ")] + x[x.index(" ") :] for x in lower)]
+    got = [r for r in pseudonyms.pseudonymised(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    for r, text in zip(got, rows, strict=True):
+        head, body = text[: text.index('"') + 1], text.split('"')[1]
+        assert r.text == f'{head}{stream(body, "secret")}"' and [p.kind for p in r.pii] == ["secret"]
+
+
 def test_the_main_path_has_no_python(spark):
     for name in ("op8_pseudonyms", "op9_chat"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

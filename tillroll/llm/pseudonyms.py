@@ -20,7 +20,7 @@ KEY = "tillroll"
 #: What is looked for. Java regular expressions; capturing groups are not used.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}",
-    "secret": r"(?:password|passwd|secret|token|api_key) ?[=:] ?[\"']?(?=[A-Za-z+/_\-]{0,127}\d)[A-Za-z0-9+/_\-]{8,128}",
+    "secret": r"(?i:password|passwd|secret|token|api_key) ?[=:] ?[\"']?(?=[A-Za-z+/_\-]{0,127}\d)[A-Za-z0-9+/_\-]{8,128}",
     "date": r"(?<![\d\-])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d\-])",
     "phone": r"(?<![\d.])(?:\+1[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[ .\-]\d{4}(?!\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
@@ -29,7 +29,7 @@ KINDS = {
 }
 _NUMBERS = "|".join(KINDS[name] for name in ("date", "phone", "ip", "ssn", "card"))
 #: All kinds; a look at the next character spares most places the full attempt.
-ANY = f"{KINDS['email']}|(?=[psta])(?:{KINDS['secret']})|(?=[\\d(+])(?:{_NUMBERS})"
+ANY = f"{KINDS['email']}|(?=[pstaPSTA])(?:{KINDS['secret']})|(?=[\\d(+])(?:{_NUMBERS})"
 #: What every match has at least one of.
 SOME = "[0-9@]"
 _FIRST_DAY = "DATE '1900-01-01'"
@@ -139,7 +139,7 @@ def pseudonym(found: Column, kind: Column, key: str = KEY) -> Column:
     card = F.concat(card_body, luhn_digit(card_body))
     at = F.instr(found, "@")
     email = F.concat(_letters(found.substr(F.lit(1), at - 1), key, "email"), found.substr(at, F.length(found)))
-    secret_head = F.regexp_extract(found, r"^(?:password|passwd|secret|token|api_key) ?[=:] ?[\"']?", 0)
+    secret_head = F.regexp_extract(found, r"^(?i:password|passwd|secret|token|api_key) ?[=:] ?[\"']?", 0)
     secret_body = found.substr(F.length(secret_head) + 1, F.length(found))
     return (
         F.when(kind == "email", email)
@@ -170,7 +170,7 @@ def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with ``text`` rewritten and one more column, ``pii``: (kind, pseudonym) of each
     replaced value, in the order of the text.
 
-    Valid values are e-mail addresses, secrets behind a name, dates of 1900 to 2099, North American
+    Valid values are e-mail addresses, secrets behind a name (in any case), dates of 1900 to 2099, North American
     phone numbers, IPv4 addresses, social security numbers and card numbers with a right check digit.
     Numbers and dates are permuted within their format; the names before the @ and secrets become
     keyed strings of the same length. All else stays as it is, so does a null text (``pii`` is then
