@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+import corpus_pipeline
 from tests.llm.small import SF, edge_documents, texts_of
 from tillroll.llm import licenses, lines, queries
 
@@ -136,6 +137,56 @@ def test_depleted_documents_go_and_one_holder_stays(spark):
     assert {r.doc_id for r in lines.keep_good(docs.where("doc_id >= 20"), line_limit=3).collect()} == set(range(20, 29))
 
 
+def without_frequent(rows, limit):
+    """(doc_id, text) of each (doc_id, source, text), the text without the lines above the limit."""
+
+    def normal(line):
+        return tuple(VISIBLE.findall(line.translate(UPPER)))
+
+    holders, first = defaultdict(set), {}
+    for doc_id, source, text in rows:
+        rank = (doc_id is not None, doc_id or 0)
+        for key in {(source, normal(line)) for line in (text or "").split("\n")}:
+            holders[key].add(text)
+            first[key] = min(first.get(key, rank), rank)
+
+    def kept(doc_id, source, line):
+        key = (source, normal(line))
+        return not key[1] or len(holders[key]) <= limit or first[key] == (doc_id is not None, doc_id or 0)
+
+    return [(i, t if t is None else "\n".join(line for line in t.split("\n") if kept(i, s, line))) for i, s, t in rows]
+
+
+def test_frequent_lines_leave_the_texts(spark):
+    edge = edge_documents(spark)
+    rows = [(r.doc_id, r.source, r.text) for r in edge.collect()]
+    for limit in (0, 1):
+        report = lines.cleaned_report(edge, limit).collect()
+        assert Counter((r.doc_id, r.text) for r in report) == Counter(without_frequent(rows, limit))
+        assert Counter(tuple(r[c] for c in COLUMNS) for r in report) == judged(rows, limit)
+    assert lines.cleaned_report(edge.limit(0)).collect() == []
+
+
+def test_frequent_lines_do_not_reach_the_next_stage(spark):
+    def own(i):
+        return " ".join(f"own{i}é{k}" for k in range(60))
+
+    rows = [(i, "hot" if i % 10 else "other", f"Shared  line of all\n\n{own(i)}\nSHARED line\tof all \n \n{own(-i)}\nshared line of all") for i in range(1, 131)]
+    rows += [(200, None, f"shared line of all\n{own(200)}"), (201, "hot", f"{own(201)}\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").selectExpr("source", "text", "doc_id", "'x' AS gone", "1 AS hash_of_lines")
+    got = corpus_pipeline.quality(spark, docs, SF)
+    assert got.columns == docs.columns
+    expected = without_frequent(rows, lines.LINE_LIMIT)
+    assert sum(t != old for (_, t), (*_, old) in zip(expected, rows, strict=True)) == 116
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(expected)
+
+
+def test_texts_of_many_blocks_come_back(spark):
+    rows = [(i, "host", "\n".join(f"line{i}x{k} é" for k in range(10_000))) for i in range(40)] + [(50, "host", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1)
+    assert Counter((r.doc_id, r.text) for r in lines.cleaned_report(docs).collect()) == Counter((i, t) for i, _, t in rows)
+
+
 def test_base_columns_of_the_query(spark):
     result = queries.op7_quality(spark, SF)
     expected = {doc_id: counts(text) for doc_id, text in texts_of(spark)}

@@ -6,17 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm import hashing as H
-from tillroll.llm.columns import rows_of
+from tillroll.llm.columns import free_name
 from tillroll.llm.store import stored
 
 #: A line is removed where more than this many different documents of its host hold it.
 LINE_LIMIT = 100
 #: A document is depleted if less than this part of its words is left.
 LEAST_LEFT = 0.5
+#: Stands for a null doc_id.
+NULL_ID = -(1 << 63)
 #: Fixed values of the base rules.
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
@@ -41,6 +44,14 @@ def repeated(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return later, any_
 
 
+def normal_lines(data: np.ndarray, offsets: np.ndarray, first_word: np.ndarray, line_words: np.ndarray) -> np.ndarray:
+    """The hash of each normalised line: its words in lower case, one space between."""
+    if not len(first_word):
+        return np.zeros(0, np.uint64)
+    joined, starts, ends = H.Words(H.LOWER[data], offsets, H.VISIBLE).joined()
+    return H.Rolling(joined).between(starts[first_word], ends[first_word + line_words - 1])
+
+
 def measure_block(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray | pa.Array]:
     n = len(offsets) - 1
     words = H.Words(data, offsets, H.VISIBLE)
@@ -68,12 +79,8 @@ def measure_block(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray
     raw = rolling.between(lines.starts[full], lines.ends[full])
     later, _ = repeated(raw, lines.doc[full])
 
-    # The normalised line: its words in lower case, one space between.
-    lowered = H.Words(H.LOWER[data], offsets, H.VISIBLE)
-    joined, starts, ends = lowered.joined()
     own = lines.doc[full]
-    begin, end = first_word[full], first_word[full] + line_words[full] - 1
-    normal = H.Rolling(joined).between(starts[begin], ends[end]) if len(full) else raw
+    normal = normal_lines(data, offsets, first_word[full], line_words[full])
     per_line = np.bincount(own, minlength=n)
     structs = pa.StructArray.from_arrays(
         [pa.array(normal.view(np.int64)), pa.array(line_words[full].astype(np.int64))], ["line", "words"]
@@ -104,19 +111,9 @@ def measures(docs: DataFrame, keys: str) -> DataFrame:
     return docs.select(*(F.col(part.split()[0]).cast(part.split()[1]) for part in keys.split(", ")), text).mapInArrow(run, f"{keys}, {MEASURES}")
 
 
-def quality_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: float = LEAST_LEFT) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source, text): the measures, ``n_removed_words``,
-    ``base_failed`` and ``kept``.
-
-    A line counts once for each different text of its host (``source``; null is a host of its own),
-    so exact copies count once: finding copies is another operator's work. A line in more than
-    ``line_limit`` texts of a host is removed from all documents there but the one with the smallest
-    doc_id that holds it. A document is rejected if the base rules fail or if less than ``least_left``
-    of its words are left. Null texts have no words and fail; a null doc_id counts as the smallest;
-    repeated rows are judged alike; an empty table gives an empty result.
-    """
-    rows = stored(measures(docs, "doc_id long, source string"))
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+def _judged(rows: DataFrame, line_limit: int, least_left: float) -> tuple[DataFrame, DataFrame]:
+    """The report on the stored measures ``rows``, and the lines to remove: source, id, array ``gone``."""
+    key = F.coalesce("doc_id", F.lit(NULL_ID))
     lines = rows.select("source", "text_hash", key.alias("id"), F.explode(F.array_distinct("lines.line")).alias("line"))
     # One row per host, line and text first, so a line of many documents is counted by many tasks.
     texts = lines.groupBy("source", "line", "text_hash").agg(F.min("id").alias("id"))
@@ -129,11 +126,13 @@ def quality_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: fl
     # The text hash keeps rows apart that share a doc_id but not a text; equal rows become one here.
     held = held.groupBy("source", "id", "text_hash", "line").agg(F.max("words").alias("words"), F.count("*").alias("times"))
     copies = rows.groupBy(F.col("source"), key.alias("id"), F.col("text_hash")).agg(F.count("*").alias("copies"))
-    removed = (
+    # Stored, as both the counts and the texts are made from them.
+    bad = stored(
         held.join(frequent, F.col("source").eqNullSafe(F.col("host")) & (F.col("line") == F.col("bad")) & (F.col("id") != F.col("holder")))
-        .groupBy("source", "id", "text_hash")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("removed"))
-    )
+        .select("source", "id", "text_hash", "line", "words", "times")
+    )
+    gone = bad.groupBy("source", "id").agg(F.collect_set("line").alias("gone"))
+    removed = bad.groupBy("source", "id", "text_hash").agg(F.sum(F.col("words") * F.col("times")).alias("removed"))
     per_text = copies.join(removed.withColumnsRenamed({"source": "s2", "id": "i2", "text_hash": "t2"}), F.col("source").eqNullSafe(F.col("s2")) & (F.col("id") == F.col("i2")) & (F.col("text_hash") == F.col("t2"))).select(
         "s2", "i2", "t2", (F.col("removed") / F.col("copies")).cast("long").alias("n_removed_words")
     )
@@ -141,13 +140,108 @@ def quality_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: fl
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     lost = F.coalesce("n_removed_words", F.lit(0).cast("long"))
     depleted = (F.col("n_words") - lost) < least_left * F.col("n_words")
-    return judged.select(
+    report = judged.select(
         "doc_id", "source", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         lost.alias("n_removed_words"), failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
     )
+    return report, gone
+
+
+def _without(lines: list[list[int] | None], texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The texts without the lines whose hashes are listed for them, and the hash of each whole text."""
+    data, offsets = H.text_bytes(texts)
+    hashes = H.Rolling(data).between(offsets[:-1], offsets[1:]).view(np.int64)
+    if not any(lines):
+        return texts, hashes
+    words = H.Words(data, offsets, H.VISIBLE)
+    spans = H.Words(data, offsets, NEWLINE)
+    first_word = np.searchsorted(words.starts, spans.starts)
+    line_words = np.searchsorted(words.starts, spans.ends) - first_word
+    full = np.flatnonzero(line_words)
+    normal = normal_lines(data, offsets, first_word[full], line_words[full]).view(np.int64)
+    cuts = np.searchsorted(spans.doc[full], np.arange(len(lines) + 1))
+    out = texts.to_pylist()
+    for i, bad in enumerate(lines):
+        if bad:
+            own = slice(cuts[i], cuts[i + 1])
+            removed = set((spans.starts[full[own]][np.isin(normal[own], bad)] - offsets[i]).tolist())
+            kept, at = [], 0
+            for line in data[offsets[i] : offsets[i + 1]].tobytes().split(b"\n"):
+                if at not in removed:
+                    kept.append(line)
+                at += len(line) + 1
+            out[i] = b"\n".join(kept).decode()
+    return pa.array(out, texts.type), hashes
+
+
+def _rewritten(docs: DataFrame, per_id: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` joined with ``per_id`` (source, id, gone, any others), its texts without the lines of
+    ``gone``, and the hash of the whole text; and the names given to what is added."""
+    names = {c: free_name(docs, f"{c}_of_lines") for c in (*per_id.columns, "hash")}
+    text = next(c for c in docs.columns if c.lower() == "text")
+    right = per_id.withColumnsRenamed({c: names[c] for c in per_id.columns})
+    same = F.col("source").eqNullSafe(F.col(names["source"])) & (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col(names["id"]))
+    others = [names[c] for c in per_id.columns if c not in ("source", "id", "gone")]
+    # A null text is told by its flag, since blocks are cut by their bytes.
+    joined = docs.join(right, same).select(
+        *(F.coalesce(F.col(c), F.lit("")).alias("text") if c == text else F.col(c) for c in docs.columns),
+        *others, names["gone"], F.col(text).isNull().alias(names["hash"]),
+    )
+    fields = [T.StructField(f.name, f.dataType) for f in joined.schema if f.name not in (names["gone"], names["hash"])]
+    schema = T.StructType([*fields, T.StructField(names["hash"], T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in H.blocks(batches):
+            texts, hashes = _without(batch.column(names["gone"]).to_pylist(), batch.column("text"))
+            null = batch.column(names["hash"])
+            columns = {c: batch.column(c) for c in batch.schema.names if c != names["gone"]}
+            if null.true_count:
+                texts = pa.array([None if n else t for n, t in zip(null.to_pylist(), texts.to_pylist(), strict=True)], texts.type)
+            columns["text"] = texts
+            columns[names["hash"]] = pa.array(hashes)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return joined.mapInArrow(run, schema).withColumnsRenamed({"text": text}), names
+
+
+def quality_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: float = LEAST_LEFT) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source, text): the measures, ``n_removed_words``,
+    ``base_failed`` and ``kept``.
+
+    A line counts once for each different text of its host (``source``; null is a host of its own),
+    so exact copies count once: finding copies is another operator's work. A line in more than
+    ``line_limit`` texts of a host is removed from all documents there but the one with the smallest
+    doc_id that holds it. A document is rejected if the base rules fail or if less than ``least_left``
+    of its words are left. Null texts have no words and fail; a null doc_id counts as the smallest;
+    repeated rows are judged alike; an empty table gives an empty result.
+    """
+    return _judged(stored(measures(docs, "doc_id long, source string")), line_limit, least_left)[0]
+
+
+def _per_id(report: DataFrame, gone: DataFrame, *more) -> DataFrame:
+    """One row per source and id of the report: the lines ``gone``, whether any of the id's rows is
+    ``kept``, and the aggregates ``more``."""
+    id_ = F.coalesce("doc_id", F.lit(NULL_ID)).alias("id")
+    per = report.groupBy("source", id_).agg(F.max("kept").alias("kept"), *more)
+    per = per.withColumn("kept", F.max("kept").over(Window.partitionBy("id")))
+    gone = gone.withColumnsRenamed({"source": "s2", "id": "i2"})
+    return per.join(gone, F.col("source").eqNullSafe(F.col("s2")) & (F.col("id") == F.col("i2")), "left").drop("s2", "i2")
+
+
+def cleaned_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: float = LEAST_LEFT) -> DataFrame:
+    """``quality_report`` with one more column, ``text``: the text without the removed lines, for kept
+    and rejected rows alike. The other lines, blank ones too, stay as they are; a null text stays null."""
+    report, gone = _judged(stored(measures(docs, "doc_id long, source string")), line_limit, least_left)
+    of_text = F.collect_set(F.struct(*(c for c in report.columns if c not in ("doc_id", "source")))).alias("reports")
+    texts, names = _rewritten(docs.select("doc_id", "source", "text"), _per_id(report, gone, of_text).drop("kept"))
+    # Rows that share a doc_id but not a text have a report each.
+    own = F.element_at(F.filter(names["reports"], lambda r: r["text_hash"] == F.col(names["hash"])), 1)
+    return texts.withColumn("own", own).select(F.col("doc_id").cast("long"), "source", *(F.col(f"own.{c}") for c in report.columns if c not in ("doc_id", "source")), "text")
 
 
 def keep_good(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: float = LEAST_LEFT) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, whole: rejected documents go, kept ones are not cut.
-    Of rows with one doc_id all stay if one of them is good."""
-    return rows_of(docs, quality_report(docs, line_limit, least_left).where("kept"))
+    """The rows of ``docs`` that the rules keep, without the lines that they remove. Of rows with one
+    doc_id all stay if one of them is good."""
+    report, gone = _judged(stored(measures(docs, "doc_id long, source string")), line_limit, least_left)
+    texts, _ = _rewritten(docs, _per_id(report, gone).where("kept").drop("kept"))
+    return texts.select(docs.columns)

@@ -45,7 +45,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.quality_report(_table(spark, sf_dir, "documents")).drop("source", "text_hash")
+    return lines.cleaned_report(_table(spark, sf_dir, "documents")).drop("source", "text_hash")
 
 
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
