@@ -1,0 +1,245 @@
+"""Exact copies, collocations and periodic runs against brute force and SQL."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.llm.small import SF, edge_documents
+from tillroll.llm import collocations, copies, queries, runs
+
+UPPER = {i: i + 32 for i in range(65, 91)}
+VISIBLE = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def by_sql(name, sf=SF):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    return con.execute(queries.ORACLES[name])
+
+
+@pytest.mark.parametrize("name", ["op12_collocations", "op13_exact_copies"])
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_same_rows_as_sql(spark, name, sf):
+    got = queries.QUERIES[name](spark, sf)
+    expected = by_sql(name, sf)
+    order = [d[0] for d in expected.description]
+    assert rows_of(got.select(*order)) == sorted(expected.fetchall(), key=repr)
+
+
+# -- exact copies -------------------------------------------------------------------------------
+
+
+def brute_copies(rows):
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[(text or "").translate(UPPER)].append(doc_id)
+    out = []
+    for text, ids in groups.items():
+        keep = max((i for i in ids if i is not None), default=None)
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        kept = [i == keep for i in ids]
+        kept = [k and not any(kept[:at]) for at, k in enumerate(kept)]
+        out += [(i, keep, len(ids), k, sha) for i, k in zip(ids, kept, strict=True)]
+    return sorted(out, key=repr)
+
+
+def test_copies_of_odd_documents(spark):
+    docs = edge_documents(spark)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert rows_of(copies.copies(docs)) == brute_copies(rows)
+    kept = copies.unique(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in brute_copies(rows) if r[3])
+    assert copies.copies(docs.limit(0)).count() == 0
+
+
+def test_copies_that_differ_at_the_ends_of_levels(spark):
+    base = "Ab ü" * 500
+    rows = [(n, base[:cut] + extra) for n, (cut, extra) in enumerate((c, e) for c in (0, 62, 63, 64, 255, 256, 257, 1024, 1500) for e in ("", "", "x", "X", "é"))]
+    docs = spark.createDataFrame(rows * 2 + [(None, "only null")] * 3, "doc_id long, text string")
+    assert rows_of(copies.copies(docs)) == brute_copies(rows * 2 + [(None, "only null")] * 3)
+
+
+def test_a_busy_group_is_spread(spark):
+    rows = [(n, "hot text " * 30 if n % 3 else f"own {n}") for n in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(copies.copies(docs)) == brute_copies(rows)
+
+
+# -- collocations -------------------------------------------------------------------------------
+
+
+def brute_collocations(rows, least=10, top=2000):
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in (1, 2, 3):
+                f[lang].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        found = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        covered = {q for p, a in found.items() if len(p) == 3 for q in (p[:2], p[1:]) if 100 * a >= 50 * counts[q]}
+        scored = []
+        for p, a in found.items():
+            if p not in covered:
+                score, k = min((10**6 * a * a // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p)))
+                scored.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -s))
+    return sorted(out, key=repr)
+
+
+def test_collocations_of_odd_documents(spark):
+    docs = edge_documents(spark)
+    docs = docs.union(docs)
+    rows = [(r.lang, r.text) for r in docs.select("lang", "text").collect()]
+    expected = brute_collocations(rows, least=2)
+    assert expected and {r[0] for r in expected} >= {"en", "und"}
+    assert rows_of(collocations.collocations(docs, least=2)) == expected
+    assert rows_of(collocations.collocations(docs, least=2, top=3)) == brute_collocations(rows, 2, 3)
+    assert collocations.collocations(docs.limit(0)).count() == 0
+    assert collocations.collocations(docs.where("doc_id = 2")).count() == 0
+
+
+def test_phrases_across_the_rows_of_a_long_text(spark, monkeypatch):
+    rng = random.Random(3)
+    text = " ".join(rng.choice(["a", "B", "c,", "é", "f"]) for _ in range(2000))
+    rows = [("en", text), ("en", text[:700]), (None, "a b")]
+    for name, value in (("CHUNK_WORDS", 7), ("BLOCK_BYTES", 300), ("FILTER_PHRASES", 50), ("RANGE_WORDS", 100)):
+        monkeypatch.setattr(collocations, name, value)
+    chunks = [c for batch in [pa.RecordBatch.from_pydict({"lang": ["en", "en", "und"], "text": [r[1] for r in rows]})] for c in collocations._coded(batch)]
+    assert len(chunks) > 200 and sum(own for _, own, _ in chunks) == sum(len(re.findall(r"[^ ,]+", r[1])) for r in rows)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    assert rows_of(collocations.collocations(docs)) == brute_collocations(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 42), st.data())
+def test_the_permutation_is_undone(bits, data):
+    words = data.draw(st.lists(st.tuples(*[st.integers(0, 2**bits - 1)] * 3), min_size=1, max_size=20))
+    p = collocations.Permutation(bits)
+    a, b, c = (np.array(x, np.uint64) for x in zip(*words, strict=True))
+    left, right = p.permuted(a, b, c)
+    assert left.max() <= p.mask and right.max() <= p.mask
+    assert [tuple(map(int, w)) for w in zip(*p.words(left, right), strict=True)] == words
+    assert len(set(zip(left.tolist(), right.tolist()))) == len(set(words))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(2, 8), st.lists(st.tuples(st.integers(0, 2**64 - 1), st.integers(0, 2**64 - 1), st.sampled_from([1, 2, 254, 255, 256, 10**12])), min_size=1, max_size=60))
+def test_filters_keep_every_entry(half, entries):
+    top = (1 << 8 * half) - 1
+    left, right = (np.array([e[i] & top for e in entries], np.uint64) for i in (0, 1))
+    found = collocations.QuotientFilter.merged(half, left, right, np.array([e[2] for e in entries]))
+    expected = Counter()
+    for a, b, n in entries:
+        expected[a & top, b & top] += n
+    assert list(zip(found.left.tolist(), found.right.tolist(), found.counts.tolist())) == [(*k, n) for k, n in sorted(expected.items())]
+    if half == 2 or len({e >> 8 * (half - 1) for e in found.left.tolist()}) <= 256:
+        back = collocations.QuotientFilter.entries(found.packed(0, len(found.left)))
+        assert all((x == y).all() for x, y in zip(back, (found.left, found.right, found.counts), strict=True))
+
+
+# -- periodic runs ------------------------------------------------------------------------------
+
+
+def brute_runs(words):
+    best = {}
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                best.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted((start, q, length) for (start, length), q in best.items())
+
+
+def brute_report(doc_id, text):
+    words = VISIBLE.findall(text or "")
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    found = brute_runs(words)
+    dropped = {i for s, q, size in found for i in range(s + q, s + size)}
+    top = max(((size, -s, -q) for s, q, size in found), default=None)
+    longest = (-top[1], top[0], -top[2], 1000 * top[0] // -top[2]) if top else (None,) * 4
+    listed = "".join(f"{s},{size},{q}\n" for s, q, size in found)
+    left = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    return (doc_id, n, len(found), *longest, *(hashlib.sha256(x.encode()).hexdigest() for x in (listed, left)))
+
+
+def test_runs_match_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    short = [r for r in docs if len(r.text or "") < 12_000]
+    got = {r.doc_id: tuple(r) for r in queries.op11_periodic_runs(spark, SF).collect()}
+    assert len(got) == len(docs) and len(short) > 100
+    assert all(got[r.doc_id] == brute_report(r.doc_id, r.text) for r in short)
+    assert sum(got[r.doc_id][2] for r in short) > 20
+
+
+def test_runs_of_odd_documents(spark):
+    docs = edge_documents(spark)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").where("doc_id IS NULL OR doc_id != 6").collect()]
+    found = queries.run_digest(runs.runs(runs.with_repeats(docs)))
+    assert rows_of(found.where("doc_id IS NULL OR doc_id != 6")) == sorted((brute_report(*r) for r in rows), key=repr)
+    assert found.count() == docs.count() and runs.runs(docs.limit(0)).count() == 0
+
+
+_letters = st.sampled_from("ab")
+_part = st.builds(lambda word, times, cut: (word * times)[: len(word) * times - cut], st.lists(_letters, min_size=1, max_size=24), st.integers(1, 9), st.integers(0, 5))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(_part, max_size=5), min_size=1, max_size=4))
+def test_runs_of_invented_words(parts):
+    texts = [[w for part in doc for w in part] for doc in parts]
+    counts, found, left = runs.runs_of_block(pa.array([" ".join(words) for words in texts], pa.string()))
+    assert counts.tolist() == [len(words) for words in texts]
+    for words, own, rest in zip(texts, found.to_pylist(), left.to_pylist(), strict=True):
+        expected = brute_runs(words)
+        assert [(r["start"], r["period"], r["length"]) for r in own] == expected
+        dropped = {i for s, q, size in expected for i in range(s + q, s + size)}
+        assert rest == " ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def test_long_runs_take_time_in_proportion():
+    text = " ".join(["a"] * 200_000 + ["b", "c", "d"] * 100_000)
+    _, found, left = runs.runs_of_block(pa.array([text]))
+    assert [(r["start"], r["period"], r["length"]) for r in found.to_pylist()[0]] == [(0, 1, 200_000), (200_000, 3, 300_000)]
+    assert left.to_pylist() == ["a b c d"]
+
+
+def test_the_wavelet_tree_counts_and_selects():
+    rng = np.random.default_rng(5)
+    values = rng.permutation(100)
+    tree = runs.WaveletTree(values, 7)
+    lo = rng.integers(0, 99, 200)
+    hi = lo + 1 + rng.integers(0, 100 - lo)
+    limit = rng.integers(0, 140, 200)
+    assert tree.below(lo, hi, limit).tolist() == [int((values[a:b] < x).sum()) for a, b, x in zip(lo, hi, limit)]
+    n = rng.integers(0, hi - lo)
+    assert tree.nth(lo, hi, n).tolist() == [int(np.sort(values[a:b])[k]) for a, b, k in zip(lo, hi, n)]
