@@ -668,3 +668,95 @@ ORACLES["dq_report"] = _sql(
     ),
     *[name for name in CTES],
 )
+
+# --- interval joins, long windows, comparisons, counts ------------------------------------------
+
+ORACLES["interval_join_campaigns"] = _sql(
+    """
+    SELECT c.location_hk, c.campaign, w.week_end_date, w.activity_window
+    FROM (
+        SELECT location_hk, 'opening' AS campaign, MIN(fiscal_date) AS from_day,
+               MIN(fiscal_date) + CAST(location_hk % 60 AS INTEGER) AS to_day FROM retail_sale_fact GROUP BY location_hk
+        UNION ALL
+        SELECT location_hk, 'closing', MAX(fiscal_date) - CAST(location_hk % 400 AS INTEGER), MAX(fiscal_date)
+        FROM retail_sale_fact GROUP BY location_hk
+    ) c
+    JOIN (
+        SELECT d.week_end_date, v.activity_window, d.week_end_date - v.oldest AS start_dt, d.week_end_date - v.newest AS end_dt
+        FROM (SELECT DISTINCT week_end_date FROM orders JOIN date_dim ON CAST(o_orderdate AS DATE) = date) d,
+             (VALUES ('current_4wk', 27, 0), ('current_13wk', 90, 0), ('prior_13wk', 181, 91)) AS v(activity_window, oldest, newest)
+    ) w ON c.from_day <= w.end_dt AND w.start_dt <= c.to_day
+    """,
+    "retail_sale_fact",
+    "date_dim",
+)
+
+_LONG_WINDOWS = {"last_52wk": (363, 0), "prior_52wk": (727, 364), "last_104wk": (727, 0)}
+_LONG_FLAGS = [f"{g}_{c}_{w}_flag" for g in _GROUPS for c in _CHANNELS for w in _LONG_WINDOWS]
+
+CTES["long_card_weeks"] = """
+SELECT DISTINCT s.card_number, w.week_end_date
+FROM (SELECT DISTINCT card_number, week_end_date FROM card_sales) s
+JOIN (SELECT DISTINCT week_end_date FROM date_dim) w
+  ON w.week_end_date >= s.week_end_date AND w.week_end_date <= s.week_end_date + 721
+JOIN week_bounds b ON w.week_end_date >= b.card_week AND w.week_end_date <= b.last_saturday"""
+
+CTES["card_activity_two_years"] = f"""
+SELECT w.card_number, w.week_end_date,
+       {", ".join(
+           f"MAX(CASE WHEN s.banner IN {banners} AND s.ecomm_flag = '{sale}' AND s.fiscal_date >= w.week_end_date - {oldest}"
+           f" AND s.fiscal_date <= w.week_end_date - {newest} THEN 1 ELSE 0 END) AS {group}_{channel}_{window}_flag"
+           for group, banners in _GROUPS.items()
+           for channel, sale in _CHANNELS.items()
+           for window, (oldest, newest) in _LONG_WINDOWS.items()
+       )}
+FROM long_card_weeks w
+JOIN (SELECT DISTINCT card_number, fiscal_date, banner, ecomm_flag FROM card_sales) s
+  ON w.card_number = s.card_number AND s.fiscal_date >= w.week_end_date - 727 AND s.fiscal_date <= w.week_end_date
+GROUP BY w.card_number, w.week_end_date"""
+
+ORACLES["card_activity_two_years"] = _sql("SELECT * FROM card_activity_two_years", "card_activity_two_years")
+ORACLES["household_activity_two_years"] = _sql(
+    f"""
+    SELECT h.hhn, t.week_end_date, {", ".join(f"MAX(t.{n}) AS {n}" for n in _LONG_FLAGS)}
+    FROM card_activity_two_years t JOIN latest_household h ON t.card_number = h.card_number
+    GROUP BY h.hhn, t.week_end_date
+    """,
+    "card_activity_two_years",
+    "latest_household",
+)
+
+_DAILY_ROW = "fiscal_date, customer_hk, location_hk, channel, transaction_count, units, items"
+ORACLES["dq_row_differences"] = _sql(
+    f"""
+    SELECT {_DAILY_ROW}, CAST(SUM(s) AS BIGINT) AS source_rows, CAST(SUM(t) AS BIGINT) AS target_rows
+    FROM (
+        SELECT {_DAILY_ROW}, 1 AS s, 0 AS t FROM pos_daily_agg_card
+        UNION ALL
+        SELECT * REPLACE (CASE WHEN customer_hk % 89 = 3 THEN units + 1 ELSE units END AS units)
+        FROM (SELECT {_DAILY_ROW}, 0 AS s, 1 AS t FROM pos_daily_agg_card WHERE customer_hk % 97 <> 5) x
+    ) both_sides
+    GROUP BY {_DAILY_ROW} HAVING SUM(s) <> SUM(t)
+    """,
+    "pos_daily_agg_card",
+)
+
+ORACLES["dq_counted_while_written"] = _sql(
+    f"""
+    SELECT 'pos_daily_agg_card' AS table_name, 'rows' AS metric, COUNT(*) AS value FROM pos_daily_agg_card
+    UNION ALL
+    SELECT 'pos_daily_agg_card', 'Scan Column Null Check', COUNT(*) FILTER (WHERE scan IS NULL) FROM pos_daily_agg_card
+    UNION ALL
+    SELECT 'card_transactions', 'rows', COUNT(*) FROM card_transactions
+    UNION ALL
+    SELECT 'card_transactions', 'Columns Null Check', COUNT(*) FILTER (WHERE {" OR ".join(f"{n} IS NULL" for n in _FLAGS)})
+    FROM card_transactions
+    UNION ALL
+    SELECT 'card_transactions', 'Flag values Check', COUNT(*) FILTER (WHERE {" OR ".join(
+        f"{s}_current_4wk_flag = 1 AND {s}_current_4wk_flag <> {s}_current_13wk_flag"
+        for s in ("sof_instore", "sof_ecomm", "blf_instore", "blf_ecomm")
+    )}) FROM card_transactions
+    """,
+    "pos_daily_agg_card",
+    "card_transactions",
+)

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.domain import flag_columns
+from tillroll.domain import Settings, flag_columns
 from tillroll.operators import quality
 from tillroll.plans import checks, refresh
 from tillroll.sources import sinks, star
@@ -107,3 +107,23 @@ def test_implication_counts(spark):
     df = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (0, 0, 1), (1, None, 1)], "p int, c int, other int")
     rows = quality.implication_counts(df, {"p": "c", "other": "p"}).collect()
     assert {r.premise: (r.premise_rows, r.broken_rows) for r in rows} == {"p": (3, 1), "other": (2, 1)}
+
+
+def test_counts_are_taken_while_rows_are_written(spark, tmp_path):
+    rows = spark.range(1000).withColumn("x", F.when(F.col("id") % 10 > 0, F.col("id")))
+    watched, observation = quality.counting(rows.repartition(5), {"x is missing": quality.any_null(["x"]), "never": F.lit(False)})
+    watched.write.parquet(f"{tmp_path}/rows")
+    assert observation.get == {"rows": 1000, "x is missing": 100, "never": 0}
+
+
+def test_counted_row_checks_read_no_table(spark, tmp_path):
+    settings = Settings()
+    flags = spark.range(3).select(*[F.lit(0).alias(name) for name in settings.columns["card_transactions"]])
+    flags.write.parquet(f"{tmp_path}/flags")
+    stored = spark.read.parquet(f"{tmp_path}/flags")
+    counts = {"rows": 3, checks.FLAG_NULL_CHECK: 0, checks.FLAG_VALUE_CHECK: 2}
+    verdicts = checks.table_checks("card_transactions", stored, {}.get, star.gold(spark, SF), star.silver(spark, SF), AS_OF, settings, counts)
+    results = {r.test_case_name: r.test_result for v in verdicts for r in v.collect()}
+    assert results[checks.FLAG_NULL_CHECK] == "Pass" and results[checks.FLAG_VALUE_CHECK] == "Fail"
+    reading = [v for v in verdicts if "parquet" in v._jdf.queryExecution().optimizedPlan().toString()]
+    assert [v.collect()[0].test_case_name for v in reading] == [checks.DUPLICATE_CHECK]

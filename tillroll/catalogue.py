@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tillroll import domain
 from tillroll.functions import calendar, retail
-from tillroll.operators import quality, spans
+from tillroll.operators import quality, skew, spans
+from tillroll.operators.fingerprints import row_differences
+from tillroll.operators.intervals import interval_join
 from tillroll.operators.versions import latest_version
 from tillroll.plans import activity, checks, daily_sales, household_types, refresh, shop_dates
 from tillroll.sources import sinks, star
@@ -59,7 +61,9 @@ def pos_daily_agg_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pos_daily_agg_hhn(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = star.gold(spark, sf_dir)
     card_daily = daily_sales.pos_daily_agg_card(gold, AS_OF)
-    return _money_as_double(daily_sales.pos_daily_agg_hhn(card_daily, gold.customer_dim, AS_OF), "sales", "scan")
+    # One narrow pass over the sales finds the busy versions, so the daily rows are worked out once.
+    busy = skew.busy_keys(_raw(spark, sf_dir).orders, "o_custkey").withColumnRenamed("o_custkey", "customer_hk")
+    return _money_as_double(daily_sales.pos_daily_agg_hhn(card_daily, gold.customer_dim, AS_OF, busy=busy), "sales", "scan")
 
 
 @query
@@ -328,6 +332,50 @@ def join_latest_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def interval_join_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores' campaigns, of up to 400 days, and the activity windows of all weeks that they overlap."""
+    raw = _raw(spark, sf_dir)
+    sold = star.retail_sale_fact(raw).groupBy("location_hk").agg(F.min("fiscal_date").alias("first"), F.max("fiscal_date").alias("last"))
+    opening = F.struct(
+        F.lit("opening").alias("campaign"), F.col("first").alias("from_day"),
+        F.date_add("first", (F.col("location_hk") % 60).cast("int")).alias("to_day"),
+    )
+    closing = F.struct(
+        F.lit("closing").alias("campaign"), F.date_sub("last", (F.col("location_hk") % 400).cast("int")).alias("from_day"),
+        F.col("last").alias("to_day"),
+    )
+    campaigns = sold.select("location_hk", F.explode(F.array(opening, closing)).alias("c")).select("location_hk", "c.*")
+    weeks = _order_days(spark, sf_dir).select(calendar.week_end_of(F.col("run_date")).alias("week_end_date")).distinct()
+    dates = calendar.window_dates(F.col("week_end_date"))
+    windows = [
+        F.struct(
+            F.lit(name).alias("activity_window"), dates[f"{name}_start_dt"].alias("start_dt"),
+            dates.get(f"{name}_end_dt", F.col("week_end_date")).alias("end_dt"),
+        )
+        for name in domain.ACTIVITY_WINDOWS
+    ]
+    looks = weeks.select("week_end_date", F.explode(F.array(*windows)).alias("w")).select("week_end_date", "w.*")
+    pairs = interval_join(campaigns, looks, ("from_day", "to_day"), ("start_dt", "end_dt"))
+    return pairs.select("location_hk", "campaign", "week_end_date", "activity_window")
+
+
+LONG_WINDOWS = {"last_52wk": (0, 51), "prior_52wk": (52, 103), "last_104wk": (0, 103)}
+
+
+@query
+def card_activity_two_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity flags over windows of a year and of two, from bitmaps of five words."""
+    bounds = calendar.WeeklyBounds.of(AS_OF.date())
+    return activity.activity_in_windows(star.gold(spark, sf_dir), bounds, LONG_WINDOWS)
+
+
+@query
+def household_activity_two_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounds = calendar.WeeklyBounds.of(AS_OF.date())
+    return activity.activity_in_windows(star.gold(spark, sf_dir), bounds, LONG_WINDOWS, by_household=True)
+
+
 # --- aggregates, windows, versions ------------------------------------------------------------
 
 
@@ -428,11 +476,34 @@ def dq_row_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.reconcile(recomputed, household_types.household_types(customers), ["hhn", "hh_type"])
 
 
+@query
+def dq_row_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored daily table against one with altered and missing rows, by fingerprints of key ranges."""
+    measures = ["transaction_count", "units", "items"]
+    keys = domain.TABLE_KEYS["pos_daily_agg_card"]
+    daily = daily_sales.pos_daily_agg_card(star.gold(spark, sf_dir), AS_OF).select(*keys, *measures)
+    kept = sinks.stored(daily, sinks.scratch_folder(spark))
+    altered = kept.where("customer_hk % 97 <> 5").withColumn("units", F.col("units") + (F.col("customer_hk") % 89 == 3).cast("int"))
+    return row_differences(kept, altered, [*keys, *measures], keys)
+
+
+@query
+def dq_counted_while_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and violations of row checks, counted while two tables were stored; no table is read for it."""
+    gold, silver = star.gold(spark, sf_dir), star.silver(spark, sf_dir)
+    with sinks.scratch(spark) as base:
+        counts = refresh.Store(gold, silver, AS_OF, base).refresh_counting(["pos_daily_agg_card", "card_transactions"])
+    rows = [(table, metric, int(value)) for table, metrics in counts.items() for metric, value in metrics.items()]
+    return spark.createDataFrame(rows, "table_name string, metric string, value bigint")
+
+
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh and store all seven tables, then run every check on what was stored."""
     gold, silver = star.gold(spark, sf_dir), star.silver(spark, sf_dir)
     with sinks.scratch(spark) as base:
         store = refresh.Store(gold, silver, AS_OF, base)
-        report = checks.quality_report(store.refresh(), store.table, gold, silver, AS_OF)
+        counts = store.refresh_counting()
+        tables = {name: store.table(name) for name in counts}
+        report = checks.quality_report(tables, tables.__getitem__, gold, silver, AS_OF, counts=counts)
         return sinks.stored(report, sinks.scratch_folder(spark))

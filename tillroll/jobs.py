@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
@@ -31,17 +31,24 @@ def pacific_now() -> datetime:
     return datetime.now(ZoneInfo("America/Los_Angeles")).replace(microsecond=0, tzinfo=None)
 
 
-def refresh(store: Store, names: Sequence[str], publish: bool = False) -> None:
-    """Rebuild the named tables and, if asked, (re-)create their catalog entries."""
-    for name in store.refresh(names):
+Counts = Mapping[str, Mapping[str, int]]
+
+
+def refresh(store: Store, names: Sequence[str], publish: bool = False) -> Counts:
+    """Rebuild the named tables and, if asked, (re-)create their catalog entries. Returns what was
+    counted on the way."""
+    counts = store.refresh_counting(names)
+    for name in counts:
         if publish:
             sinks.publish(store.spark, DATABASES[name], name, store.path(name), store.fmt)
+    return counts
 
 
-def check(store: Store, names: Sequence[str], report_base: str | None = None) -> None:
-    """Run the checks of the named stored tables, log them and fail on a failed gating check."""
+def check(store: Store, names: Sequence[str], report_base: str | None = None, counts: Counts | None = None) -> None:
+    """Run the checks of the named stored tables, log them and fail on a failed gating check. ``counts`` are
+    those of the refresh that has just stored the tables."""
     tables = {name: store.table(name) for name in names}
-    report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of, store.settings)
+    report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of, store.settings, counts)
     with sinks.scratch(store.spark) as folder:
         # A handful of rows, stored once so that logging and judging them runs the checks only once.
         results = sinks.stored(report, folder)
@@ -70,10 +77,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     as_of = args.as_of or pacific_now()
     gold, silver = read_gold(spark, args.gold, args.format), read_silver(spark, args.silver, args.format)
     store = Store(gold, silver, as_of, args.out, fmt=args.format, settings=args.settings)
-    if "refresh" in args.steps:
-        refresh(store, args.tables, args.publish)
+    counts = refresh(store, args.tables, args.publish) if "refresh" in args.steps else None
     if "check" in args.steps:
-        check(store, args.tables, args.report)
+        check(store, args.tables, args.report, counts)
 
 
 if __name__ == "__main__":

@@ -65,7 +65,7 @@ def flags_per_week(
     """
     lookback = max(oldest for _, oldest in windows.values())
     if lookback > BLOCK_WEEKS:
-        raise ValueError(f"windows reach {lookback} weeks back; at most {BLOCK_WEEKS} are supported")
+        raise ValueError(f"windows reach {lookback} weeks back; beyond {BLOCK_WEEKS}, use long_flags_per_week")
 
     slot = F.col("_slot")
     number = F.col("block") * BLOCK_WEEKS + slot
@@ -95,6 +95,82 @@ def flags_per_week(
     )
 
 
+def with_long_history(bitmaps: DataFrame, key: str, series: Sequence[str], blocks_back: int) -> DataFrame:
+    """Merge bitmaps per key; a series becomes an array of its words, the block's own and those of the
+    ``blocks_back`` blocks before it, newest first. One shuffle, of a row per key, block and word."""
+    age = F.explode(F.sequence(F.lit(0), F.lit(blocks_back))).alias("_age")
+
+    def word(name: str, ago: int) -> Column:
+        return F.bit_or(F.when(F.col("_age") == ago, F.col(name)).otherwise(F.lit(0)))
+
+    return (
+        bitmaps.select(key, "block", *series, age)
+        .groupBy(key, (F.col("block") + F.col("_age")).alias("block"))
+        .agg(*[F.array(*[word(name, ago) for ago in range(blocks_back + 1)]).alias(name) for name in series])
+    )
+
+
+def merge_long_keys(histories: DataFrame, key: str, series: Sequence[str], blocks_back: int) -> DataFrame:
+    """Union the long histories of all rows that share a (coarser) key, word by word."""
+    return histories.groupBy(key, "block").agg(
+        *[F.array(*[F.bit_or(F.col(name)[ago]) for ago in range(blocks_back + 1)]).alias(name) for name in series]
+    )
+
+
+def blocks_for(windows: Mapping[str, tuple[int, int]]) -> int:
+    """Former blocks that a week needs to look back over the longest window."""
+    return -(-max(oldest for _, oldest in windows.values()) // BLOCK_WEEKS)
+
+
+def long_flags_per_week(
+    histories: DataFrame,
+    key: str,
+    presence: str,
+    series: Sequence[str],
+    windows: Mapping[str, tuple[int, int]],
+    first_week: date,
+    last_week: date,
+) -> DataFrame:
+    """``flags_per_week`` over windows of any length, from ``with_long_history``.
+
+    Week ``slot`` of a block saw week ``ago`` at bit ``slot + 32 * word - ago`` of a word, so a window
+    is a stretch of bits in each word, cut at the word's ends.
+    """
+    back = blocks_for(windows)
+    slot = F.col("_slot")
+    number = F.col("block") * BLOCK_WEEKS + slot
+
+    def ones(bits: Column) -> Column:
+        """The lowest ``bits`` bits, of 0 to 32."""
+        held = F.least(F.greatest(bits, F.lit(0)), F.lit(BLOCK_WEEKS))
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), held) - 1
+
+    def hit(name: str, newest: int, oldest: int) -> Column:
+        found = []
+        for word in range(back + 1):
+            mask = ones(slot + (BLOCK_WEEKS * word - newest + 1)) - ones(slot + (BLOCK_WEEKS * word - oldest))
+            found.append(F.col(name)[word].bitwiseAND(mask) != 0)
+        return reduce(lambda a, b: a | b, found)
+
+    slots = F.explode(F.array(*[F.lit(i) for i in range(BLOCK_WEEKS)])).alias("_slot")
+    first, last = week_number(first_week), week_number(last_week)
+    longest = max(oldest for _, oldest in windows.values())
+    weeks = (
+        histories.filter(F.col("block").between(first >> _BLOCK_BITS, last >> _BLOCK_BITS))
+        .select(key, "block", presence, *series, slots)
+        .filter(number.between(first, last) & hit(presence, 0, longest))
+    )
+    return weeks.select(
+        key,
+        week_end_of_number(number).alias("week_end_date"),
+        *[
+            hit(name, newest, oldest).cast("int").alias(f"{name}_{window}_flag")
+            for name in series
+            for window, (newest, oldest) in windows.items()
+        ],
+    )
+
+
 def pack_flags(flags: Sequence[str]) -> Column:
     """0/1 columns as the bits of one integer, in the given order."""
     return reduce(lambda a, b: a + b, [F.when(F.col(name) == 1, 1 << i).otherwise(0) for i, name in enumerate(flags)])

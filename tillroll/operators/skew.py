@@ -20,13 +20,16 @@ def busy_keys(rows: DataFrame, key: str) -> DataFrame:
     return counts.filter(F.col("_rows") * BUSY_SHARE > total).select(key)
 
 
-def join_spread(rows: DataFrame, dimension: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+def join_spread(
+    rows: DataFrame, dimension: DataFrame, key: str, spread_by: Sequence[str], busy: DataFrame | None = None
+) -> DataFrame:
     """Inner join on ``key`` in which the rows of a busy key are spread by the hash of other columns.
 
     Only a busy key's rows of the dimension are repeated, ``SPREAD`` times. The list of busy keys is
-    broadcast: it is shorter than ``BUSY_SHARE`` whatever the data.
+    broadcast: it is shorter than ``BUSY_SHARE`` whatever the data. ``busy`` may be a result of
+    ``busy_keys`` over other rows with the same busy keys that are cheaper to count.
     """
-    busy = F.broadcast(busy_keys(rows, key).withColumn("_busy", F.lit(True)))
+    busy = F.broadcast((busy_keys(rows, key) if busy is None else busy).withColumn("_busy", F.lit(True)))
     part = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
     parts = F.when(F.col("_busy"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
     spread = rows.join(busy, key, "left").withColumn("_part", F.when(F.col("_busy"), part).otherwise(0)).drop("_busy")

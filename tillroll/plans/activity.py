@@ -22,12 +22,16 @@ from tillroll.domain import (
 from tillroll.functions.calendar import WeeklyBounds
 from tillroll.functions.retail import stamped
 from tillroll.operators.activity import (
+    blocks_for,
     flags_per_week,
+    long_flags_per_week,
     merge_keys,
+    merge_long_keys,
     pack_flags,
     unpack_flags,
     weekly_bitmaps,
     with_history,
+    with_long_history,
 )
 from tillroll.operators.versions import latest_version
 from tillroll.plans.daily_sales import financial_items
@@ -189,3 +193,33 @@ def household_flags(
         bounds.last_day,
     )
     return stamped(flags, as_of, "dl_load_dt").select(*table_columns(groups)["household_transactions"])
+
+
+def activity_in_windows(
+    tables: GoldTables,
+    bounds: WeeklyBounds,
+    windows: Mapping[str, tuple[int, int]],
+    by_household: bool = False,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+    location_types: Sequence[str] = LOCATION_TYPES,
+) -> DataFrame:
+    """0/1 flags per card (or household) and week over windows of any length, named by the caller.
+
+    ``windows`` maps a name to its newest and oldest week ago. There is a row for each week from
+    ``bounds.card_first_week`` to ``bounds.last_day`` with a sale within the longest window;
+    ``bounds.fact_first_day`` is the first day whose sales count.
+    """
+    series = series_names(groups)
+    # Every sale makes rows here, so the presence has no first day of its own.
+    held = _series(bounds, groups) | {_PRESENCE: F.lit(True)}
+    facts = weekly_facts(tables, bounds, groups, location_types)
+    by_version = weekly_bitmaps(facts, "customer_hk", "fiscal_date", held)
+    cards = identified_cards(tables.customer_dim).select("customer_hk", "card_number")
+    back = blocks_for(windows)
+    histories = with_long_history(by_version.join(cards, "customer_hk"), "card_number", list(held), back)
+    key = "card_number"
+    if by_household:
+        key = "hhn"
+        histories = histories.join(household_of_card(tables.customer_dim), "card_number")
+        histories = merge_long_keys(histories, key, list(held), back)
+    return long_flags_per_week(histories, key, _PRESENCE, series, windows, bounds.card_first_week, bounds.last_day)

@@ -69,19 +69,21 @@ def pos_daily_agg_hhn(
     customer_dim: DataFrame,
     as_of: datetime,
     months: int = HISTORY_MONTHS,
+    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Card-level rows summed per household. Transaction counts are added up, not counted afresh:
     a transaction that touches two channels or two card versions counts in each.
 
     A busy version (the anonymous card has rows for every day, store and channel) is spread over
-    many tasks where its rows meet their household.
+    many tasks where its rows meet their household. Where ``card_daily`` is not stored, counting it would
+    work it out again: ``busy`` are the busy versions by another count, say of the sales.
     """
     bounds = DailyBounds.of(as_of.date(), months)
     households = customer_dim.select("customer_hk", F.col("current_household_id").alias("hhn"))
     measures = ["transaction_count", "sales", "scan", "units", "items"]
     rows = card_daily.filter(F.col("fiscal_date").between(bounds.first_day, bounds.last_day))
     daily = (
-        join_spread(rows, households, "customer_hk", ["fiscal_date", "location_hk", "channel"])
+        join_spread(rows, households, "customer_hk", ["fiscal_date", "location_hk", "channel"], busy)
         .groupBy("fiscal_date", "hhn", "location_hk", "channel")
         .agg(*[F.sum(name).alias(name) for name in measures])
     )

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tillroll.domain import TABLE_PARTITIONS, Settings
 from tillroll.functions.calendar import WeeklyBounds
-from tillroll.plans import activity, daily_sales, household_types, shop_dates
+from tillroll.operators import quality
+from tillroll.plans import activity, checks, daily_sales, household_types, shop_dates
 from tillroll.sources.sinks import full_refresh, scratch, stored
 from tillroll.sources.tables import GoldTables, SilverTables, read_table
 
@@ -48,16 +49,33 @@ class Store:
 
     def refresh(self, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
         """Rebuild and store the named tables (all by default), in the order they depend on each other."""
+        return {name: self.table(name) for name in self.refresh_counting(names)}
+
+    def refresh_counting(self, names: Iterable[str] | None = None) -> dict[str, dict[str, int]]:
+        """``refresh``, and for each table its rows and the violations of its row checks, counted while it
+        was written: these checks need not read it again."""
         wanted = set(BUILDERS if names is None else names)
         unknown = wanted - set(BUILDERS)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
+        counts = {}
         with scratch(self.spark) as folder:
             run = Run(self, folder)
             for name, build in BUILDERS.items():
                 if name in wanted:
-                    full_refresh(build(run), self.path(name), self.layout.get(name), self.fmt)
-        return {name: self.table(name) for name in BUILDERS if name in wanted}
+                    counts[name] = self._store(name, build(run))
+        return counts
+
+    def _store(self, name: str, df: DataFrame) -> dict[str, int]:
+        observations = []
+
+        def counting(rows: DataFrame) -> DataFrame:
+            watched, observation = quality.counting(rows, checks.row_violations(name, self.settings))
+            observations.append(observation)
+            return watched
+
+        full_refresh(df, self.path(name), self.layout.get(name), self.fmt, counting)
+        return observations[0].get
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,8 @@ def local_session(cpus: int | str = "*", name: str = "tillroll", **conf: str) ->
         .appName(name)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # A table of many small dates is written by as many tasks as there are cores, not by one.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

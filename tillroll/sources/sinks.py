@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -14,17 +14,24 @@ from pyspark.sql import functions as F
 from tillroll.sources.tables import read_table
 
 
-def full_refresh(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = "parquet") -> None:
+def full_refresh(
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    fmt: str = "parquet",
+    last: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> None:
     """Replace the table at ``path``, schema included, once the new one is written whole: if writing
     fails, the former table stays as it is.
 
     A partitioned table is first rebalanced on its partition column: a date gets few large files,
-    and a date with very many rows is split over several tasks instead of landing in one.
+    and a date with very many rows is split over several tasks instead of landing in one. ``last`` is
+    put on the rows as they go to the writer (see ``quality.counting``).
     """
     if partition_by is None:
-        writer = df.write
+        writer = last(df).write
     else:
-        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+        writer = last(df.hint("rebalance", partition_by)).write.partitionBy(partition_by)
     if fmt not in PLAIN_FORMATS:
         writer.format(fmt).mode("overwrite").option("overwriteSchema", True).save(path)
         return
