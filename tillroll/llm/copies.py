@@ -65,13 +65,14 @@ def _split(rows: DataFrame, total: int) -> DataFrame:
     """
     key = ["group", "bytes", "ended"]
     mark = ["group", "mark", "ended"]
-    marked = rows.withColumn("mark", F.xxhash64("bytes"))
     with scratch(rows.sparkSession) as folder:
+        # Stored, as they are read twice: the bytes of the rows that are still open go to them once a level.
+        marked = stored(rows.withColumn("mark", F.xxhash64("bytes")), f"{folder}/rows")
         groups = stored(
             marked.groupBy(*key, "mark")
             .agg(F.count("*").alias("n"), F.min("row").alias("first"), F.max("doc_id").alias("keep_id"))
             .where("n > 1"),
-            folder,
+            f"{folder}/groups",
         )
         busy = F.broadcast(groups.where(F.col("n") * BUSY_SHARE > total).select(*mark).distinct().withColumn("busy", F.lit(True)))
         part = F.when(F.col("busy"), F.pmod(F.xxhash64("row"), F.lit(SPREAD)).cast("int")).otherwise(0)
@@ -91,7 +92,8 @@ def _classes(pieces: DataFrame) -> DataFrame:
         if still is None:
             rows = level.withColumn("group", F.lit(0).cast("long"))
         else:
-            rows = level.where(F.col("bytes").isNotNull()).join(still, "row")
+            # Neither side has a bound, so none is broadcast at any size.
+            rows = level.where(F.col("bytes").isNotNull()).join(still.hint("merge"), "row")
         split = _split(rows, total)
         finished.append(split.where("ended").drop("ended"))
         still = split.where("NOT ended").select("row", "group")
