@@ -32,8 +32,8 @@ BLOCK_BYTES = 8 << 20
 #: Words of one stored row of a block.
 CHUNK_WORDS = 1 << 20
 #: Phrases that a task counts before it hands a filter on.
-FILTER_PHRASES = 1 << 22
-#: Words for each range of filters; a range's filters have twice as many entries at most.
+FILTER_PHRASES = 1 << 21
+#: Words of a task, and for each range of filters; a range's filters have twice as many entries at most.
 RANGE_WORDS = 1 << 22
 SALTS = 64
 
@@ -163,8 +163,7 @@ class QuotientFilter:
     def merged(cls, half: int, left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> QuotientFilter:
         """From entries in any order, equal ones added up. Sorted stretches are merged as they are."""
         if 2 * half <= 8:
-            whole = left << np.uint64(8 * half) | right
-            order = np.argsort(whole, kind="stable")
+            order = np.argsort(left << np.uint64(8 * half) | right, kind="stable")
         else:
             order = np.lexsort((right, left))
         left, right, counts = left[order], right[order], counts[order]
@@ -234,6 +233,7 @@ def _filters(chunks: DataFrame, permutation: Permutation, ranges: int) -> DataFr
 
     def handed(waiting: list) -> Iterator[pa.RecordBatch]:
         left, right = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        waiting.clear()
         found = QuotientFilter.merged(half, left, right, np.ones(len(left), np.int64))
         if not len(found.left):
             return
@@ -257,7 +257,7 @@ def _filters(chunks: DataFrame, permutation: Permutation, ranges: int) -> DataFr
                 size += len(waiting[-1][0])
                 if size >= FILTER_PHRASES:
                     yield from handed(waiting)
-                    waiting, size = [], 0
+                    size = 0
         if waiting:
             yield from handed(waiting)
 
@@ -296,14 +296,17 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame,
     size = totals.agg(F.sum("n")).first()[0] or 0
     highest = often.agg(F.max("id")).first()[0] or 0
     permutation = Permutation(max(1, highest.bit_length()))
+    ranges = max(1, -(-size // RANGE_WORDS), shuffle_partitions(spark))
     numbers = (
         entries.select("chunk", "code", "lang", "word")
         .join(often.select("lang", "word", "id"), ["lang", "word"])
+        .repartition(ranges, "chunk")
         .groupBy("chunk")
         .agg(F.collect_list(F.struct("code", "id")).alias("numbers"))
     )
-    ranges = max(1, -(-size // RANGE_WORDS), shuffle_partitions(spark))
-    filters = _filters(chunks.select("chunk", "own", "codes").join(numbers, "chunk"), permutation, ranges)
+    # As many tasks as ranges, so that a task's rows, which Arrow hands over together, stay few.
+    coded = chunks.select("chunk", "own", "codes").repartition(ranges, "chunk").join(numbers.hint("merge"), "chunk")
+    filters = _filters(coded, permutation, ranges)
     return totals, often, stored(_merged(filters, permutation, least))
 
 
