@@ -282,6 +282,33 @@ def test_repeats_make_shards_small():
     assert len(grammar.Shard.pack(np.array([1]), np.array([len(ids)]), ids, 50_257)) < len(ids) * 2 / 6
 
 
+def places_left(symbols):
+    """Of each pair, the places that do not overlap."""
+    counts, at = Counter(), 0
+    last = {}
+    for at in range(len(symbols) - 1):
+        pair = (symbols[at], symbols[at + 1])
+        if pair[0] != pair[1] or last.get(pair, -2) < at - 1:
+            counts[pair] += 1
+            last[pair] = at
+    return counts
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=1500), st.integers(1, 40))
+def test_no_frequent_pair_is_left(ids, times):
+    ids = np.array(ids * times, np.uint16)
+    symbols, rules = grammar.compress(ids, 50_257)
+    shard = grammar.Shard(grammar.Shard.pack(np.array([1]), np.array([len(ids)]), ids, 50_257))
+    assert shard.ids().tolist() == ids.tolist()
+    assert max(places_left(symbols.tolist()).values(), default=0) < grammar.LEAST_PLACES or 50_257 + len(rules) == 1 << 16
+
+
+def test_rows_of_one_symbol_become_few_symbols():
+    symbols, rules = grammar.compress(np.full(100_000, 7, np.uint16), 50_257)
+    assert len(symbols) < 100 and 5 < len(rules) < 20
+
+
 def test_hashes_do_not_depend_on_the_block():
     texts = ["alpha beta", "", "beta  gamma\n", "alpha beta"]
     data, offsets = hashing.text_bytes(pa.array(texts))

@@ -18,51 +18,76 @@ from tillroll.llm.store import shuffle_partitions, stored
 
 #: A shard is closed once it has so many ids; it ends with a document.
 SHARD_IDS = 1 << 20
-#: Rounds of replacement, and the least number of places of a pair that is replaced.
-ROUNDS = 3
+#: The least number of places of a pair that is replaced.
 LEAST_PLACES = 24
 MAGIC = b"RPR1"
 _HEAD = struct.Struct("<4sIIII")
 
 
-def _frequent_pairs(seq: np.ndarray, room: int) -> np.ndarray:
+def _overlapping(seq: np.ndarray) -> np.ndarray:
+    """Places of pairs of equal symbols that overlap the pair before: every other one of a row."""
+    at = np.flatnonzero(seq[1:] == seq[:-1])
+    first = np.ones(len(at), bool)
+    first[1:] = at[1:] != at[:-1] + 1
+    run = at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))] if len(at) else at
+    return at[(at - run) % 2 == 1]
+
+
+def _chosen_pairs(keys: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (left << 16 | right) to replace in one round: frequent ones, most frequent first, such
-    that no symbol is on the left of one and on the right of another, so no two places overlap."""
-    keys = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
+    that no symbol is on the left of one and on the right of another, so no two places overlap; a pair
+    of equal symbols shares its symbol with no other. And the frequent pairs left for later rounds."""
     slots = (keys * np.uint32(0x9E3779B1)) >> np.uint32(12)
     often = np.bincount(slots, minlength=1 << 20) >= LEAST_PLACES
     pairs, places = np.unique(keys[often[slots]], return_counts=True)
     pairs, places = pairs[places >= LEAST_PLACES], places[places >= LEAST_PLACES]
     side: dict[int, int] = {}
-    chosen = []
+    chosen, later = [], []
     for pair in pairs[np.argsort(-places, kind="stable")].tolist():
         left, right = pair >> 16, pair & 0xFFFF
-        if left != right and side.setdefault(left, 1) == 1 and side.setdefault(right, 2) == 2:
-            chosen.append(pair)
-            if len(chosen) == room:
-                break
-    return np.array(sorted(chosen), np.uint32)
+        if left == right:
+            free = side.setdefault(left, 3) == 3
+        elif free := side.get(left, 1) == 1 and side.get(right, 2) == 2:
+            side[left], side[right] = 1, 2
+        (chosen if free and len(chosen) < room else later).append(pair)
+    return np.array(sorted(chosen), np.uint32), np.array(later, np.uint32)
+
+
+def _sides(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols on the left of some pair, and those on the right."""
+    left, right = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
+    left[pairs >> np.uint32(16)] = True
+    right[pairs & np.uint32(0xFFFF)] = True
+    return left, right
 
 
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (pairs of symbols) that expand to ``ids``; rule i is symbol first_rule + i.
-    All symbols fit 16 bits."""
+    Pairs are replaced until none has ``LEAST_PLACES`` places, or all 16-bit symbols are used.
+
+    A pair gets no more places by replacing others, so after the first round only pairs with a symbol of
+    the round before, and those that were left over, are counted again.
+    """
     seq, rules = ids.astype(np.uint16), np.zeros(0, np.uint32)
-    for _ in range(ROUNDS):
-        room = (1 << 16) - first_rule - len(rules)
-        if len(seq) < 2 or room < 1:
-            break
-        pairs = _frequent_pairs(seq, room)
+    newest, sides = 0, (np.zeros(1 << 16, bool), np.zeros(1 << 16, bool))
+    while len(seq) > 1 and (room := (1 << 16) - first_rule - len(rules)) > 0:
+        new = seq >= newest
+        counted = new[:-1] | new[1:] | (sides[0].take(seq[:-1]) & sides[1].take(seq[1:]))
+        counted[_overlapping(seq)] = False
+        at = np.flatnonzero(counted)
+        keys = seq[at].astype(np.uint32) << np.uint32(16) | seq[at + 1]
+        pairs, later = _chosen_pairs(keys, room)
         if not len(pairs):
             break
-        left = np.zeros(1 << 16, bool)
-        left[pairs >> 16] = True
-        at = np.flatnonzero(left[seq[:-1]])
-        keys = seq[at].astype(np.uint32) << np.uint32(16) | seq[at + 1]
+        left, right = _sides(pairs)
+        near = np.flatnonzero(left.take(keys >> np.uint32(16)) & right.take(keys & np.uint32(0xFFFF)))
+        at, keys = at[near], keys[near]
         slot = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
         hit = pairs[slot] == keys
         at, slot = at[hit], slot[hit]
-        seq[at] = (first_rule + len(rules) + slot).astype(np.uint16)
+        newest = first_rule + len(rules)
+        sides = _sides(later)
+        seq[at] = (newest + slot).astype(np.uint16)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq, rules = seq[keep], np.concatenate((rules, pairs))

@@ -6,8 +6,6 @@ other. So the distinct parts of a block are encoded, and kept for later blocks o
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,9 +20,10 @@ BLOCK_BYTES = 16 << 20
 
 #: White space as the tokenizers see it, and more that Python takes for it.
 _SPACES = "\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
-_PLAIN = re.compile(r" ?\S+")
+#: Parts that can be encoded next to others.
+_PLAIN = f"^ ?[^{_SPACES}]+$"
 #: A Latin word and marks after it: to both tokenizers a word by itself, then the marks.
-_WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|]*)")
+_WORD = "^(?P<head> ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)(?P<marks>[.,;:!?|]*)$"
 
 
 def tokenizer_path(name: str) -> str:
@@ -50,8 +49,41 @@ def _byte_names() -> tuple[np.ndarray, np.ndarray]:
 BYTE_NAMES, TWO_BYTES = _byte_names()
 
 
+class Lists:
+    """Lists of ids, one after the other, with their sizes."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes = flat, sizes
+        self.begins = np.cumsum(sizes) - sizes
+
+    def take(self, index: np.ndarray) -> np.ndarray:
+        return self.flat[H.ranges(self.begins[index], self.sizes[index])]
+
+    def joined(self, other: Lists) -> Lists:
+        return Lists(np.concatenate((self.flat, other.flat)), np.concatenate((self.sizes, other.sizes)))
+
+
+class Known:
+    """Texts and their ids, kept for later blocks."""
+
+    def __init__(self):
+        self.texts = pa.array([], pa.string())
+        self.ids = Lists(np.zeros(0, np.uint16), np.zeros(0, np.int64))
+
+    def add(self, texts: pa.Array, ids: Lists) -> None:
+        self.texts = pa.concat_arrays([self.texts, texts.cast(pa.string())])
+        self.ids = self.ids.joined(ids)
+
+    def places(self, texts: pa.Array) -> np.ndarray:
+        """The number of each text, or -1."""
+        return pc.fill_null(pc.index_in(texts.cast(pa.string()), value_set=self.texts), -1).to_numpy(zero_copy_only=False)
+
+
 class Encoder:
-    """``lossless``: byte-level parts keep the space before them; else white space only separates."""
+    """``lossless``: byte-level parts keep the space before them; else white space only separates.
+
+    The strings of special tokens inside a text are ordinary text.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -64,7 +96,7 @@ class Encoder:
         #: Between parts that are encoded as one text, and the id it has there.
         self.between = "\n" if self.lossless else " \0 "
         (self.mark,) = self._ids("\n" if self.lossless else "\0")
-        self.kept: dict[str, bytes] = {}
+        self.parts, self.heads = Known(), Known()
         #: By id: bytes of its piece, and whether it ends a word.
         self.sizes, self.last = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, bool)
         for piece, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -79,23 +111,36 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _words(self, words: list[str]) -> Iterator[bytes]:
+    def _of_words(self, words: pa.Array) -> Lists:
         """The ids of Latin words. Each is one pre-token, so the library gets them with their bytes
         named as in the vocabulary, and needs to cut at line ends only."""
+        flat, sizes = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), 5000):
-            some = words[at : at + 5000]
+            some = words[at : at + 5000].to_pylist()
             joined = "\n".join(some)
             raw = np.frombuffer((joined if self.lossless else joined.lower()).encode(), np.uint8)
             named = BYTE_NAMES[raw][np.stack([np.ones(len(raw), bool), TWO_BYTES[raw]], axis=1)].tobytes().decode()
             (found,) = self.words.encode_batch_fast([named], add_special_tokens=False)
             ids = np.array(found.ids, np.uint16)
             if self.lossless:  # a word ends where its bytes are used up
-                size = np.cumsum([len(w.encode()) for w in some])
+                size = np.cumsum(pc.binary_length(words[at : at + 5000]).to_numpy())
                 ends = np.searchsorted(np.cumsum(self.sizes[ids]), size) + 1
             else:
                 ends = np.flatnonzero(self.last[ids]) + 1
-            out = ids.tobytes()
-            yield from (out[2 * a : 2 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+            flat.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        return Lists(np.concatenate(flat), np.concatenate(sizes))
+
+    def _of_others(self, parts: pa.Array) -> Lists:
+        """The ids of any parts: plain ones many at once, the others by themselves."""
+        flat, sizes = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for at in range(0, len(parts), 5000):
+            some = parts[at : at + 5000].to_pylist()
+            ids = np.array(self._ids(self.between.join(some)), np.uint16)
+            marks = np.flatnonzero(ids == self.mark)
+            flat.append(np.delete(ids, marks))
+            sizes.append(np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1)
+        return Lists(np.concatenate(flat), np.concatenate(sizes))
 
     def block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids (16 bits) of all texts, one after the other, and the number of ids of each."""
@@ -108,14 +153,9 @@ class Encoder:
         else:
             parts = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
         coded = parts.flatten().dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        values = self._encoded(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 2
-        flat = np.frombuffer(b"".join(values), np.uint16)
-        begins = np.cumsum(sizes) - sizes
-        lengths = sizes[index]
-        ids = flat[H.ranges(begins[index], lengths)]
-        ends = np.concatenate(([0], np.cumsum(lengths)))[parts.offsets.to_numpy()]
+        number = self._numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        ids = self.parts.ids.take(number)
+        ends = np.concatenate(([0], np.cumsum(self.parts.ids.sizes[number])))[parts.offsets.to_numpy()]
         counts = np.diff(ends)
         return self._with_whole(texts, whole, ids, counts) if whole.any() else (ids, counts)
 
@@ -125,34 +165,37 @@ class Encoder:
             pieces[i] = np.array(self._ids(texts[int(i)].as_py()), np.uint16)
         return np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)
 
-    def _encoded(self, parts: list[str]) -> list[bytes]:
-        kept = self.kept
-        if len(kept) > KEPT_PARTS:
-            kept.clear()
-        new, words = [], {}
-        for p in parts:
-            if p not in kept:
-                found = _WORD.fullmatch(p)
-                if found:
-                    words[p] = found.groups()
-                else:
-                    new.append(p)
-        new += {marks for _, marks in words.values()} - kept.keys()
-        heads = list({head for head, _ in words.values()} - kept.keys())
-        kept.update(zip(heads, self._words(heads), strict=True))
-        joint = [p for p in new if _PLAIN.fullmatch(p)] if self.lossless else [p for p in new if p]
-        for at in range(0, len(joint), 5000):
-            some = joint[at : at + 5000]
-            ids = np.array(self._ids(self.between.join(some)), np.uint16)
-            cuts = np.concatenate(([-1], np.flatnonzero(ids == self.mark), [len(ids)])).tolist()
-            raw = ids.tobytes()
-            kept.update((p, raw[2 * a + 2 : 2 * b]) for p, a, b in zip(some, cuts[:-1], cuts[1:], strict=True))
-        for p in new:
-            if p not in kept:
-                kept[p] = np.array(self._ids(p), np.uint16).tobytes()
-        for p, (head, marks) in words.items():
-            kept[p] = kept[head] + kept[marks]
-        return [kept[p] for p in parts]
+    def _numbers(self, parts: pa.Array) -> np.ndarray:
+        """The numbers of distinct parts among those known; new ones are encoded."""
+        if len(self.parts.texts) > KEPT_PARTS:
+            self.parts, self.heads = Known(), Known()
+        number = self.parts.places(parts)
+        new = parts.filter(pa.array(number < 0))
+        if not len(new):
+            return number
+        found = pc.extract_regex(new, pattern=_WORD)
+        word = found.is_valid()
+        heads, marks = (pc.struct_field(found.filter(word), i).dictionary_encode() for i in (0, 1))
+        unknown = heads.dictionary.filter(pa.array(self.heads.places(heads.dictionary) < 0))
+        self.heads.add(unknown, self._of_words(unknown))
+        head = self.heads.places(heads.dictionary)[heads.indices.to_numpy(zero_copy_only=False)]
+        others = new.filter(pc.invert(word))
+        plain = pc.match_substring_regex(others, _PLAIN) if self.lossless else pc.greater(pc.binary_length(others), 0)
+        self.parts.add(others.filter(plain), self._of_others(others.filter(plain)))
+        odd = others.filter(pc.invert(plain))
+        alone = [np.array(self._ids(p), np.uint16) for p in odd.to_pylist()]
+        self.parts.add(odd, Lists(np.concatenate([np.zeros(0, np.uint16), *alone]), np.array([len(x) for x in alone], np.int64)))
+        # A word: the ids of its head, then those of its marks.
+        tails = [np.array(self._ids(m), np.uint16) if m else np.zeros(0, np.uint16) for m in marks.dictionary.to_pylist()]
+        tail = Lists(np.concatenate([np.zeros(0, np.uint16), *tails]), np.array([len(x) for x in tails], np.int64))
+        mark = marks.indices.to_numpy(zero_copy_only=False)
+        first, second = self.heads.ids.sizes[head], tail.sizes[mark]
+        flat = np.empty(int(first.sum() + second.sum()), np.uint16)
+        ends = np.cumsum(first + second)
+        flat[H.ranges(ends - first - second, first)] = self.heads.ids.take(head)
+        flat[H.ranges(ends - second, second)] = tail.take(mark)
+        self.parts.add(new.filter(word), Lists(flat, first + second))
+        return self.parts.places(parts)
 
 
 @lru_cache(maxsize=2)
