@@ -187,6 +187,16 @@ def test_texts_of_many_blocks_come_back(spark):
     assert Counter((r.doc_id, r.text) for r in lines.cleaned_report(docs).collect()) == Counter((i, t) for i, _, t in rows)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_many_rows_may_share_a_doc_id(spark, doc_id):
+    """Time and memory grow with the rows: each of 20,000 rows gets its own report."""
+    rows = [(doc_id, "host", f"common line\nrow {i} " + "word " * 10) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    report = lines.cleaned_report(docs, line_limit=10).groupBy("n_words", "n_removed_words").count().collect()
+    assert [tuple(r) for r in report] == [(14, 0, 20_000)]
+    assert lines.keep_good(docs).count() == 0
+
+
 def test_base_columns_of_the_query(spark):
     result = queries.op7_quality(spark, SF)
     expected = {doc_id: counts(text) for doc_id, text in texts_of(spark)}

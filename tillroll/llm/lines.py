@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ SYMBOLS = H.byte_set(lambda b: chr(b) in "#*$%&|<>")
 NEWLINE = H.byte_set(lambda b: b != 0x0A)
 
 MEASURES = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, text_hash long, "
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "lines array<struct<line: long, words: long>>"
 )
 
@@ -92,14 +92,14 @@ def measure_block(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray
         "n_symbols": per_doc(SYMBOLS[data]),
         "n_dup_lines": np.bincount(own[later], minlength=n).astype(np.int64),
         "n_repeat_words": np.bincount(doc[covered], minlength=n).astype(np.int64),
-        "text_hash": rolling.between(offsets[:-1], offsets[1:]).view(np.int64),
         "lines": pa.ListArray.from_arrays(pa.array(ends_of), structs),
     }
 
 
 def measures(docs: DataFrame, keys: str) -> DataFrame:
-    """The columns ``keys`` (a DDL list; the text is not one of them) and MEASURES of each row."""
-    names = [part.split()[0] for part in keys.split(", ")]
+    """The columns ``keys`` (a DDL list; the text is not one of them), the hash of the text and MEASURES of
+    each row."""
+    names = [*(part.split()[0] for part in keys.split(", ")), "text_hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in H.blocks(batches):
@@ -108,11 +108,18 @@ def measures(docs: DataFrame, keys: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*names, *found])
 
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    return docs.select(*(F.col(part.split()[0]).cast(part.split()[1]) for part in keys.split(", ")), text).mapInArrow(run, f"{keys}, {MEASURES}")
+    own = (F.col(part.split()[0]).cast(part.split()[1]) for part in keys.split(", "))
+    return docs.select(*own, _text_hash("text").alias("text_hash"), text).mapInArrow(run, f"{keys}, text_hash long, {MEASURES}")
+
+
+def _text_hash(text: str) -> Column:
+    """Tells rows apart that share a doc_id; of the text as it is, null as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _judged(rows: DataFrame, line_limit: int, least_left: float) -> tuple[DataFrame, DataFrame]:
-    """The report on the stored measures ``rows``, and the lines to remove: source, id, array ``gone``."""
+    """The report on the stored measures ``rows``, and the lines to remove from each text: source, id,
+    text_hash, array ``gone``."""
     key = F.coalesce("doc_id", F.lit(NULL_ID))
     lines = rows.select("source", "text_hash", key.alias("id"), F.explode(F.array_distinct("lines.line")).alias("line"))
     # One row per host, line and text first, so a line of many documents is counted by many tasks.
@@ -131,7 +138,7 @@ def _judged(rows: DataFrame, line_limit: int, least_left: float) -> tuple[DataFr
         held.join(frequent, F.col("source").eqNullSafe(F.col("host")) & (F.col("line") == F.col("bad")) & (F.col("id") != F.col("holder")))
         .select("source", "id", "text_hash", "line", "words", "times")
     )
-    gone = bad.groupBy("source", "id").agg(F.collect_set("line").alias("gone"))
+    gone = bad.groupBy("source", "id", "text_hash").agg(F.collect_set("line").alias("gone"))
     removed = bad.groupBy("source", "id", "text_hash").agg(F.sum(F.col("words") * F.col("times")).alias("removed"))
     per_text = copies.join(removed.withColumnsRenamed({"source": "s2", "id": "i2", "text_hash": "t2"}), F.col("source").eqNullSafe(F.col("s2")) & (F.col("id") == F.col("i2")) & (F.col("text_hash") == F.col("t2"))).select(
         "s2", "i2", "t2", (F.col("removed") / F.col("copies")).cast("long").alias("n_removed_words")
@@ -147,12 +154,11 @@ def _judged(rows: DataFrame, line_limit: int, least_left: float) -> tuple[DataFr
     return report, gone
 
 
-def _without(lines: list[list[int] | None], texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The texts without the lines whose hashes are listed for them, and the hash of each whole text."""
-    data, offsets = H.text_bytes(texts)
-    hashes = H.Rolling(data).between(offsets[:-1], offsets[1:]).view(np.int64)
+def _without(lines: list[list[int] | None], texts: pa.Array) -> pa.Array:
+    """The texts without the lines whose hashes are listed for them."""
     if not any(lines):
-        return texts, hashes
+        return texts
+    data, offsets = H.text_bytes(texts)
     words = H.Words(data, offsets, H.VISIBLE)
     spans = H.Words(data, offsets, NEWLINE)
     first_word = np.searchsorted(words.starts, spans.starts)
@@ -171,34 +177,36 @@ def _without(lines: list[list[int] | None], texts: pa.Array) -> tuple[pa.Array,
                     kept.append(line)
                 at += len(line) + 1
             out[i] = b"\n".join(kept).decode()
-    return pa.array(out, texts.type), hashes
+    return pa.array(out, texts.type)
 
 
-def _rewritten(docs: DataFrame, per_id: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` joined with ``per_id`` (source, id, gone, any others), its texts without the lines of
-    ``gone``, and the hash of the whole text; and the names given to what is added."""
-    names = {c: free_name(docs, f"{c}_of_lines") for c in (*per_id.columns, "hash")}
+def _rewritten(docs: DataFrame, per_text: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` joined with ``per_text`` (source, id, text_hash, gone, any others), its texts without the
+    lines of ``gone``; and the names given to what is added."""
+    names = {c: free_name(docs, f"{c}_of_lines") for c in (*per_text.columns, "null")}
     text = next(c for c in docs.columns if c.lower() == "text")
-    right = per_id.withColumnsRenamed({c: names[c] for c in per_id.columns})
-    same = F.col("source").eqNullSafe(F.col(names["source"])) & (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col(names["id"]))
-    others = [names[c] for c in per_id.columns if c not in ("source", "id", "gone")]
+    right = per_text.withColumnsRenamed({c: names[c] for c in per_text.columns})
+    same = (
+        F.col("source").eqNullSafe(F.col(names["source"]))
+        & (F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)) == F.col(names["id"]))
+        & (_text_hash(text) == F.col(names["text_hash"]))
+    )
+    others = [names[c] for c in per_text.columns if c not in ("source", "id", "gone")]
     # A null text is told by its flag, since blocks are cut by their bytes.
     joined = docs.join(right, same).select(
         *(F.coalesce(F.col(c), F.lit("")).alias("text") if c == text else F.col(c) for c in docs.columns),
-        *others, names["gone"], F.col(text).isNull().alias(names["hash"]),
+        *others, names["gone"], F.col(text).isNull().alias(names["null"]),
     )
-    fields = [T.StructField(f.name, f.dataType) for f in joined.schema if f.name not in (names["gone"], names["hash"])]
-    schema = T.StructType([*fields, T.StructField(names["hash"], T.LongType())])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in joined.schema if f.name not in (names["gone"], names["null"])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in H.blocks(batches):
-            texts, hashes = _without(batch.column(names["gone"]).to_pylist(), batch.column("text"))
-            null = batch.column(names["hash"])
-            columns = {c: batch.column(c) for c in batch.schema.names if c != names["gone"]}
+            texts = _without(batch.column(names["gone"]).to_pylist(), batch.column("text"))
+            null = batch.column(names["null"])
+            columns = {c: batch.column(c) for c in schema.names}
             if null.true_count:
                 texts = pa.array([None if n else t for n, t in zip(null.to_pylist(), texts.to_pylist(), strict=True)], texts.type)
             columns["text"] = texts
-            columns[names["hash"]] = pa.array(hashes)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return joined.mapInArrow(run, schema).withColumnsRenamed({"text": text}), names
@@ -218,30 +226,34 @@ def quality_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: fl
     return _judged(stored(measures(docs, "doc_id long, source string")), line_limit, least_left)[0]
 
 
-def _per_id(report: DataFrame, gone: DataFrame, *more) -> DataFrame:
-    """One row per source and id of the report: the lines ``gone``, whether any of the id's rows is
-    ``kept``, and the aggregates ``more``."""
+def _per_text(report: DataFrame, gone: DataFrame, *more: Column) -> DataFrame:
+    """One row per source, id and text of the report: the lines ``gone`` and the aggregates ``more``."""
     id_ = F.coalesce("doc_id", F.lit(NULL_ID)).alias("id")
-    per = report.groupBy("source", id_).agg(F.max("kept").alias("kept"), *more)
-    per = per.withColumn("kept", F.max("kept").over(Window.partitionBy("id")))
-    gone = gone.withColumnsRenamed({"source": "s2", "id": "i2"})
-    return per.join(gone, F.col("source").eqNullSafe(F.col("s2")) & (F.col("id") == F.col("i2")), "left").drop("s2", "i2")
+    per = report.groupBy("source", id_, "text_hash").agg(F.max("kept").alias("kept"), *more)
+    gone = gone.withColumnsRenamed({"source": "s2", "id": "i2", "text_hash": "t2"})
+    same = F.col("source").eqNullSafe(F.col("s2")) & (F.col("id") == F.col("i2")) & (F.col("text_hash") == F.col("t2"))
+    return per.join(gone, same, "left").drop("s2", "i2", "t2")
 
 
 def cleaned_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: float = LEAST_LEFT) -> DataFrame:
     """``quality_report`` with one more column, ``text``: the text without the removed lines, for kept
-    and rejected rows alike. The other lines, blank ones too, stay as they are; a null text stays null."""
+    and rejected rows alike. The other lines, blank ones too, stay as they are; a null text stays null.
+
+    Rows find their report by source, doc_id and text, so any number of rows may share a doc_id.
+    """
     report, gone = _judged(stored(measures(docs, "doc_id long, source string")), line_limit, least_left)
-    of_text = F.collect_set(F.struct(*(c for c in report.columns if c not in ("doc_id", "source")))).alias("reports")
-    texts, names = _rewritten(docs.select("doc_id", "source", "text"), _per_id(report, gone, of_text).drop("kept"))
-    # Rows that share a doc_id but not a text have a report each.
-    own = F.element_at(F.filter(names["reports"], lambda r: r["text_hash"] == F.col(names["hash"])), 1)
-    return texts.withColumn("own", own).select(F.col("doc_id").cast("long"), "source", *(F.col(f"own.{c}") for c in report.columns if c not in ("doc_id", "source")), "text")
+    found = [c for c in report.columns if c not in ("doc_id", "source", "text_hash")]
+    per_text = _per_text(report, gone, *(F.first(c).alias(f"own_{c}") for c in found)).drop("kept")
+    texts, names = _rewritten(docs.select("doc_id", "source", "text"), per_text)
+    own = {c: F.col(names[f"own_{c}"]).alias(c) for c in found} | {"text_hash": F.col(names["text_hash"]).alias("text_hash")}
+    return texts.select(F.col("doc_id").cast("long"), "source", *(own[c] for c in report.columns if c in own), "text")
 
 
 def keep_good(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: float = LEAST_LEFT) -> DataFrame:
     """The rows of ``docs`` that the rules keep, without the lines that they remove. Of rows with one
     doc_id all stay if one of them is good."""
     report, gone = _judged(stored(measures(docs, "doc_id long, source string")), line_limit, least_left)
-    texts, _ = _rewritten(docs, _per_id(report, gone).where("kept").drop("kept"))
+    per_text = _per_text(report, gone).drop("kept")
+    good = report.where("kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id")).distinct()
+    texts, _ = _rewritten(docs, per_text.join(good, "id", "left_semi"))
     return texts.select(docs.columns)
