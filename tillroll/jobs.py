@@ -35,11 +35,11 @@ Counts = Mapping[str, Mapping[str, int]]
 
 
 def refresh(store: Store, names: Sequence[str], publish: bool = False) -> Counts:
-    """Rebuild the named tables and, if asked, (re-)create their catalog entries. Returns what was
-    counted on the way."""
+    """Rebuild the named tables and, if asked, (re-)create the catalog entries of those that are not kept
+    as versions. Returns what was counted on the way."""
     counts = store.refresh_counting(names)
     for name in counts:
-        if publish:
+        if publish and name not in store.databases:
             sinks.publish(store.spark, DATABASES[name], name, store.path(name), store.fmt)
     return counts
 
@@ -69,14 +69,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--tables", nargs="+", choices=list(BUILDERS), default=list(BUILDERS), help="default: all")
     parser.add_argument("--steps", nargs="+", choices=STEPS, default=STEPS, help="default: both")
     parser.add_argument("--report", help="folder for the check reports")
-    parser.add_argument("--publish", action="store_true", help="(re-)create the catalog tables")
+    parser.add_argument("--publish", action="store_true", help="tables are catalog tables: plain formats in versions that a refresh switches between, others by their path")
     parser.add_argument("--format", default="parquet", help="format of input and output tables")
     parser.add_argument("--settings", type=lambda text: Settings(**json.loads(text)), default=Settings(), help="JSON object of settings that differ from the defaults")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("tillroll").getOrCreate()
     as_of = args.as_of or pacific_now()
     gold, silver = read_gold(spark, args.gold, args.format), read_silver(spark, args.silver, args.format)
-    store = Store(gold, silver, as_of, args.out, fmt=args.format, settings=args.settings)
+    databases = DATABASES if args.publish and args.format in sinks.PLAIN_FORMATS else {}
+    store = Store(gold, silver, as_of, args.out, fmt=args.format, settings=args.settings, databases=databases)
     counts = refresh(store, args.tables, args.publish) if "refresh" in args.steps else None
     if "check" in args.steps:
         check(store, args.tables, args.report, counts)

@@ -14,6 +14,7 @@ from tillroll.domain import TABLE_PARTITIONS, Settings
 from tillroll.functions.calendar import WeeklyBounds
 from tillroll.operators import quality
 from tillroll.plans import activity, checks, daily_sales, household_types, shop_dates
+from tillroll.sources.published import publish_version
 from tillroll.sources.sinks import full_refresh, scratch, stored
 from tillroll.sources.tables import GoldTables, SilverTables, read_table
 
@@ -23,6 +24,9 @@ class Store:
     """The stored tables below one folder, next to the inputs they are built from.
 
     ``layout`` names the storage partition column of a table; tables it leaves out are not partitioned.
+    Tables that ``databases`` names a database for are catalog tables in versions (``sources/published.py``),
+    written below ``versions`` and read by name, so their readers never meet a refresh; the others are
+    folders that a refresh replaces.
     """
 
     gold: GoldTables
@@ -32,6 +36,7 @@ class Store:
     layout: Mapping[str, str] = field(default_factory=lambda: TABLE_PARTITIONS)
     fmt: str = "parquet"
     settings: Settings = Settings()
+    databases: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def spark(self) -> SparkSession:
@@ -43,7 +48,11 @@ class Store:
     def table(self, name: str) -> DataFrame:
         """A stored table. Storage moves the partition column to the end, so the order is restored;
         columns that are not expected stay visible at the end for the column check to find."""
-        df = read_table(self.spark, self.path(name), fmt=self.fmt)
+        published = f"{self.databases[name]}.{name}" if name in self.databases else None
+        if published and self.spark.catalog.tableExists(published):
+            df = self.spark.table(published)
+        else:
+            df = read_table(self.spark, self.path(name), fmt=self.fmt)
         expected = [column for column in self.settings.columns[name] if column in df.columns]
         return df.select(*expected, *[column for column in df.columns if column not in expected])
 
@@ -74,7 +83,11 @@ class Store:
             observations.append(observation)
             return watched
 
-        full_refresh(df, self.path(name), self.layout.get(name), self.fmt, counting)
+        if name in self.databases:
+            folder = f"{self.base}/versions/{name}"
+            publish_version(df, self.databases[name], name, folder, self.layout.get(name), self.fmt, counting)
+        else:
+            full_refresh(df, self.path(name), self.layout.get(name), self.fmt, counting)
         return observations[0].get
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.sources.tables import read_table
@@ -28,33 +28,56 @@ def full_refresh(
     and a date with very many rows is split over several tasks instead of landing in one. ``last`` is
     put on the rows as they go to the writer (see ``quality.counting``).
     """
-    if partition_by is None:
-        writer = last(df).write
-    else:
-        writer = last(df.hint("rebalance", partition_by)).write.partitionBy(partition_by)
     if fmt not in PLAIN_FORMATS:
-        writer.format(fmt).mode("overwrite").option("overwriteSchema", True).save(path)
+        _writer(df, partition_by, last).format(fmt).mode("overwrite").option("overwriteSchema", True).save(path)
         return
     staged = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     try:
-        writer.format(fmt).save(staged)
+        write_table(df, staged, partition_by, fmt, last)
     except Exception:
-        _delete(df.sparkSession, staged)
+        delete(df.sparkSession, staged)
         raise
     _swap(df.sparkSession, staged, path.rstrip("/"))
 
 
+def _writer(df: DataFrame, partition_by: str | None, last: Callable[[DataFrame], DataFrame]) -> DataFrameWriter:
+    if partition_by is None:
+        return last(df).write
+    return last(df.hint("rebalance", partition_by)).write.partitionBy(partition_by)
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    fmt: str = "parquet",
+    last: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> None:
+    """Write a table to a folder that does not exist yet, laid out as ``full_refresh`` has it."""
+    _writer(df, partition_by, last).format(fmt).save(path)
+
+
+def refresh_partitions(df: DataFrame, path: str, partition_by: str, gone: Sequence[date] = (), fmt: str = "parquet") -> None:
+    """Replace the partitions of a stored table that ``df`` has rows for, and remove those named in
+    ``gone``. All others keep their files. A partition takes its place once all of ``df`` is written.
+    """
+    writer = _writer(df, partition_by, lambda rows: rows).format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
+    for day in gone:
+        delete(df.sparkSession, f"{path.rstrip('/')}/{partition_by}={day.isoformat()}")
+
+
 # Formats that are folders of files, without commits of their own.
 PLAIN_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    files, place = _file_system(spark, path)
+def delete(spark: SparkSession, path: str) -> None:
+    files, place = file_system(spark, path)
     files.delete(place, True)
 
 
@@ -64,9 +87,9 @@ def _swap(spark: SparkSession, staged: str, path: str) -> None:
     A reader finds the former table, for the time of two renames none, then the new one; never a
     half-written one. If the second rename fails, the former table is put back.
     """
-    files, new = _file_system(spark, staged)
-    _, place = _file_system(spark, path)
-    _, former = _file_system(spark, f"{path}.old-{uuid.uuid4().hex}")
+    files, new = file_system(spark, staged)
+    _, place = file_system(spark, path)
+    _, former = file_system(spark, f"{path}.old-{uuid.uuid4().hex}")
     had = files.exists(place)
     if had and not files.rename(place, former):
         raise OSError(f"cannot move {path}")
@@ -123,7 +146,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
     try:
         yield folder
     finally:
-        _delete(spark, folder)
+        delete(spark, folder)
 
 
 def stored(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = "parquet") -> DataFrame:
