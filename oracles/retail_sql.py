@@ -760,3 +760,22 @@ ORACLES["dq_counted_while_written"] = _sql(
     "pos_daily_agg_card",
     "card_transactions",
 )
+
+ORACLES["daily_sales_of_changed_days"] = _sql(
+    """
+    SELECT fiscal_date, customer_hk, location_hk, channel, transaction_count, CAST(sales AS DOUBLE) AS sales,
+           CAST(scan AS DOUBLE) AS scan, units, items,
+           dayofyear(fiscal_date) % 31 = 3 OR dayofyear(fiscal_date) % 29 = 5 AS rebuilt
+    FROM pos_daily_agg_card
+    """,
+    "pos_daily_agg_card",
+)
+
+ORACLES["distinct_transactions_by_household"] = _sql(
+    """
+    SELECT current_household_id AS hhn, COUNT(DISTINCT transaction_number) AS transaction_count
+    FROM retail_sale_fact JOIN customer_dim USING (customer_hk) GROUP BY current_household_id
+    """,
+    "retail_sale_fact",
+    "customer_dim",
+)

@@ -7,7 +7,8 @@ different engines compare by value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 
 from tillroll import domain
 from tillroll.functions import calendar, retail
-from tillroll.operators import quality, skew, spans
+from tillroll.operators import distinct_sets, quality, skew, spans
 from tillroll.operators.fingerprints import row_differences
 from tillroll.operators.intervals import interval_join
 from tillroll.operators.versions import latest_version
-from tillroll.plans import activity, checks, daily_sales, household_types, refresh, shop_dates
+from tillroll.plans import activity, checks, daily_sales, household_types, increment, refresh, shop_dates
 from tillroll.sources import sinks, star
 
 AS_OF = datetime(2001, 8, 1)
@@ -385,6 +386,17 @@ def agg_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.groupBy("location_hk").agg(F.count_distinct("transaction_number").alias("transaction_count"))
 
 
+@query
+def distinct_transactions_by_household(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted from stored sets of each customer's transactions, not from the sales again."""
+    gold = star.gold(spark, sf_dir)
+    cards = distinct_sets.distinct_sets(gold.retail_sale_fact, ["customer_hk", "location_hk"], "transaction_number")
+    kept = sinks.stored(cards, sinks.scratch_folder(spark))
+    households = gold.customer_dim.select("customer_hk", F.col("current_household_id").alias("hhn"))
+    of_household = skew.join_spread(kept, households, "customer_hk", ["location_hk", distinct_sets.BLOCK])
+    return distinct_sets.set_sizes(of_household, ["hhn"], "transaction_count")
+
+
 @query
 def agg_sum_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = star.gold(spark, sf_dir).retail_sale_fact
@@ -431,6 +443,21 @@ def sink_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.filter(F.col("week_end_date").between(F.date_sub(last_week, 12 * 7), last_week))
 
 
+@query
+def daily_sales_of_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily card table built from former sales, then brought up to date for the days that changed."""
+    gold, silver = star.gold(spark, sf_dir), star.silver(spark, sf_dir)
+    day = F.dayofyear("fiscal_date")
+    corrected = (day % 31 == 3).cast("bigint")
+    former = gold.retail_sale_fact.where(day % 29 != 5).withColumn("unit_count", F.col("unit_count") + corrected)
+    base = sinks.scratch_folder(spark)
+    increment.refresh_daily(refresh.Store(replace(gold, retail_sale_fact=former), silver, AS_OF, base))
+    store = refresh.Store(gold, silver, AS_OF + timedelta(hours=6), base)
+    increment.refresh_daily(store)
+    daily = store.table("pos_daily_agg_card").withColumn("rebuilt", F.col("dl_load_dt") > F.lit(AS_OF))
+    return _money_as_double(daily.drop("dl_load_dt", "dl_update_dt"), "sales", "scan")
+
+
 @query
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = household_types.household_types(_customers(spark, sf_dir))

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.sources.tables import read_table
@@ -57,14 +57,18 @@ def write_table(
     _writer(df, partition_by, last).format(fmt).save(path)
 
 
-def refresh_partitions(df: DataFrame, path: str, partition_by: str, gone: Sequence[date] = (), fmt: str = "parquet") -> None:
-    """Replace the partitions of a stored table that ``df`` has rows for, and remove those named in
-    ``gone``. All others keep their files. A partition takes its place once all of ``df`` is written.
+def refresh_partitions(df: DataFrame, path: str, partition_by: str, days: Sequence[date], fmt: str = "parquet") -> None:
+    """Replace the partitions of ``days`` in a stored table by the rows ``df`` has for them; a day without
+    rows loses its partition. All others keep their files. Partitions take their places once all of
+    ``df`` is written; what ``df`` reads must not be the table itself.
     """
-    writer = _writer(df, partition_by, lambda rows: rows).format(fmt).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").save(path)
-    for day in gone:
-        delete(df.sparkSession, f"{path.rstrip('/')}/{partition_by}={day.isoformat()}")
+    written = Observation(f"days-{uuid.uuid4().hex}")
+    counts = [F.count_if(F.col(partition_by) == day).alias(day.isoformat()) for day in days]
+    writer = _writer(df, partition_by, lambda rows: rows.observe(written, *counts) if counts else rows)
+    writer.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+    for day in days:
+        if not written.get[day.isoformat()]:
+            delete(df.sparkSession, f"{path.rstrip('/')}/{partition_by}={day.isoformat()}")
 
 
 # Formats that are folders of files, without commits of their own.
@@ -76,6 +80,11 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = file_system(spark, path)
+    return files.exists(place)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, place = file_system(spark, path)
     files.delete(place, True)
