@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark import cloudpickle
 
 from tests.llm.small import SF, edge_documents, texts_of
-from tillroll.llm import chains, graph, leaks, queries, simhash, suffixes
+from tillroll.llm import chains, graph, hashing, leaks, queries, simhash, suffixes
 
 VISIBLE = re.compile(r"[^\x20\x09-\x0D]+")
 LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -263,6 +264,26 @@ def test_recall_of_edited_passages(spark, edits, least):
     assert sum((n, item) in found for n, item, _ in rows) >= least * len(rows)
 
 
+@pytest.mark.parametrize("size, edits", [(3, 0), (4, 0), (5, 1), (7, 1), (8, 1), (10, 2), (14, 2), (20, 4), (24, 4), (30, 6), (60, 12)])
+def test_recall_at_the_most_edits(size, edits):
+    """At every length, with as many edits as are allowed; verbatim short items are always found."""
+    rng = random.Random(size)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=size))) for i in range(300)]
+    index = leaks.Index(items)
+    found = 0
+    for i, text in items:
+        words = text.split()
+        for k in range(edits):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[], [f"x{i}x{k}"], [words[at], f"x{i}x{k}"]])
+        document = " ".join(rng.choices(vocabulary, k=60) + words + rng.choices(vocabulary, k=60))
+        hashes, _ = leaks.word_hashes(*hashing.text_bytes(pa.array([document], pa.large_string())))
+        position, number, offset = index.hits(hashes)
+        found += bool(((number == i) & (abs(position - offset - 60) <= edits)).any())
+    assert found >= (1 if edits == 0 else 0.95) * len(items)
+
+
 def test_leaks_of_odd_rows_and_blocks_of_items(spark):
     items = [(1, "the mit license and the apache license"), (2, None), (3, ""), (4, "mit license"), (None, "plain1 text1 plain2 text4 plain3 text9 plain4 text16"), (5, "one")]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumnsRenamed({}).selectExpr("*", "1 AS doc_id")

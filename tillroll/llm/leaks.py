@@ -3,16 +3,18 @@
 A CGK walk reads a word sequence once per step and goes on to the next word or stays, as a random
 bit of the word says; sequences within a small edit distance fall into step again, so their walks
 agree at most steps (the Hamming distance follows the edit distance). Each table samples a few
-steps of a walk as its key. Walks start at words that are the least of some four in a row, which an
-item and a document choose alike, and take as many steps as the shortest items have words, so an item
-has many windows, several walks and several tables to be found by.
+steps of a walk as its key. Walks take as many steps as the shortest items of their class have words.
+In items of 24 words and more they start at words that are the least of some four in a row, which an
+item and a document choose alike; in shorter ones they start at every word. There are as many walks as
+random items with as many edits as are allowed need to be found at ``TARGET``. Items too short for any
+edit are looked up by the hash of all their words.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,19 @@ from tillroll.llm.columns import rows_of
 #: Words of benchmark items held by a task at once; larger benchmarks are searched in several passes.
 BLOCK_WORDS = 1_000_000
 SIMILARITY = 0.8
-WALKS = 2
+#: Share of items with the most edits that the walks are to find.
+TARGET = 0.98
+#: Random items that the share is taken from.
+TRIALS = 1000
 TABLES = 3
 SAMPLES = 4
-#: Steps of a walk, by the least number of words of an item.
-STEPS = (20, 8, 3)
+#: Words an item has at least, and steps of its walks.
+STEPS = ((24, 20), (8, 8), (3, 3))
+#: Walks of at least so many steps start at chosen words, shorter ones at every word.
+CHOSEN_FROM = 20
 NEIGHBOURS = 4
+#: Items of fewer words are not looked for: too many texts have them by chance.
+LEAST_WORDS = 3
 
 CANDIDATE = "doc_id long, item_id long, diagonal long, first long, words binary, item binary"
 FOUND = "doc_id long, item_id long, edits long, similarity double, first_word long, n_words long"
@@ -55,13 +64,16 @@ def start_words(hashes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(chosen)
 
 
-def walk_keys(hashes: np.ndarray, starts: np.ndarray, steps: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def starts_of(hashes: np.ndarray, steps: int) -> np.ndarray:
+    return start_words(hashes) if steps >= CHOSEN_FROM else np.arange(len(hashes))
+
+
+def walk_keys(hashes: np.ndarray, starts: np.ndarray, steps: int, walks: range) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each walk and table a key per start, and where that walk ended."""
-    rng = np.random.default_rng([steps, WALKS, TABLES, SAMPLES])
     padded = np.concatenate((hashes, np.zeros(steps, np.uint64)))
     cuts = np.linspace(0, steps, SAMPLES + 1).astype(int)
-    keys, stops = [], []
-    for walk in range(WALKS):
+    for walk in walks:
+        rng = np.random.default_rng([steps, walk, TABLES, SAMPLES])
         turns = H.mix(padded ^ np.uint64(rng.integers(1 << 62)))
         # One sampled step from each part of the walk.
         chosen = [[int(rng.integers(a, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a] for _ in range(TABLES)]
@@ -72,55 +84,120 @@ def walk_keys(hashes: np.ndarray, starts: np.ndarray, steps: int) -> tuple[list[
                 seen[t] = padded[at]
             at += ((turns[at] >> np.uint64(t)) & np.uint64(1)).astype(at.dtype)
         for table, steps_of in enumerate(chosen):
-            key = np.full(len(starts), 1 + walk * TABLES + table + 64 * steps, np.uint64)
+            key = np.full(len(starts), 1 + walk * TABLES + table, np.uint64)
             for t in steps_of:
                 key = key * np.uint64(0x9E3779B97F4A7C15) + seen[t]
-            keys.append(H.mix(key))
-            stops.append(at)
-    return keys, stops
+            yield H.mix(key), at
+
+
+def edits_allowed(size: int, similarity: float) -> int:
+    return math.floor((1 - similarity) * size + 1e-9)
+
+
+@lru_cache(maxsize=4096)
+def walks_needed(size: int, edits: int, steps: int, target: float = TARGET) -> int:
+    """Walks after which a share of ``target`` of random items of ``size`` words is found in a text that
+    holds them with ``edits`` random edits."""
+    rng = np.random.default_rng([size, edits, steps])
+    gap = 2 * steps
+    items, texts = [], []
+    for _ in range(TRIALS):
+        item = rng.integers(1, 1 << 62, size).astype(np.uint64)
+        words = item.tolist()
+        for _ in range(edits):
+            at, kind, new = int(rng.integers(len(words))), int(rng.integers(3)), int(rng.integers(1, 1 << 62))
+            words[at : at + 1] = [[], [new], [words[at], new]][kind]
+        items.append(item)
+        # Other words before and after, as in a document.
+        around = rng.integers(1, 1 << 62, 2 * gap).tolist()
+        texts.append(np.array(around[:gap] + words + around[gap:], np.uint64))
+    whole, text = np.concatenate(items), np.concatenate(texts)
+    owner = np.repeat(np.arange(TRIALS), [len(t) for t in texts])
+    starts = np.concatenate([n * size + starts_of(item, steps) for n, item in enumerate(items)])
+    text_starts = starts_of(text, steps)
+    number = starts // size
+    found = np.zeros(TRIALS, bool)
+    walk = 0
+    while found.mean() < target:
+        ours, theirs = (walk_keys(x, at, steps, range(walk, walk + 1)) for x, at in ((whole, starts), (text, text_starts)))
+        for (key, stop), (other, _) in zip(ours, theirs, strict=True):
+            inside = stop <= (number + 1) * size
+            pairs = (key ^ H.mix(number.astype(np.uint64)))[inside]
+            same = np.isin(pairs, other ^ H.mix(owner[text_starts].astype(np.uint64)))
+            found[number[inside][same]] = True
+        walk += 1
+    return walk
 
 
 class Index:
     """The keys of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY):
         texts = pa.array([text for _, text in items], pa.large_string())
         hashes, first = word_hashes(*H.text_bytes(texts))
         self.item_ids = [item for item, _ in items]
         self.words = [hashes[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-        found: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        #: Items without edits by their size, the others by the steps of their walks.
+        whole: dict[int, list[int]] = {}
+        walked: dict[int, list[int]] = {}
         for number, words in enumerate(self.words):
-            steps = next((s for s in STEPS if s <= len(words)), 0)
-            if not steps:
+            size = len(words)
+            if size < LEAST_WORDS:
                 continue
-            starts = np.union1d(start_words(words), [0]) if len(words) < NEIGHBOURS else start_words(words)
-            for key, stop in zip(*walk_keys(words, starts, steps), strict=True):
+            if not edits_allowed(size, similarity):
+                whole.setdefault(size, []).append(number)
+            else:
+                walked.setdefault(next(s for least, s in STEPS if least <= size), []).append(number)
+        self.whole = {size: _table((H.gram_hashes(self.words[n], size), n, np.zeros(1, np.int64)) for n in numbers) for size, numbers in whole.items()}
+        self.walks = {
+            steps: max(walks_needed(size, edits_allowed(size, similarity), steps) for size in {len(self.words[n]) for n in numbers})
+            for steps, numbers in walked.items()
+        }
+        self.tables = {steps: _table(self._entries(steps, numbers)) for steps, numbers in walked.items()}
+
+    def _entries(self, steps: int, numbers: list[int]) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        for number in numbers:
+            words = self.words[number]
+            starts = starts_of(words, steps)
+            for key, stop in walk_keys(words, starts, steps, range(self.walks[steps])):
                 inside = stop <= len(words)
-                found.setdefault(steps, []).append((key[inside], np.full(inside.sum(), number), starts[inside]))
-        #: By steps: sorted distinct keys, and for the entries of each key the items and positions.
-        self.tables = {}
-        for steps, parts in found.items():
-            key, number, offset = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(key, kind="stable")
-            unique, first_entry = np.unique(key[order], return_index=True)
-            self.tables[steps] = unique, np.append(first_entry, len(key)), number[order], offset[order]
+                yield key[inside], number, starts[inside]
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word positions, item numbers and positions in the items, of all equal keys."""
-        starts = start_words(hashes)
         out = []
-        for steps, (unique, first, number, offset) in self.tables.items():
-            for key in walk_keys(hashes, starts, steps)[0]:
-                slot = np.minimum(np.searchsorted(unique, key), len(unique) - 1)
-                hit = np.flatnonzero(unique[slot] == key)
-                count = first[slot[hit] + 1] - first[slot[hit]]
-                entry = H.ranges(first[slot[hit]], count)
-                out.append((np.repeat(starts[hit], count), number[entry], offset[entry]))
+        for size, table in self.whole.items():
+            keys = H.gram_hashes(hashes, size)
+            out.append(_look_up(table, keys, np.arange(len(keys))))
+        for steps, table in self.tables.items():
+            starts = starts_of(hashes, steps)
+            for key, _ in walk_keys(hashes, starts, steps, range(self.walks[steps])):
+                out.append(_look_up(table, key, starts))
         if not out:
             return (np.zeros(0, np.int64),) * 3
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def _table(entries: Iterator[tuple[np.ndarray, int, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys, and for the entries of each key the items and positions."""
+    keys, numbers, offsets = zip(*((key, np.full(len(key), number), offset) for key, number, offset in entries), strict=True)
+    key, number, offset = np.concatenate(keys), np.concatenate(numbers), np.concatenate(offsets)
+    order = np.argsort(key, kind="stable")
+    unique, first_entry = np.unique(key[order], return_index=True)
+    return unique, np.append(first_entry, len(key)), number[order], offset[order]
+
+
+def _look_up(table: tuple[np.ndarray, ...], key: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    unique, first, number, offset = table
+    if not len(unique):
+        return (np.zeros(0, np.int64),) * 3
+    slot = np.minimum(np.searchsorted(unique, key), len(unique) - 1)
+    hit = np.flatnonzero(unique[slot] == key)
+    count = first[slot[hit] + 1] - first[slot[hit]]
+    entry = H.ranges(first[slot[hit]], count)
+    return np.repeat(starts[hit], count), number[entry], offset[entry]
+
+
 def nearest(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     """The least edit distance of ``item`` to any stretch of ``words``, and where that stretch ends.
 
@@ -151,13 +228,13 @@ def _candidates(docs: DataFrame, index: Index, similarity: float) -> DataFrame:
             position, number, offset = index.hits(hashes)
             doc = np.searchsorted(first, position, "right") - 1
             diagonal = position - offset - first[doc]
+            doc, number, diagonal = np.unique(np.stack([doc, number, diagonal]), axis=1)
             # One window for the hits of a document and item whose diagonals lie close together.
-            order = np.lexsort((diagonal, number, doc))
             rows, last = [], None
             ids = batch.column("doc_id").to_pylist()
-            for d, k, g in zip(doc[order].tolist(), number[order].tolist(), diagonal[order].tolist(), strict=True):
+            for d, k, g in zip(doc.tolist(), number.tolist(), diagonal.tolist(), strict=True):
                 size = len(index.words[k])
-                slack = math.floor((1 - similarity) * size + 1e-9)
+                slack = edits_allowed(size, similarity)
                 if last and last[:2] == (d, k) and g - last[2] <= slack:
                     continue
                 last = (d, k, g)
@@ -198,7 +275,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     first_word, n_words; the best place of each.
 
     An item of n words is in a document if some stretch of its words is within (1 - similarity) * n
-    word edits (so items of fewer than five words must be there as they are). Items of fewer than
+    word edits (so items of fewer than five words must be there as they are, and are then always found).
+    Of those with the most edits ``TARGET`` are found, of those with fewer, more. Items of fewer than
     three words, empty or null ones are not looked for; null texts have no words; a null doc_id or
     item_id is carried like any other; repeated rows give one row; empty tables give an empty result.
     The benchmark is the query set: it is held by the tasks in blocks of ``block_words`` words, each
@@ -211,7 +289,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     found = []
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        index = Index(sorted(((r[0], r[1]) for r in rows), key=str))
+        index = Index(sorted(((r[0], r[1]) for r in rows), key=str), similarity)
         found.append(_candidates(texts, index, similarity))
     candidates = reduce(DataFrame.union, found).dropDuplicates()
     best = F.min(F.struct("edits", "first_word", "similarity", "n_words")).alias("best")
