@@ -30,7 +30,7 @@ BYTE, WORD = tokens.tokenizer_path("byte_bpe_50k.json"), tokens.tokenizer_path("
 
 
 def digest(name, rnd, value, size):
-    return int(hashlib.sha256(f"{pseudonyms.KEY}/{name}/{rnd}/{size}/{value}".encode()).hexdigest()[:15], 16)
+    return int(hashlib.sha256(f"{queries.TRIAL_KEY}/{name}/{rnd}/{size}/{value}".encode()).hexdigest()[:15], 16)
 
 
 def permuted(value, a, b, name):
@@ -54,7 +54,7 @@ def luhn(body):
 
 
 def stream(text, name):
-    parts = (hashlib.sha256(f"{pseudonyms.KEY}/{name}/{i}/{text}".encode()).hexdigest() for i in range(len(text) // 64 + 1))
+    parts = (hashlib.sha256(f"{queries.TRIAL_KEY}/{name}/{i}/{text}".encode()).hexdigest() for i in range(len(text) // 64 + 1))
     return "".join(parts)[: len(text)]
 
 
@@ -80,6 +80,8 @@ def replaced(match):
         own = digits[-10:]
         mixed = digits_permuted(own[1:3] + own[4:], "phone")
         return refilled(found, digits[:-10] + own[0] + mixed[:2] + own[3] + mixed[2:])
+    if kind == "phone_abroad":
+        return refilled(found, digits[:2] + digits_permuted(digits[2:], "phone_abroad"))
     if kind == "ip":
         value = permuted(int.from_bytes(bytes(map(int, found.split("."))), "big"), 65536, 65536, "ip")
         return ".".join(map(str, value.to_bytes(4, "big")))
@@ -138,7 +140,7 @@ ODD = [
 
 def test_odd_values_and_clashing_columns(spark):
     docs = spark.createDataFrame(list(enumerate(ODD)) + [(3, ODD[3])], "doc_id long, text string").selectExpr("*", "7 AS _found", "8 AS _new", "9 AS pii")
-    got = pseudonyms.pseudonymised(docs)
+    got = pseudonyms.pseudonymised(docs, queries.TRIAL_KEY)
     assert got.columns == docs.columns
     rows = got.collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, pseudonymised(r.text)) for r in docs.collect())
@@ -146,20 +148,44 @@ def test_odd_values_and_clashing_columns(spark):
     kinds = {r.doc_id: Counter(p.kind for p in r.pii if p.kind) for r in rows}
     assert kinds[0] == {"email": 2} and kinds[2] == {"card": 2} and kinds[4] == {"date": 4} and kinds[5] == {"ssn": 2} and kinds[6] == {"secret": 3}
     edge = edge_documents(spark)
-    assert pseudonyms.pseudonymised(edge).count() == edge.count()
-    assert pseudonyms.pseudonymised(edge.limit(0)).collect() == []
+    assert pseudonyms.pseudonymised(edge, queries.TRIAL_KEY).count() == edge.count()
+    assert pseudonyms.pseudonymised(edge.limit(0), queries.TRIAL_KEY).collect() == []
 
 
 def test_secrets_behind_names_in_any_case(spark):
     bodies = ["9233A8ECF7C5B09FE594", "e3b3ed3cc8548923d6", "Abc/12345", "abc+12345", "abc_12345"]
     lower = [f'{name} = "{body}"' for name, body in zip(("token", "password", "passwd", "secret", "api_key"), bodies, strict=True)]
     rows = [*lower, *(f"{x.split()[0].upper()}{x[x.index(' ') :]}" for x in lower), *(x.title()[: x.index(" ")] + x[x.index(" ") :] for x in lower)]
-    got = [r for r in pseudonyms.pseudonymised(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    got = [r for r in pseudonyms.pseudonymised(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), queries.TRIAL_KEY).orderBy("doc_id").collect()]
     for r, text in zip(got, rows, strict=True):
         head, body = text[: text.index('"') + 1], text.split('"')[1]
         assert r.text == f'{head}{stream(body, "secret")}"' and [p.kind for p in r.pii] == ["secret"]
 
 
+def test_names_beyond_ascii_and_numbers_abroad(spark):
+    """What is found is written out here, apart from the patterns of the module."""
+    texts = {
+        "an anna.müller@firma.de und": ["anna.müller@firma.de"],
+        "Ærø@søby.dk, 我的邮箱是bob@x.cn。": ["Ærø@søby.dk", "bob@x.cn"],
+        "ruf +49 170 1234567 an": ["+49 170 1234567"],
+        "tel +33(1)42685300 or +442079460958.": ["+33(1)42685300", "+442079460958"],
+        "+4041 8949 7460 8795 is a card": ["4041 8949 7460 8795"],
+        "a+2345 b +49 12 and x = +20000": [],
+        "+1 212-555-1234": ["+1 212-555-1234"],
+    }
+    rows = [(i, text) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pseudonyms.pseudonymised(docs, "k").collect()}
+    for i, (text, values) in enumerate(texts.items()):
+        left = text
+        for old, new in zip(values, got[i].pii, strict=True):
+            assert len(old) == len(new.pseudonym) and old != new.pseudonym
+            left = left.replace(old, new.pseudonym)
+        assert got[i].text == left
+    other = {r.doc_id: r.text for r in pseudonyms.pseudonymised(docs, "another").collect()}
+    assert other[2] != got[2].text
+
+
 def test_the_main_path_has_no_python(spark):
     for name in ("op8_pseudonyms", "op9_chat"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

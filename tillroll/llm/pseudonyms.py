@@ -15,19 +15,21 @@ from pyspark.sql import functions as F
 from tillroll.llm.columns import free_name
 
 ROUNDS = 8
-KEY = "tillroll"
 
+#: Latin letters and digits, also beyond ASCII, inside a character class.
+_LATIN = r"A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
 #: What is looked for. Java regular expressions; capturing groups are not used.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}",
+    "email": rf"(?<![{_LATIN}._%+\-])[{_LATIN}._%+\-]{{1,64}}+@[{_LATIN}\-]{{1,63}}(?:\.[{_LATIN}\-]{{1,63}}){{1,8}}",
     "secret": r"(?i:password|passwd|secret|token|api_key) ?[=:] ?[\"']?(?=[A-Za-z+/_\-]{0,127}\d)[A-Za-z0-9+/_\-]{8,128}",
     "date": r"(?<![\d\-])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d\-])",
     "phone": r"(?<![\d.])(?:\+1[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[ .\-]\d{4}(?!\d)",
+    "phone_abroad": r"(?<![\d+])\+(?=[2-9](?:[ .\-/()]{0,2}\d){7,14}(?![ .\-/()]{0,2}\d))\d{1,3}(?:[ .\-/]?\(?\d{1,4}\)?){2,5}(?!\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d\d-\d{4}(?![\d\-])",
     "card": r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
 }
-_NUMBERS = "|".join(KINDS[name] for name in ("date", "phone", "ip", "ssn", "card"))
+_NUMBERS = "|".join(KINDS[name] for name in ("date", "phone", "phone_abroad", "ip", "ssn", "card"))
 #: All kinds; a look at the next character spares most places the full attempt.
 ANY = f"{KINDS['email']}|(?=[pstaPSTA])(?:{KINDS['secret']})|(?=[\\d(+])(?:{_NUMBERS})"
 #: What every match has at least one of.
@@ -102,6 +104,7 @@ def kind_of(found: Column) -> Column:
         "secret": F.lit(True),
         "date": days.isNotNull() & (days >= 0) & (days < _DAYS[0] * _DAYS[1]),
         "phone": F.lit(True),
+        "phone_abroad": F.lit(True),
         "ip": F.forall(octets, lambda o: o <= 255),
         "ssn": ~digits.rlike("^(000|666|9)|^...00|0000$"),
         "card": (F.length(digits) >= 13) & (F.length(digits) <= 19) & (luhn_digit(digits.substr(F.lit(1), F.length(digits) - 1)) == F.substring(digits, -1, 1)),
@@ -119,7 +122,7 @@ def _letters(text: Column, key: str, name: str) -> Column:
     return stream.substr(F.lit(1), F.length(text))
 
 
-def pseudonym(found: Column, kind: Column, key: str = KEY) -> Column:
+def pseudonym(found: Column, kind: Column, key: str) -> Column:
     """The pseudonym of a valid value; anything else is given back as it is."""
     digits = F.regexp_replace(found, r"\D", "")
     octets = F.transform(F.split(found, r"\."), lambda o: o.cast("long"))
@@ -134,6 +137,8 @@ def pseudonym(found: Column, kind: Column, key: str = KEY) -> Column:
     mixed = permute_digits(free, key, "phone")
     phone = F.concat(F.substring(national, 1, 1), F.substring(mixed, 1, 2), F.substring(national, 4, 1), F.substring(mixed, 3, 6))
     whole_phone = F.concat(F.when(F.length(digits) > 10, F.lit("1")).otherwise(F.lit("")), phone)
+    # Numbers of other countries keep two digits, which begin with the country.
+    abroad = F.concat(F.substring(digits, 1, 2), permute_digits(digits.substr(F.lit(3), F.length(digits)), key, "phone_abroad"))
     body = digits.substr(F.lit(1), F.length(digits) - 1)
     card_body = permute_digits(body, key, "card")
     card = F.concat(card_body, luhn_digit(card_body))
@@ -146,6 +151,7 @@ def pseudonym(found: Column, kind: Column, key: str = KEY) -> Column:
         .when(kind == "secret", F.concat(secret_head, _letters(secret_body, key, "secret")))
         .when(kind == "date", F.date_format(F.date_add(F.expr(_FIRST_DAY), day.cast("int")), "yyyy-MM-dd"))
         .when(kind == "phone", refill(found, whole_phone))
+        .when(kind == "phone_abroad", refill(found, abroad))
         .when(kind == "ip", dotted)
         .when(kind == "ssn", refill(found, _ssn(digits, key)))
         .when(kind == "card", refill(found, card))
@@ -166,13 +172,13 @@ def _ssn(digits: Column, key: str) -> Column:
     return F.concat(F.lpad(new_area.cast("string"), 3, "0"), F.lpad(group.cast("string"), 2, "0"), F.lpad((F.pmod(new_rest, F.lit(9999)) + 1).cast("string"), 4, "0"))
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``text`` rewritten and one more column, ``pii``: (kind, pseudonym) of each
     replaced value, in the order of the text.
 
     Valid values are e-mail addresses, secrets behind a name (in any case), dates of 1900 to 2099, North American
-    phone numbers, IPv4 addresses, social security numbers and card numbers with a right check digit.
-    Numbers and dates are permuted within their format; the names before the @ and secrets become
+    phone numbers, those of other countries with + and 8 to 15 digits, IPv4 addresses, social security numbers and card numbers with a right check digit.
+    Whoever has ``key`` can undo the permutations; it has no default. Numbers and dates are permuted within their format; the names before the @ and secrets become
     keyed strings of the same length. All else stays as it is, so does a null text (``pii`` is then
     empty). Rows are handled one by one: ties, repeated rows and other columns do not matter.
     """

@@ -64,7 +64,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymised(_table(spark, sf_dir, "documents"))
+    return pseudonyms.pseudonymised(_table(spark, sf_dir, "documents"), pseudonym_key(spark))
+
+
+#: The session setting with the key of pseudonyms, and the key of trials where it is unset.
+KEY_SETTING = "spark.tillroll.pseudonymKey"
+TRIAL_KEY = "tillroll"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, TRIAL_KEY)
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
