@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.llm import leaks, lines, packing, pseudonyms, simhash, tokens
-from tillroll.llm.queries import digest
+from tillroll.llm.queries import pseudonym_key
 from tillroll.llm.store import stored
 
 
@@ -22,11 +23,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymised(docs).select(docs.columns)
+    return pseudonyms.pseudonymised(docs, pseudonym_key(spark)).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return digest(packing.packed(docs, tokens.tokenizer_path("word_bpe_49k.json"), end=1))
+    """The pieces with their ids, which are the training data, and a checksum of them."""
+    pieces = packing.packed(docs, tokens.tokenizer_path("word_bpe_49k.json"), end=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
