@@ -7,6 +7,7 @@ different values stay different, equal values stay linked across documents, and
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -30,10 +31,17 @@ KINDS = {
     "card": r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
 }
 _NUMBERS = "|".join(KINDS[name] for name in ("date", "phone", "phone_abroad", "ip", "ssn", "card"))
-#: All kinds; a look at the next character spares most places the full attempt.
-ANY = f"{KINDS['email']}|(?=[pstaPSTA])(?:{KINDS['secret']})|(?=[\\d(+])(?:{_NUMBERS})"
+#: Without an @ in the text; a look at the next character spares most places the full attempt.
+_REST = f"(?=[pstaPSTA])(?:{KINDS['secret']})|(?=[\\d(+])(?:{_NUMBERS})"
+#: All kinds.
+ANY = f"{KINDS['email']}|{_REST}"
 #: What every match has at least one of.
 SOME = "[0-9@]"
+#: Letters and digits that may stand for one another: the classes of _LATIN.
+ALPHABETS = (
+    "".join(chr(c) for first, last in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F)) for c in range(first, last + 1)),
+    *(string.digits, string.ascii_uppercase, string.ascii_lowercase),
+)
 _FIRST_DAY = "DATE '1900-01-01'"
 #: Days from 1900-01-01 to 2099-12-31, as 17 * 4297.
 _DAYS = (17, 4297)
@@ -115,11 +123,37 @@ def kind_of(found: Column) -> Column:
     return out
 
 
-def _letters(text: Column, key: str, name: str) -> Column:
-    """A keyed string of hexadecimal digits of the same length."""
-    parts = F.sequence(F.lit(0), F.floor(F.length(text) / 64).cast("int"))
-    stream = F.array_join(F.transform(parts, lambda i: F.sha2(F.concat_ws("/", F.lit(f"{key}/{name}"), i.cast("string"), text), 256)), "")
-    return stream.substr(F.lit(1), F.length(text))
+def permute_letters(text: Column, key: str, name: str, back: bool = False) -> Column:
+    """Permute a string of at most 128 characters among those with the same alphabet at each place.
+
+    A Feistel network over its two halves: in each round the places of one half move on in their
+    alphabets by a keyed hash of the other half. Characters of no alphabet stay.
+    """
+    half = F.floor(F.length(text) / 2).cast("int")
+    parts = F.struct(text.substr(F.lit(1), half).alias("x"), text.substr(half + 1, F.length(text)).alias("y"))
+    start = F.array(parts)
+    for rnd in reversed(range(ROUNDS)) if back else range(ROUNDS):
+        start = F.transform(start, _letter_round(key, name, rnd, -1 if back else 1))
+    return F.element_at(F.transform(start, lambda s: F.concat(s["x"], s["y"])), 1)
+
+
+def _letter_round(key: str, name: str, rnd: int, sign: int) -> Callable[[Column], Column]:
+    def moved(half: Column, other: Column) -> Column:
+        stream = F.sha2(F.concat_ws("/", F.lit(f"{key}/{name}/{rnd}"), F.length(half).cast("string"), other), 512)
+        pairs = F.zip_with(F.split(half, ""), F.split(F.regexp_replace(stream, "(..)", "$1 "), " "), lambda c, h: F.struct(c.alias("c"), h.alias("h")))
+        return F.array_join(F.transform(F.slice(pairs, 1, F.length(half)), lambda p: _moved_letter(p["c"], sign * F.conv(p["h"], 16, 10).cast("int"))), "")
+
+    if rnd % 2:
+        return lambda s: F.struct(s["x"].alias("x"), moved(s["y"], s["x"]).alias("y"))
+    return lambda s: F.struct(moved(s["x"], s["y"]).alias("x"), s["y"].alias("y"))
+
+
+def _moved_letter(letter: Column, by: Column) -> Column:
+    out = letter
+    for alphabet in ALPHABETS:
+        at = F.instr(F.lit(alphabet), letter)
+        out = F.when(at > 0, F.substring(F.lit(alphabet), F.pmod(at - 1 + by, F.lit(len(alphabet))) + 1, F.lit(1))).otherwise(out)
+    return out
 
 
 def pseudonym(found: Column, kind: Column, key: str) -> Column:
@@ -143,12 +177,12 @@ def pseudonym(found: Column, kind: Column, key: str) -> Column:
     card_body = permute_digits(body, key, "card")
     card = F.concat(card_body, luhn_digit(card_body))
     at = F.instr(found, "@")
-    email = F.concat(_letters(found.substr(F.lit(1), at - 1), key, "email"), found.substr(at, F.length(found)))
+    email = F.concat(permute_letters(found.substr(F.lit(1), at - 1), key, "email"), found.substr(at, F.length(found)))
     secret_head = F.regexp_extract(found, r"^(?i:password|passwd|secret|token|api_key) ?[=:] ?[\"']?", 0)
     secret_body = found.substr(F.length(secret_head) + 1, F.length(found))
     return (
         F.when(kind == "email", email)
-        .when(kind == "secret", F.concat(secret_head, _letters(secret_body, key, "secret")))
+        .when(kind == "secret", F.concat(secret_head, permute_letters(secret_body, key, "secret")))
         .when(kind == "date", F.date_format(F.date_add(F.expr(_FIRST_DAY), day.cast("int")), "yyyy-MM-dd"))
         .when(kind == "phone", refill(found, whole_phone))
         .when(kind == "phone_abroad", refill(found, abroad))
@@ -178,17 +212,23 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
 
     Valid values are e-mail addresses, secrets behind a name (in any case), dates of 1900 to 2099, North American
     phone numbers, those of other countries with + and 8 to 15 digits, IPv4 addresses, social security numbers and card numbers with a right check digit.
-    Whoever has ``key`` can undo the permutations; it has no default. Numbers and dates are permuted within their format; the names before the @ and secrets become
-    keyed strings of the same length. All else stays as it is, so does a null text (``pii`` is then
+    Whoever has ``key`` can undo the permutations; it has no default. Numbers and dates are permuted within their format, the names before the @ and secrets
+    letter by letter within their alphabets, so different values get different pseudonyms (a value may be its own). All else stays as it is, so does a null text (``pii`` is then
     empty). Rows are handled one by one: ties, repeated rows and other columns do not matter.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = F.when(text.rlike(SOME), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    with_at = text.contains("@")
+    found = (
+        F.when(with_at, F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
+        .when(text.rlike(SOME), F.regexp_extract_all(text, F.lit(f"({_REST})"), F.lit(1)))
+        .otherwise(F.array().cast("array<string>"))
+    )
     # Only the few texts with a match are cut up; the array of pieces is one longer than that of matches.
     at_found, at_new, at_gaps = (free_name(docs, x) for x in ("_found", "_new", "_gaps"))
     matched = docs.withColumn(at_found, found)
-    gaps = F.split(text, ANY, -1)
-    swapped = F.transform(at_found, lambda m: F.struct(m.alias("old"), kind_of(m).alias("kind"), pseudonym(m, kind_of(m), key).alias("new")))
+    gaps = F.when(with_at, F.split(text, ANY, -1)).otherwise(F.split(text, _REST, -1))
+    kinds = F.transform(at_found, lambda m: F.struct(m.alias("old"), kind_of(m).alias("kind")))
+    swapped = F.transform(kinds, lambda m: F.struct(m["kind"].alias("kind"), pseudonym(m["old"], m["kind"], key).alias("new")))
     cut = matched.withColumn(at_new, F.when(F.size(at_found) > 0, swapped)).withColumn(at_gaps, F.when(F.size(at_found) > 0, gaps))
     pieces = F.concat(
         F.array(F.element_at(at_gaps, 1)),
