@@ -21,7 +21,7 @@ from tillroll.operators.fingerprints import row_differences
 from tillroll.operators.intervals import interval_join
 from tillroll.operators.versions import latest_version
 from tillroll.plans import activity, checks, daily_sales, household_types, increment, refresh, shop_dates
-from tillroll.sources import sinks, star
+from tillroll.sources import footers, sinks, star
 
 AS_OF = datetime(2001, 8, 1)
 
@@ -524,6 +524,20 @@ def dq_counted_while_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, metric string, value bigint")
 
 
+@query
+def dq_deviating_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by year, some years stored with other columns; a merged read of the table shows none of it."""
+    orders = _raw(spark, sf_dir).orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double"), F.year("o_orderdate").alias("year"), "o_orderstatus")
+    usual = ["o_orderkey", "o_custkey", "o_totalprice"]
+    odd = {1993: [*usual[:2], "string(o_totalprice) AS o_totalprice"], 1994: usual[::-1], 1995: usual[::2], 1996: [*usual, "o_orderstatus"]}
+    folder = sinks.scratch_folder(spark)
+    sinks.write_table(orders.where(~F.col("year").isin(*odd)).select(*usual, "year"), folder, "year")
+    for year, columns in odd.items():
+        sinks.write_table(orders.where(F.col("year") == year).selectExpr(*columns), f"{folder}/year={year}")
+    found = footers.deviating_layouts(footers.stored_layouts(spark, folder), usual)
+    return found.select("partition", "missing", "extra", "misplaced", "retyped").distinct()
+
+
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh and store all seven tables, then run every check on what was stored."""

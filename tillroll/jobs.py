@@ -48,7 +48,7 @@ def check(store: Store, names: Sequence[str], report_base: str | None = None, co
     """Run the checks of the named stored tables, log them and fail on a failed gating check. ``counts`` are
     those of the refresh that has just stored the tables."""
     tables = {name: store.table(name) for name in names}
-    report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of, store.settings, counts)
+    report = checks.quality_report(tables, store.table, store.gold, store.silver, store.as_of, store.settings, counts, store.deviating_files)
     with sinks.scratch(store.spark) as folder:
         # A handful of rows, stored once so that logging and judging them runs the checks only once.
         results = sinks.stored(report, folder)

@@ -139,15 +139,20 @@ def table_checks(
     as_of: datetime,
     settings: Settings = Settings(),
     counts: Mapping[str, int] | None = None,
+    deviating: DataFrame | None = None,
 ) -> list[DataFrame]:
     """Verdicts of the checks that belong to one table.
 
     ``stored`` opens other stored tables that a check compares with. ``counts`` are the violations that
     were counted while the table was written; without them the table is read for the row checks.
+    ``deviating`` are partitions whose files hold other columns than the table shows.
     """
     duplicate_check = SHOP_DATES_DUPLICATE_CHECK if name.endswith("shop_dates") else DUPLICATE_CHECK
+    columns = quality.column_check(COLUMN_CHECK, df, settings.columns[name])
+    if deviating is not None and df.columns == list(settings.columns[name]):
+        columns = quality.passed_if_empty(COLUMN_CHECK, deviating)
     verdicts = [
-        quality.column_check(COLUMN_CHECK, df, settings.columns[name]),
+        columns,
         quality.passed_if_empty(duplicate_check, quality.duplicate_keys(df, TABLE_KEYS[name])),
     ]
     violations = row_violations(name, settings)
@@ -189,12 +194,14 @@ def quality_report(
     as_of: datetime,
     settings: Settings = Settings(),
     counts: Mapping[str, Mapping[str, int]] | None = None,
+    deviating: Callable[[str], DataFrame | None] = lambda name: None,
 ) -> DataFrame:
     """All checks of the given tables as one DataFrame, one row per check. ``counts`` holds, for tables
-    that were just written, what was counted on the way."""
+    that were just written, what was counted on the way; ``deviating`` finds the partitions of the others
+    whose files hold other columns."""
     counted = counts or {}
     verdicts = {
-        REPORT_NAMES[name]: table_checks(name, df, stored, gold, silver, as_of, settings, counted.get(name))
+        REPORT_NAMES[name]: table_checks(name, df, stored, gold, silver, as_of, settings, counted.get(name), None if name in counted else deviating(name))
         for name, df in tables.items()
     }
     return quality.report(verdicts, as_of)

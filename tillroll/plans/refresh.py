@@ -14,7 +14,8 @@ from tillroll.domain import TABLE_PARTITIONS, Settings
 from tillroll.functions.calendar import WeeklyBounds
 from tillroll.operators import quality
 from tillroll.plans import activity, checks, daily_sales, household_types, shop_dates
-from tillroll.sources.published import publish_version
+from tillroll.sources.footers import deviating_layouts, stored_layouts
+from tillroll.sources.published import catalog_folder, publish_version
 from tillroll.sources.sinks import full_refresh, scratch, stored
 from tillroll.sources.tables import GoldTables, SilverTables, read_table
 
@@ -56,6 +57,15 @@ class Store:
         expected = [column for column in self.settings.columns[name] if column in df.columns]
         return df.select(*expected, *[column for column in df.columns if column not in expected])
 
+    def deviating_files(self, name: str) -> DataFrame | None:
+        """Partitions of a stored table whose files hold other columns than expected; None where the
+        files have no footers to tell."""
+        if self.fmt != "parquet":
+            return None
+        folder = catalog_folder(self.spark, f"{self.databases[name]}.{name}") if name in self.databases else self.path(name)
+        expected = [column for column in self.settings.columns[name] if column != self.layout.get(name)]
+        return deviating_layouts(stored_layouts(self.spark, folder), expected)
+
     def refresh(self, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
         """Rebuild and store the named tables (all by default), in the order they depend on each other."""
         return {name: self.table(name) for name in self.refresh_counting(names)}

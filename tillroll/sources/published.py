@@ -66,6 +66,11 @@ def versions(spark: SparkSession, base: str) -> list[str]:
     return sorted(name for name in names if name.startswith("v-"))
 
 
+def catalog_folder(spark: SparkSession, name: str) -> str:
+    """The folder that a catalog table points to now."""
+    return spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+
+
 def _same_layout(spark: SparkSession, name: str, found: DataFrame, partition_by: str | None) -> bool:
     columns = spark.catalog.listColumns(name)
     partitions = [column.name for column in columns if column.isPartition]
