@@ -782,8 +782,8 @@ ORACLES["distinct_transactions_by_household"] = _sql(
 
 ORACLES["dq_deviating_files"] = """
     SELECT partition, missing, extra, misplaced, retyped
-    FROM (VALUES (1993, 'year=1993', '', '', false, 'o_totalprice'), (1994, 'year=1994', '', '', true, ''),
-                 (1995, 'year=1995', 'o_custkey', '', false, ''), (1996, 'year=1996', '', 'o_orderstatus', false, ''))
+    FROM (VALUES (1996, 'year=1996', '', '', false, 'o_totalprice'), (1997, 'year=1997', '', '', true, ''),
+                 (1998, 'year=1998', 'o_custkey', '', false, ''), (1999, 'year=1999', '', 'o_orderstatus', false, ''))
          AS odd(year, partition, missing, extra, misplaced, retyped)
     WHERE year IN (SELECT EXTRACT(YEAR FROM CAST(o_orderdate AS DATE)) FROM orders)
 """

@@ -529,7 +529,7 @@ def dq_deviating_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by year, some years stored with other columns; a merged read of the table shows none of it."""
     orders = _raw(spark, sf_dir).orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double"), F.year("o_orderdate").alias("year"), "o_orderstatus")
     usual = ["o_orderkey", "o_custkey", "o_totalprice"]
-    odd = {1993: [*usual[:2], "string(o_totalprice) AS o_totalprice"], 1994: usual[::-1], 1995: usual[::2], 1996: [*usual, "o_orderstatus"]}
+    odd = {1996: [*usual[:2], "string(o_totalprice) AS o_totalprice"], 1997: usual[::-1], 1998: usual[::2], 1999: [*usual, "o_orderstatus"]}
     folder = sinks.scratch_folder(spark)
     sinks.write_table(orders.where(~F.col("year").isin(*odd)).select(*usual, "year"), folder, "year")
     for year, columns in odd.items():

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillroll.domain import TABLE_PARTITIONS, Settings
 from tillroll.functions.calendar import WeeklyBounds
 from tillroll.operators import quality
+from tillroll.operators.key_filters import key_filters
 from tillroll.plans import activity, checks, daily_sales, household_types, shop_dates
 from tillroll.sources.footers import deviating_layouts, stored_layouts
 from tillroll.sources.published import catalog_folder, publish_version
@@ -78,7 +79,7 @@ class Store:
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         counts = {}
-        with scratch(self.spark) as folder:
+        with scratch(self.spark) as folder, key_filters(self.spark):
             run = Run(self, folder)
             for name, build in BUILDERS.items():
                 if name in wanted:
