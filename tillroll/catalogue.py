@@ -446,11 +446,12 @@ def sink_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_sales_of_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily card table built from former sales, then brought up to date for the days that changed."""
-    gold, silver = star.gold(spark, sf_dir), star.silver(spark, sf_dir)
+    base = sinks.scratch_folder(spark)
+    raw = star.RawTables(spark, sf_dir, base)
+    gold, silver = star.gold_of(raw), star.silver_of(raw)
     day = F.dayofyear("fiscal_date")
     corrected = (day % 31 == 3).cast("bigint")
     former = gold.retail_sale_fact.where(day % 29 != 5).withColumn("unit_count", F.col("unit_count") + corrected)
-    base = sinks.scratch_folder(spark)
     increment.refresh_daily(refresh.Store(replace(gold, retail_sale_fact=former), silver, AS_OF, base))
     store = refresh.Store(gold, silver, AS_OF + timedelta(hours=6), base)
     increment.refresh_daily(store)

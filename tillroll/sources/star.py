@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.domain import ECOMM_SALE, IN_STORE_SALE
+from tillroll.sources.sinks import stored
 from tillroll.sources.tables import GoldTables, SilverTables, read_table
 
 CURRENT = date(9999, 12, 31)
@@ -23,16 +25,31 @@ SCHEMAS = {
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
 }
+# What sales are made of.
+_LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "o_custkey", "o_orderdate",
+]
 _BANNERS = ["SOF", "UF", "PSF", "BLF", "NM", "MFF", "QF", "OTH", "SOF"]
 _TYPES = ["ST", "CS", "LS", "WH", "ST"]
 
 
 class RawTables:
-    """The Parquet tables of one scale-factor folder, opened on demand."""
+    """The Parquet tables of one scale-factor folder, opened on demand.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``folder`` is where the joined order lines are stored when they are first asked for, so that the join
+    is made once however often sales are read; without it each reader makes the join.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.folder = folder
+
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        lines = self.lineitem.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines if self.folder is None else stored(lines.select(*_LINE_COLUMNS), f"{self.folder}/order_lines")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
@@ -53,10 +70,6 @@ def _ecomm_flag() -> Column:
     )
 
 
-def _order_lines(raw: RawTables) -> DataFrame:
-    return raw.lineitem.join(raw.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-
-
 def _location_columns() -> list[Column]:
     return [
         _pick(F.col("s_suppkey") % 9, _BANNERS).alias("banner"),
@@ -67,7 +80,7 @@ def _location_columns() -> list[Column]:
 def retail_sale_fact(raw: RawTables) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     tax = F.col("l_tax").cast("decimal(4,2)")
-    return _order_lines(raw).select(
+    return raw.order_lines.select(
         F.col("o_orderdate").cast("date").alias("fiscal_date"),
         F.col("l_orderkey").alias("transaction_number"),
         F.col("o_custkey").alias("customer_hk"),
@@ -129,13 +142,19 @@ def customer_dim(raw: RawTables) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str) -> GoldTables:
-    raw = RawTables(spark, sf_dir)
+    return gold_of(RawTables(spark, sf_dir))
+
+
+def gold_of(raw: RawTables) -> GoldTables:
     return GoldTables(retail_sale_fact(raw), location_dim(raw), item_dim(raw), register_dim(raw), customer_dim(raw))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> SilverTables:
-    raw = RawTables(spark, sf_dir)
-    sales = _order_lines(raw).select(
+    return silver_of(RawTables(spark, sf_dir))
+
+
+def silver_of(raw: RawTables) -> SilverTables:
+    sales = raw.order_lines.select(
         F.col("o_orderdate").alias("fiscal_date"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_suppkey").alias("store_number"),
