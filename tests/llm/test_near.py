@@ -349,6 +349,18 @@ def test_planted_passages_are_found_and_clean_documents_are_not(spark):
             assert min(a for a, _ in spans) >= at - 3 and max(b for _, b in spans) <= at + n + 3
 
 
+@pytest.mark.parametrize("parts", [1, 30])
+def test_holders_of_parts_of_a_passage_hide_no_holder_of_the_whole(spark, parts):
+    """Documents 10 and 20 share 60 words; before each of them, others hold the first or the second half."""
+    rng = random.Random(3)
+    passage = [f"shared{i}" for i in range(60)]
+    for firsts, seconds in (([1, 15], [2, 16]), ([*range(1, 6), *range(11, 16)], [*range(6, 10), *range(16, 20)])):
+        held = {10: passage, 20: passage, **dict.fromkeys(firsts, passage[:30]), **dict.fromkeys(seconds, passage[30:])}
+        rows = [(d, " ".join([f"own{rng.randrange(10**9)}" for _ in range(50)] + held.get(d, []) + [f"own{rng.randrange(10**9)}" for _ in range(50)])) for d in range(60)]
+        found = chains.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "doc_id")).collect()
+        assert [(r.doc_id, r.other_id, r.first_word, r.last_word) for r in found] == [(20, 10, 50, 109)]
+
+
 def test_chain_prefers_order_and_leaves_strays_out():
     x = np.array([0, 10, 20, 12, 30])
     y = np.array([100, 110, 121, 400, 131])
