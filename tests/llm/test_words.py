@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -243,3 +244,21 @@ def test_the_wavelet_tree_counts_and_selects():
     assert tree.below(lo, hi, limit).tolist() == [int((values[a:b] < x).sum()) for a, b, x in zip(lo, hi, limit)]
     n = rng.integers(0, hi - lo)
     assert tree.nth(lo, hi, n).tolist() == [int(np.sort(values[a:b])[k]) for a, b, k in zip(lo, hi, n)]
+
+
+@pytest.mark.parametrize("half", [2, 4, 5])
+def test_phrases_are_counted_in_little_memory(half):
+    rng = np.random.default_rng(half)
+    n, top = 1 << 18, 1 << min(8 * half, 11)
+    lists = [(rng.integers(0, top, n, dtype=np.uint64), rng.integers(0, 5, n, dtype=np.uint64)) for _ in range(4)]
+    expected = Counter(zip(*(np.concatenate(x).tolist() for x in zip(*lists, strict=True)), strict=True))
+    tracemalloc.start()
+    found = collocations.QuotientFilter.counted(half, lists)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(zip(found.left.tolist(), found.right.tolist(), strict=True)) == sorted(expected)
+    assert found.counts.tolist() == [expected[k] for k in sorted(expected)]
+    # Sorting an order of the phrases takes 40 bytes for each of them and more.
+    assert half > 4 or peak < 16 * 4 * n
+    empty = collocations.QuotientFilter.counted(half, [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))])
+    assert not len(empty.left) and not len(empty.counts)

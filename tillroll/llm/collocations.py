@@ -56,7 +56,7 @@ def _coded(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int, list]]:
     n = len(words.starts)
     if not n:
         return
-    ends = np.concatenate(([0], np.cumsum(ENDS[data])))
+    ends = np.concatenate((np.zeros(1, np.int32), np.cumsum(ENDS[data], dtype=np.int32)))
     last = np.ones(n, bool)
     last[:-1] = (ends[words.ends[:-1]] != ends[words.starts[1:]]) | (words.doc[1:] != words.doc[:-1])
     lengths = np.concatenate(([0], np.cumsum(words.ends - words.starts))).astype(np.int64)
@@ -172,6 +172,27 @@ class QuotientFilter:
         at = np.flatnonzero(new)
         return cls(half, left[at], right[at], np.add.reduceat(counts, at) if len(at) else counts)
 
+    @classmethod
+    def counted(cls, half: int, waiting: list[tuple[np.ndarray, np.ndarray]]) -> QuotientFilter:
+        """From lists of phrases, which are used up. Keys of eight bytes are sorted in place, so that no order and
+        no copies in that order are held."""
+        if 2 * half > 8:
+            left, right = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            waiting.clear()
+            return cls.merged(half, left, right, np.ones(len(left), np.int64))
+        shift, keys, at = np.uint64(8 * half), np.empty(sum(len(left) for left, _ in waiting), np.uint64), 0
+        while waiting:
+            left, right = waiting.pop()
+            np.left_shift(left, shift, out=keys[at : at + len(left)])
+            keys[at : at + len(left)] |= right
+            at += len(left)
+        keys.sort()
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(new)
+        counts, keys = np.diff(first, append=len(keys)), keys[first]
+        return cls(half, keys >> shift, keys & ((np.uint64(1) << shift) - np.uint64(1)), counts)
+
     def packed(self, first: int, last: int) -> bytes:
         """Entries ``first`` to ``last``: quotients as run lengths, remainders, counts (a byte, or 255
         and eight bytes at the end)."""
@@ -232,9 +253,7 @@ def _filters(chunks: DataFrame, permutation: Permutation, ranges: int) -> DataFr
     scale = np.uint64(min(8 * half, 32))
 
     def handed(waiting: list) -> Iterator[pa.RecordBatch]:
-        left, right = (np.concatenate(x) for x in zip(*waiting, strict=True))
-        waiting.clear()
-        found = QuotientFilter.merged(half, left, right, np.ones(len(left), np.int64))
+        found = QuotientFilter.counted(half, waiting)
         if not len(found.left):
             return
         part = ((found.left >> shift) * np.uint64(ranges)) >> scale
@@ -269,7 +288,10 @@ def _merged(filters: DataFrame, permutation: Permutation, least: int) -> DataFra
 
     def run(table: pa.Table) -> pa.Table:
         parts = [QuotientFilter.entries(raw.as_buffer()) for raw in table.column("filter")]
-        found = QuotientFilter.merged(permutation.half, *(np.concatenate(x) for x in zip(*parts, strict=True)))
+        entries = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        parts.clear()
+        found = QuotientFilter.merged(permutation.half, *entries)
+        del entries
         often = found.counts >= least
         words = permutation.words(found.left[often], found.right[often])
         columns = [pa.array(w.astype(np.int64)) for w in words]
