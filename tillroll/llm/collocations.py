@@ -319,15 +319,16 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFrame,
     highest = often.agg(F.max("id")).first()[0] or 0
     permutation = Permutation(max(1, highest.bit_length()))
     ranges = max(1, -(-size // RANGE_WORDS), shuffle_partitions(spark))
+    # More tasks than ranges, so that a task's rows, which Arrow hands over together, stay few.
+    tasks = 2 * ranges
     numbers = (
         entries.select("chunk", "code", "lang", "word")
         .join(often.select("lang", "word", "id"), ["lang", "word"])
-        .repartition(ranges, "chunk")
+        .repartition(tasks, "chunk")
         .groupBy("chunk")
         .agg(F.collect_list(F.struct("code", "id")).alias("numbers"))
     )
-    # As many tasks as ranges, so that a task's rows, which Arrow hands over together, stay few.
-    coded = chunks.select("chunk", "own", "codes").repartition(ranges, "chunk").join(numbers.hint("merge"), "chunk")
+    coded = chunks.select("chunk", "own", "codes").repartition(tasks, "chunk").join(numbers.hint("merge"), "chunk")
     filters = _filters(coded, permutation, ranges)
     return totals, often, stored(_merged(filters, permutation, least))
 
