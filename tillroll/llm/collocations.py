@@ -31,6 +31,8 @@ TOP = 2000
 BLOCK_BYTES = 8 << 20
 #: Words of one stored row of a block.
 CHUNK_WORDS = 1 << 20
+#: Words whose phrases are permuted at once.
+STEP_WORDS = 1 << 18
 #: Phrases that a task counts before it hands a filter on.
 FILTER_PHRASES = 1 << 21
 #: Words of a task, and for each range of filters; a range's filters have twice as many entries at most.
@@ -56,20 +58,26 @@ def _coded(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int, list]]:
     n = len(words.starts)
     if not n:
         return
-    ends = np.concatenate((np.zeros(1, np.int32), np.cumsum(ENDS[data], dtype=np.int32)))
     last = np.ones(n, bool)
-    last[:-1] = (ends[words.ends[:-1]] != ends[words.starts[1:]]) | (words.doc[1:] != words.doc[:-1])
-    lengths = np.concatenate(([0], np.cumsum(words.ends - words.starts))).astype(np.int64)
-    raw = np.ascontiguousarray(words.data[words.inside])
+    last[:-1] = words.doc[1:] != words.doc[:-1]
+    # Ends of pieces are outside words: each ends the word before it.
+    last[np.searchsorted(words.starts, np.flatnonzero(ENDS[data])) - 1] = True
+    lengths = np.zeros(n + 1, np.int64)
+    np.cumsum(words.ends - words.starts, out=lengths[1:])
+    raw, doc = words.data[words.inside], words.doc
+    del words, data
     texts = pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(lengths), pa.py_buffer(raw)]).dictionary_encode()
+    del lengths, raw
     langs = batch.column("lang").dictionary_encode()
     width = len(langs.dictionary)
-    both = texts.indices.to_numpy().astype(np.int64) * width + langs.indices.to_numpy()[words.doc]
+    both = texts.indices.to_numpy().astype(np.int64) * width + langs.indices.to_numpy()[doc]
+    texts = texts.dictionary
+    del doc
     for first in range(0, n, CHUNK_WORDS):
         own = min(CHUNK_WORDS, n - first)
         codes, entries = pd.factorize(both[first : first + own + 2])
         places = np.bincount(codes[:own], minlength=len(entries))
-        columns = [langs.dictionary.take(pa.array(entries % width)), texts.dictionary.take(pa.array(entries // width)).cast(pa.string()), pa.array(places)]
+        columns = [langs.dictionary.take(pa.array(entries % width)), texts.take(pa.array(entries // width)).cast(pa.string()), pa.array(places)]
         dictionary = pa.StructArray.from_arrays(columns, ["lang", "word", "places"])
         yield codes.astype(np.uint32) << np.uint32(1) | last[first : first + own + 2], own, dictionary
 
@@ -87,7 +95,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
                 number += 1
 
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
-    return rows.mapInArrow(run, "chunk long, own long, codes binary, entries array<struct<lang: string, word: string, places: long>>")
+    return rows.mapInArrow(H.trimmed(run), "chunk long, own long, codes binary, entries array<struct<lang: string, word: string, places: long>>")
 
 
 def _numbered(words: DataFrame) -> DataFrame:
@@ -101,7 +109,7 @@ def _numbered(words: DataFrame) -> DataFrame:
             at += batch.num_rows * tasks
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "id"])
 
-    return words.repartition(tasks, "lang", "word").mapInArrow(run, "lang string, word string, f long, id long")
+    return words.repartition(tasks, "lang", "word").mapInArrow(H.trimmed(run), "lang string, word string, f long, id long")
 
 
 # -- filters --------------------------------------------------------------------------------------
@@ -163,15 +171,28 @@ class QuotientFilter:
     def merged(cls, half: int, left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> QuotientFilter:
         """From entries in any order, equal ones added up. Sorted stretches are merged as they are."""
         if 2 * half <= 8:
-            order = np.argsort(left << np.uint64(8 * half) | right, kind="stable")
-        else:
-            order = np.lexsort((right, left))
+            shift = np.uint64(8 * half)
+            return cls.summed(half, left << shift | right, counts)
+        order = np.lexsort((right, left))
         left, right, counts = left[order], right[order], counts[order]
         new = np.ones(len(left), bool)
         new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
         at = np.flatnonzero(new)
         return cls(half, left[at], right[at], np.add.reduceat(counts, at) if len(at) else counts)
 
+    @classmethod
+    def summed(cls, half: int, keys: np.ndarray, counts: np.ndarray) -> QuotientFilter:
+        """From keys of eight bytes in any order, equal ones added up."""
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        del order
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        at = np.flatnonzero(new)
+        keys, counts = keys[at], np.add.reduceat(counts, at) if len(at) else counts
+        shift = np.uint64(8 * half)
+        return cls(half, keys >> shift, keys & ((np.uint64(1) << shift) - np.uint64(1)), counts)
+
     @classmethod
     def counted(cls, half: int, waiting: list[tuple[np.ndarray, np.ndarray]]) -> QuotientFilter:
         """From lists of phrases, which are used up. Keys of eight bytes are sorted in place, so that no order and
@@ -210,6 +231,19 @@ class QuotientFilter:
         head = self._HEAD.pack(self.half, size, len(left), len(runs)) + struct.pack("<I", base)
         return b"".join((head, np.packbits(unary).tobytes(), keys[:, size:].tobytes(), short.tobytes(), counts[short == 255].astype("<i8").tobytes()))
 
+    @classmethod
+    def of_all(cls, half: int, files: list) -> QuotientFilter:
+        """The filters in ``files`` merged. Keys of eight bytes are held as such, not in halves."""
+        if 2 * half > 8:
+            return cls.merged(half, *(np.concatenate(x) for x in zip(*map(cls.entries, files), strict=True)))
+        shift, parts = np.uint64(8 * half), []
+        for raw in files:
+            left, right, counts = cls.entries(raw)
+            parts.append((left << shift | right, counts))
+        entries = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        parts.clear()
+        return cls.summed(half, *entries)
+
     @classmethod
     def entries(cls, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """left, right and counts from ``packed``."""
@@ -272,26 +306,26 @@ def _filters(chunks: DataFrame, permutation: Permutation, ranges: int) -> DataFr
                 ids = np.zeros(int(codes.max() >> 1) + 1 if len(codes) else 1, np.uint64)
                 if numbers is not None and len(numbers):
                     ids[numbers.field("code").to_numpy()] = numbers.field("id").to_numpy().astype(np.uint64)
-                waiting.append(permutation.permuted(*_phrases(codes, batch.column("own")[row].as_py(), ids)))
-                size += len(waiting[-1][0])
-                if size >= FILTER_PHRASES:
-                    yield from handed(waiting)
-                    size = 0
+                own = batch.column("own")[row].as_py()
+                for at in range(0, own, STEP_WORDS):
+                    n = min(STEP_WORDS, own - at)
+                    waiting.append(permutation.permuted(*_phrases(codes[at : at + n + 2], n, ids)))
+                    size += len(waiting[-1][0])
+                    if size >= FILTER_PHRASES:
+                        yield from handed(waiting)
+                        waiting.clear()
+                        size = 0
         if waiting:
             yield from handed(waiting)
 
-    return chunks.mapInArrow(run, "range long, filter binary")
+    return chunks.mapInArrow(H.trimmed(run), "range long, filter binary")
 
 
 def _merged(filters: DataFrame, permutation: Permutation, least: int) -> DataFrame:
     """w1 (0: a phrase of two words), w2, w3, f of all phrases with ``least`` places."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [QuotientFilter.entries(raw.as_buffer()) for raw in table.column("filter")]
-        entries = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        parts.clear()
-        found = QuotientFilter.merged(permutation.half, *entries)
-        del entries
+        found = QuotientFilter.of_all(permutation.half, [raw.as_buffer() for raw in table.column("filter")])
         often = found.counts >= least
         words = permutation.words(found.left[often], found.right[often])
         columns = [pa.array(w.astype(np.int64)) for w in words]
