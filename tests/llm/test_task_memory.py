@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tillroll.llm import collocations
+from tillroll.llm import collocations, tokens
 
 TEXT = "some words, and others; in pieces. " * 30
 
@@ -47,3 +47,14 @@ def test_filters_of_keys_are_merged_as_halves_are():
         for a, b, n in zip(left.tolist(), right.tolist(), counts.tolist(), strict=True):
             wanted[a, b] = wanted.get((a, b), 0) + n
         assert list(zip(found.left.tolist(), found.right.tolist(), found.counts.tolist(), strict=True)) == [(*k, wanted[k]) for k in sorted(wanted)]
+
+
+def test_tokens_take_less_than_six_times_their_block():
+    texts = pa.array([TEXT] * 4000)
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = tokens.encoder(tokens.tokenizer_path(name))
+        ids, counts = encoder.block(texts)
+        assert _peak(lambda e=encoder: tokens.with_end(*e.block(texts), 0)) < 6 * len(TEXT) * len(texts)
+        out, total = tokens.with_end(ids, counts, 0)
+        assert (total == counts + 1).all() and len(set(counts.tolist())) == 1
+        assert (out.reshape(4000, -1)[:, :-1].ravel() == ids).all() and not out.reshape(4000, -1)[:, -1].any()

@@ -248,7 +248,7 @@ def _candidates(docs: DataFrame, index: Index, similarity: float) -> DataFrame:
                     ["doc_id", "item_id", "diagonal", "first", "words", "item"],
                 )
 
-    return docs.mapInArrow(run, CANDIDATE)
+    return docs.mapInArrow(H.trimmed(run), CANDIDATE)
 
 
 def _verified(candidates: DataFrame, similarity: float) -> DataFrame:
@@ -267,7 +267,7 @@ def _verified(candidates: DataFrame, similarity: float) -> DataFrame:
                 [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")]
             )
 
-    return candidates.mapInArrow(run, FOUND)
+    return candidates.mapInArrow(H.trimmed(run), FOUND)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -109,7 +109,7 @@ def measures(docs: DataFrame, keys: str) -> DataFrame:
 
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     own = (F.col(part.split()[0]).cast(part.split()[1]) for part in keys.split(", "))
-    return docs.select(*own, _text_hash("text").alias("text_hash"), text).mapInArrow(run, f"{keys}, text_hash long, {MEASURES}")
+    return docs.select(*own, _text_hash("text").alias("text_hash"), text).mapInArrow(H.trimmed(run), f"{keys}, text_hash long, {MEASURES}")
 
 
 def _text_hash(text: str) -> Column:
@@ -209,7 +209,7 @@ def _rewritten(docs: DataFrame, per_text: DataFrame) -> tuple[DataFrame, dict[st
             columns["text"] = texts
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return joined.mapInArrow(run, schema).withColumnsRenamed({"text": text}), names
+    return joined.mapInArrow(H.trimmed(run), schema).withColumnsRenamed({"text": text}), names
 
 
 def quality_report(docs: DataFrame, line_limit: int = LINE_LIMIT, least_left: float = LEAST_LEFT) -> DataFrame:

@@ -139,7 +139,7 @@ def encoded(docs: DataFrame, path: str, end: int, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["part", "doc_id", "n", "tail", "rank", "blocks", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return stored(rows.mapInArrow(run, "part int, doc_id long, n long, tail int, rank long, blocks long, ids binary"))
+    return stored(rows.mapInArrow(H.trimmed(run), "part int, doc_id long, n long, tail int, rank long, blocks long, ids binary"))
 
 
 def packed(docs: DataFrame, path: str, end: int = 1, window: int = WINDOW) -> DataFrame:
@@ -181,4 +181,4 @@ def packed(docs: DataFrame, path: str, end: int = 1, window: int = WINDOW) -> Da
                 kinds = [pa.int64()] * 6 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in PIECE.split(", ")])
 
-    return rows.join(shift, ["part", "tail"]).mapInArrow(run, PIECE)
+    return rows.join(shift, ["part", "tail"]).mapInArrow(H.trimmed(run), PIECE)

@@ -44,7 +44,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fp = simhash_block(*H.text_bytes(batch.column("text")), shingle)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInArrow(H.trimmed(run), "doc_id long, fp long")
 
 
 def simhash_block(data: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
@@ -141,7 +141,7 @@ def links(fps: DataFrame) -> DataFrame:
                 row, key = golay_keys(own.view(np.uint64), golay)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(own[row])], ["key", "fp"])
 
-    keys = fps.select("fp").mapInArrow(run, "key long, fp long")
+    keys = fps.select("fp").mapInArrow(H.trimmed(run), "key long, fp long")
     shared = keys.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo != hi").select("key")
     near = keys.join(shared, "key").select("fp").distinct()
     flips = F.array(F.lit(0).cast("long"), *(F.expr(f"shiftleft(1L, {i})") for i in range(64)))

@@ -17,6 +17,8 @@ from tillroll.llm import hashing as H
 #: Parts kept by a worker between blocks; beyond it the store starts afresh.
 KEPT_PARTS = 1_000_000
 BLOCK_BYTES = 16 << 20
+#: Parts whose ids are looked up at once.
+STEP = 1 << 18
 
 #: White space as the tokenizers see it, and more that Python takes for it.
 _SPACES = "\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -57,7 +59,13 @@ class Lists:
         self.begins = np.cumsum(sizes) - sizes
 
     def take(self, index: np.ndarray) -> np.ndarray:
-        return self.flat[H.ranges(self.begins[index], self.sizes[index])]
+        out, end = np.empty(sum(int(self.sizes[index[at : at + STEP]].sum()) for at in range(0, len(index), STEP)), self.flat.dtype), 0
+        for at in range(0, len(index), STEP):
+            some = index[at : at + STEP]
+            found = self.flat[H.ranges(self.begins[some], self.sizes[some])]
+            out[end : end + len(found)] = found
+            end += len(found)
+        return out
 
     def joined(self, other: Lists) -> Lists:
         return Lists(np.concatenate((self.flat, other.flat)), np.concatenate((self.sizes, other.sizes)))
@@ -152,11 +160,16 @@ class Encoder:
             parts = pc.split_pattern(plain, "\0")
         else:
             parts = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
-        coded = parts.flatten().dictionary_encode()
-        number = self._numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        del plain
+        offsets, parts = parts.offsets.to_numpy(), parts.flatten()
+        coded = parts.dictionary_encode()
+        del parts
+        number = self._numbers(coded.dictionary).astype(np.int32)[coded.indices.to_numpy(zero_copy_only=False)]
+        del coded
         ids = self.parts.ids.take(number)
-        ends = np.concatenate(([0], np.cumsum(self.parts.ids.sizes[number])))[parts.offsets.to_numpy()]
-        counts = np.diff(ends)
+        ends = np.zeros(len(number) + 1, np.int64)
+        np.cumsum(self.parts.ids.sizes[number], out=ends[1:])
+        counts = np.diff(ends[offsets])
         return self._with_whole(texts, whole, ids, counts) if whole.any() else (ids, counts)
 
     def _with_whole(self, texts, whole, ids, counts):
@@ -208,5 +221,7 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray,
     """Append ``end`` to the ids of each text."""
     out = np.full(len(ids) + len(counts), end, np.uint16)
     total = counts + 1
-    out[H.ranges(np.cumsum(total) - total, counts)] = ids
+    own = np.ones(len(out), bool)
+    own[np.cumsum(total) - 1] = False
+    out[own] = ids
     return out, total
