@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tillroll.llm import collocations, tokens
+from tillroll.llm import collocations, grammar, tokens
 
 TEXT = "some words, and others; in pieces. " * 30
 
@@ -58,3 +58,29 @@ def test_tokens_take_less_than_six_times_their_block():
         out, total = tokens.with_end(ids, counts, 0)
         assert (total == counts + 1).all() and len(set(counts.tolist())) == 1
         assert (out.reshape(4000, -1)[:, :-1].ravel() == ids).all() and not out.reshape(4000, -1)[:, -1].any()
+
+
+def test_a_block_looks_known_parts_up_once(monkeypatch):
+    encoder, asked = tokens.Encoder(tokens.tokenizer_path("byte_bpe_50k.json")), []
+    places = tokens.Known.places
+    monkeypatch.setattr(tokens.Known, "places", lambda known, texts: asked.append(known) or places(known, texts))
+    texts = pa.array(["one two, three!", "", "\n1 \u00e9t\u00e9\nfour  five", " six\nseven 8 \u4e16\u754c", "one two"])
+    for some in (texts, texts[3:], texts.take(pa.array([4, 2]))):
+        asked.clear()
+        ids, counts = encoder.block(some)
+        assert len(asked) == len(set(map(id, asked)))
+        wanted = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in some.to_pylist()]
+        assert ids.tolist() == sum(wanted, []) and counts.tolist() == list(map(len, wanted))
+
+
+def test_a_file_is_packed_without_its_expansions(monkeypatch):
+    ids = np.random.default_rng(3).integers(0, 9, 5000).astype(np.uint16)
+    symbols, rules = grammar.compress(ids, 9)
+    text = [(i,) for i in range(9)]
+    for pair in rules.tolist():
+        text.append(text[pair >> 16] + text[pair & 0xFFFF])
+    sizes, flat = grammar.expansions(rules, 9)
+    assert sizes.tolist() == list(map(len, text)) and flat.tolist() == [i for t in text[9:] for i in t]
+    monkeypatch.setattr(grammar, "expansions", None)
+    raw = grammar.Shard.pack(np.arange(1), np.array([5000]), ids, 9)
+    assert grammar.Shard(raw).sizes.tolist() == sizes[9:].tolist()

@@ -94,18 +94,31 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
     return seq, rules
 
 
-def expansions(rules: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of ids of every symbol, and of the rules' expansions, one after the other."""
-    sizes = np.ones(first_rule + len(rules), np.int64)
-    text: list[np.ndarray] = []
+def rule_sizes(rules: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of every symbol, and how deep the rules of each go."""
+    sizes, depth = [1] * first_rule, [0] * first_rule
+    for left, right in zip((rules >> np.uint32(16)).tolist(), (rules & np.uint32(0xFFFF)).tolist(), strict=True):
+        sizes.append(sizes[left] + sizes[right])
+        depth.append(max(depth[left], depth[right]) + 1)
+    return np.array(sizes, np.int64), np.array(depth, np.int64)
 
-    def of(symbol: int) -> np.ndarray:
-        return text[symbol - first_rule] if symbol >= first_rule else np.array([symbol], np.uint16)
 
-    for i, pair in enumerate(rules.tolist()):
-        text.append(np.concatenate((of(pair >> 16), of(pair & 0xFFFF))))
-        sizes[first_rule + i] = len(text[-1])
-    return sizes, np.concatenate(text) if text else np.zeros(0, np.uint16)
+def expansions(rules: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of every symbol, and the rules' expansions, one after the other."""
+    sizes, depth = rule_sizes(rules, first_rule)
+    begins = np.cumsum(sizes) - sizes
+    text = np.empty(int(sizes.sum()), np.uint16)
+    text[:first_rule] = np.arange(first_rule)
+    sides = (rules >> np.uint32(16)).astype(np.int64), (rules & np.uint32(0xFFFF)).astype(np.int64)
+    order = np.argsort(depth[first_rule:], kind="stable")
+    # Rules as deep as each other need only those less deep.
+    for level in np.split(order, np.flatnonzero(np.diff(depth[first_rule:][order])) + 1) if len(order) else ():
+        to = begins[first_rule + level]
+        for side in sides:
+            symbols = side[level]
+            text[H.ranges(to, sizes[symbols])] = text[H.ranges(begins[symbols], sizes[symbols])]
+            to = to + sizes[symbols]
+    return sizes, text[first_rule:]
 
 
 class Shard:
@@ -129,7 +142,7 @@ class Shard:
     @staticmethod
     def pack(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, first_rule: int) -> bytes:
         symbols, rules = compress(ids, first_rule)
-        sizes, _ = expansions(rules, first_rule)
+        sizes, _ = rule_sizes(rules, first_rule)
         head = _HEAD.pack(MAGIC, len(doc_ids), len(rules), len(symbols), first_rule)
         parts = (doc_ids, "<i8"), (counts, "<i8"), (rules, "<u4"), (sizes[first_rule:], "<u4"), (symbols, "<u2")
         return head + b"".join(x.astype(kind).tobytes() for x, kind in parts)

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from tillroll.llm import hashing as H
 
 #: Parts kept by a worker between blocks; beyond it the store starts afresh.
-KEPT_PARTS = 1_000_000
+KEPT_PARTS = 2_000_000
 BLOCK_BYTES = 16 << 20
 #: Parts whose ids are looked up at once.
 STEP = 1 << 18
@@ -84,7 +84,22 @@ class Known:
 
     def places(self, texts: pa.Array) -> np.ndarray:
         """The number of each text, or -1."""
-        return pc.fill_null(pc.index_in(texts.cast(pa.string()), value_set=self.texts), -1).to_numpy(zero_copy_only=False)
+        return np.array(pc.fill_null(pc.index_in(texts.cast(pa.string()), value_set=self.texts), -1))
+
+
+def _cut(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Texts cut before each space and around each line end: the first part of each text, and the parts, which
+    share the bytes of the texts."""
+    data, at = H.text_bytes(texts)
+    line = data == 10
+    begins = line | (data == 32)
+    begins[1:] |= line[:-1]
+    begins[at[:-1][at[:-1] < len(data)]] = True
+    starts = np.flatnonzero(begins)
+    wide = len(data) >= 1 << 31
+    ends = np.append(starts, len(data)).astype(np.int64 if wide else np.int32)
+    parts = (pa.LargeStringArray if wide else pa.StringArray).from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data))
+    return np.searchsorted(starts, at), parts
 
 
 class Encoder:
@@ -156,12 +171,11 @@ class Encoder:
         whole = pc.match_substring_regex(texts, odd).to_numpy(zero_copy_only=False).astype(bool)
         plain = pc.if_else(pa.array(whole), pa.scalar("", texts.type), texts) if whole.any() else texts
         if self.lossless:
-            plain = pc.replace_substring(pc.replace_substring(plain, "\n", "\0\n\0"), " ", "\0 ")
-            parts = pc.split_pattern(plain, "\0")
+            offsets, parts = _cut(plain)
         else:
             parts = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
+            offsets, parts = parts.offsets.to_numpy(), parts.flatten()
         del plain
-        offsets, parts = parts.offsets.to_numpy(), parts.flatten()
         coded = parts.dictionary_encode()
         del parts
         number = self._numbers(coded.dictionary).astype(np.int32)[coded.indices.to_numpy(zero_copy_only=False)]
@@ -183,17 +197,25 @@ class Encoder:
         if len(self.parts.texts) > KEPT_PARTS:
             self.parts, self.heads = Known(), Known()
         number = self.parts.places(parts)
-        new = parts.filter(pa.array(number < 0))
-        if not len(new):
+        added = np.flatnonzero(number < 0)
+        if not len(added):
             return number
+        new = parts.take(pa.array(added))
         found = pc.extract_regex(new, pattern=_WORD)
         word = found.is_valid()
         heads, marks = (pc.struct_field(found.filter(word), i).dictionary_encode() for i in (0, 1))
-        unknown = heads.dictionary.filter(pa.array(self.heads.places(heads.dictionary) < 0))
-        self.heads.add(unknown, self._of_words(unknown))
-        head = self.heads.places(heads.dictionary)[heads.indices.to_numpy(zero_copy_only=False)]
+        head = self.heads.places(heads.dictionary)
+        unknown = np.flatnonzero(head < 0)
+        head[unknown] = len(self.heads.texts) + np.arange(len(unknown))
+        fresh = heads.dictionary.take(pa.array(unknown))
+        self.heads.add(fresh, self._of_words(fresh))
+        head = head[heads.indices.to_numpy(zero_copy_only=False)]
         others = new.filter(pc.invert(word))
         plain = pc.match_substring_regex(others, _PLAIN) if self.lossless else pc.greater(pc.binary_length(others), 0)
+        # Plain others come first, then odd ones, then words.
+        kind = np.full(len(new), 2)
+        kind[~word.to_numpy(zero_copy_only=False)] = ~plain.to_numpy(zero_copy_only=False)
+        number[added[np.argsort(kind, kind="stable")]] = len(self.parts.texts) + np.arange(len(new))
         self.parts.add(others.filter(plain), self._of_others(others.filter(plain)))
         odd = others.filter(pc.invert(plain))
         alone = [np.array(self._ids(p), np.uint16) for p in odd.to_pylist()]
@@ -208,7 +230,7 @@ class Encoder:
         flat[H.ranges(ends - first - second, first)] = self.heads.ids.take(head)
         flat[H.ranges(ends - second, second)] = tail.take(mark)
         self.parts.add(new.filter(word), Lists(flat, first + second))
-        return self.parts.places(parts)
+        return number
 
 
 @lru_cache(maxsize=2)
