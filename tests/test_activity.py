@@ -14,6 +14,7 @@ from tillroll.domain import ACTIVITY_WINDOWS, BANNER_GROUPS, FLAG_CHANNELS, LOCA
 from tillroll.functions.calendar import WeeklyBounds, week_end
 from tillroll.operators.activity import flags_per_week, weekly_bitmaps, with_history
 from tillroll.operators.spans import flag_in_window, spread_weeks
+from tillroll.plans import activity
 from tillroll.plans.activity import card_transactions, household_transactions, household_transactions_from_sales
 
 AS_OF = datetime(2001, 8, 1)
@@ -225,3 +226,23 @@ def test_flag_in_window_takes_any_window(spark):
     )
     rows = flag_in_window(spine, events, "k", "day", "lo", "hi", "hit", F.col("kind") == 1).collect()
     assert [(r.k, r.lo, r.hit) for r in rows] == [("a", date(2001, 1, 3), 1)]
+
+
+def test_packed_flags_unpack_to_the_flags_over_several_integers(spark):
+    groups = {f"g{n}": (banner,) for n, banner in enumerate(("SOF", "BLF", "QF", "UF", "NM", "PSF"))}
+    days = [date(2001, 7, 7) - timedelta(weeks=3 * n) for n in range(9)]
+    sales = [sale(day, txn=n, store=1 + n % 5, flag=(IN_STORE, ECOMM)[n % 2]) for n, day in enumerate(days)]
+    tables = gold(spark, sales, [(10, "5", "7", "Customer Card", CURRENT)])
+    histories = activity.card_histories(tables, WeeklyBounds.of(AS_OF.date()), groups)
+    packed = {
+        "card_transactions": (activity.packed_card_flags(histories, AS_OF, groups=groups), activity.card_flags(histories, AS_OF, groups=groups)),
+        "household_transactions": (
+            activity.packed_household_flags(histories, tables.customer_dim, AS_OF, groups=groups),
+            activity.household_flags(histories, tables.customer_dim, AS_OF, groups=groups),
+        ),
+    }
+    for name, (narrow, wide) in packed.items():
+        assert len(wide.columns) > 36 and len(narrow.columns) == 4
+        back = activity.unpacked(narrow, name, AS_OF, groups)
+        assert back.dtypes == wide.dtypes and wide.count() > 20
+        assert sorted(map(str, back.collect())) == sorted(map(str, wide.collect()))

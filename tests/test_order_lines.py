@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 
+from tillroll.operators.key_filters import join_few
 from tillroll.sources import star
 
 
@@ -32,3 +33,18 @@ def test_stored_lines_give_the_same_sales_without_joining_again(spark, folder):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() > 4
         assert "Join" in a._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in b._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_other_stores_are_dropped_before_orders_are_joined(spark, folder):
+    raw = star.RawTables(spark, str(folder))
+    raw.customer, raw.supplier, raw.part = (spark.createDataFrame([], star.SCHEMAS[n]) for n in ("customer", "supplier", "part"))
+    sales, older = star.retail_sale_fact(raw), star.silver_of(raw).retail_sale
+    stores = spark.createDataFrame([(1, "SOF"), (1, "BLF"), (9, "SOF"), (None, "SOF")], "store bigint, banner string")
+    for df, key in ((sales, "location_hk"), (older, "store_number")):
+        named = stores.withColumnRenamed("store", key)
+        found = join_few(df, named, key)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("l_orderkey") < plan.index("LeftSemi")
+        # Stores that repeat count each time, as in the plain join.
+        assert sorted(map(str, found.collect())) == sorted(map(str, df.join(named, key).collect()))
+        assert found.count() == 2 * df.count() > 8

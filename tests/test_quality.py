@@ -1,10 +1,11 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_hot_keys import _shuffled
 from tillroll.domain import Settings, flag_columns
 from tillroll.operators import quality
 from tillroll.plans import checks, refresh
@@ -127,3 +128,26 @@ def test_counted_row_checks_read_no_table(spark, tmp_path):
     assert results[checks.FLAG_NULL_CHECK] == "Pass" and results[checks.FLAG_VALUE_CHECK] == "Fail"
     reading = [v for v in verdicts if "parquet" in v._jdf.queryExecution().optimizedPlan().toString()]
     assert [v.collect()[0].test_case_name for v in reading] == [checks.DUPLICATE_CHECK]
+
+
+def test_repeated_days_are_found_wherever_keys_and_days_repeat(spark):
+    days = [date(1969, 12, 27), date(2001, 7, 7), date(2001, 7, 8), date(2001, 7, 7) + timedelta(weeks=64), None]
+    once = [(key, day) for key in ("a", "b", None) for day in days]
+    once += [("weekly", date(1998, 1, 3) + timedelta(weeks=n)) for n in range(300)]
+    schema = "key string, day date"
+    assert quality.repeated_days(spark.createDataFrame(once, schema), ["key"], "day").isEmpty()
+    for row in [*once[:15], once[20], once[-1]]:
+        df = spark.createDataFrame([*once, row], schema)
+        assert not quality.duplicate_keys(df, ["key", "day"]).isEmpty()
+        assert quality.repeated_days(df, ["key"], "day").count() == 1
+
+
+def test_weekly_rows_are_not_moved_one_by_one_to_find_repeated_ones(spark):
+    weeks = spark.range(0, 6000, 1, 2).selectExpr("string(id % 30) AS key", "date_add(date'1998-01-03', int(7 * (id div 30))) AS day")
+    assert weeks.distinct().count() == 6000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert max(_shuffled(quality.duplicate_keys(weeks, ["key", "day"]))) == 6000
+        assert max(_shuffled(quality.repeated_days(weeks, ["key"], "day"))) <= 2 * 30 * 5
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -21,6 +21,8 @@ from tillroll.functions.calendar import week_end_of_number, week_number, week_nu
 
 BLOCK_WEEKS = 32
 _BLOCK_BITS = 5
+# Flags that are packed into one integer.
+_WORD_FLAGS = 30
 
 
 def weekly_bitmaps(events: DataFrame, key: str, event_date: str, series: Mapping[str, Column]) -> DataFrame:
@@ -63,6 +65,48 @@ def flags_per_week(
 
     ``windows`` maps a name to its newest and oldest week, counted in weeks ago.
     """
+    weeks, week_end, hits = _weeks(histories, key, presence, series, windows, first_week, last_week)
+    return weeks.select(key, week_end, *[hit.cast("int").alias(name) for name, hit in hits.items()])
+
+
+def packed_flags_per_week(
+    histories: DataFrame,
+    key: str,
+    presence: str,
+    series: Sequence[str],
+    windows: Mapping[str, tuple[int, int]],
+    first_week: date,
+    last_week: date,
+) -> DataFrame:
+    """``flags_per_week`` with its flags as the bits of integers, for rows that are still to be moved or
+    sorted; ``unpack_words`` makes the columns."""
+    weeks, week_end, hits = _weeks(histories, key, presence, series, windows, first_week, last_week)
+    words = [
+        reduce(lambda a, b: a.bitwiseOR(b), [F.when(hits[name], F.lit(1 << i)).otherwise(F.lit(0)) for i, name in enumerate(names)]).alias(word)
+        for word, names in _words(list(hits)).items()
+    ]
+    return weeks.select(key, week_end, *words)
+
+
+def unpack_words(flags: Sequence[str]) -> list[Column]:
+    """The 0/1 columns named by ``flags``, which are those of ``flags_per_week`` in its order."""
+    return [column for word, names in _words(flags).items() for column in unpack_flags(word, names)]
+
+
+def _words(flags: Sequence[str]) -> dict[str, Sequence[str]]:
+    return {f"_flags_{at}": flags[at : at + _WORD_FLAGS] for at in range(0, len(flags), _WORD_FLAGS)}
+
+
+def _weeks(
+    histories: DataFrame,
+    key: str,
+    presence: str,
+    series: Sequence[str],
+    windows: Mapping[str, tuple[int, int]],
+    first_week: date,
+    last_week: date,
+) -> tuple[DataFrame, Column, dict[str, Column]]:
+    """The rows of ``flags_per_week``, the end of their week and the conditions of their flags."""
     lookback = max(oldest for _, oldest in windows.values())
     if lookback > BLOCK_WEEKS:
         raise ValueError(f"windows reach {lookback} weeks back; beyond {BLOCK_WEEKS}, use long_flags_per_week")
@@ -84,15 +128,10 @@ def flags_per_week(
         .select(key, "block", presence, *series, slots)
         .filter(number.between(first, last) & hit(presence, 0, lookback))
     )
-    return weeks.select(
-        key,
-        week_end_of_number(number).alias("week_end_date"),
-        *[
-            hit(name, newest, oldest).cast("int").alias(f"{name}_{window}_flag")
-            for name in series
-            for window, (newest, oldest) in windows.items()
-        ],
-    )
+    hits = {
+        f"{name}_{window}_flag": hit(name, newest, oldest) for name in series for window, (newest, oldest) in windows.items()
+    }
+    return weeks, week_end_of_number(number).alias("week_end_date"), hits
 
 
 def with_long_history(bitmaps: DataFrame, key: str, series: Sequence[str], blocks_back: int) -> DataFrame:

@@ -17,6 +17,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("cnt")).filter(F.col("cnt") > 1)
 
 
+def repeated_days(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Empty if and only if ``duplicate_keys`` of ``keys`` and the date ``day`` is: the keys, with a stretch of 64
+    weeks and a day of the week, that have more rows than days. A row and bitmap stand for a key's weeks in a stretch,
+    formed before the shuffle, so that weekly rows are not moved one by one."""
+    number = F.unix_date(day)
+    weekday = F.pmod(number, F.lit(7))
+    week = ((number - weekday) / 7).cast("bigint")
+    held = F.call_function("shiftleft", F.lit(1).cast("bigint"), week.bitwiseAND(63).cast("int"))
+    days = F.coalesce(F.bit_count(F.bit_or(held)), F.lit(1))
+    grouped = df.groupBy(*keys, weekday.alias("_weekday"), F.shiftright(week, 6).alias("_stretch"))
+    return grouped.agg(F.count("*").alias("cnt"), days.alias("_days")).filter(F.col("cnt") > F.col("_days"))
+
+
 def any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(name).isNull() for name in columns])
 

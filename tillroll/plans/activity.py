@@ -28,11 +28,14 @@ from tillroll.operators.activity import (
     merge_keys,
     merge_long_keys,
     pack_flags,
+    packed_flags_per_week,
     unpack_flags,
+    unpack_words,
     weekly_bitmaps,
     with_history,
     with_long_history,
 )
+from tillroll.operators.key_filters import join_few
 from tillroll.operators.versions import latest_version
 from tillroll.plans.daily_sales import financial_items
 from tillroll.sources.tables import GoldTables
@@ -62,12 +65,10 @@ def weekly_facts(
     stores = tables.location_dim.filter(
         F.col("current_banner_short_name").isin(*banners) & F.col("location_type").isin(*location_types)
     ).select("location_hk", "current_banner_short_name")
-    return (
-        tables.retail_sale_fact.filter(F.col("fiscal_date").between(bounds.fact_first_day, bounds.last_day))
-        .select("fiscal_date", "location_hk", "item_hk", "customer_hk", "ecomm_flag")
-        .join(stores, "location_hk")
-        .join(financial_items(tables.item_dim), "item_hk")
+    facts = tables.retail_sale_fact.filter(F.col("fiscal_date").between(bounds.fact_first_day, bounds.last_day)).select(
+        "fiscal_date", "location_hk", "item_hk", "customer_hk", "ecomm_flag"
     )
+    return join_few(facts, stores, "location_hk").join(financial_items(tables.item_dim), "item_hk")
 
 
 def _series(bounds: WeeklyBounds, groups: Mapping[str, Sequence[str]]) -> dict[str, Column]:
@@ -119,19 +120,34 @@ def card_flags(
     groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
 ) -> DataFrame:
     """The card table from bitmaps that ``card_histories`` made for the same run date, months and groups."""
-    bounds = WeeklyBounds.of(as_of.date(), months)
-    flags = flags_per_week(
-        histories,
-        "card_number",
-        _PRESENCE,
-        series_names(groups),
-        ACTIVITY_WINDOWS,
-        bounds.card_first_week,
-        bounds.last_day,
-    )
+    flags = flags_per_week(histories, *_card_weeks(as_of, months, groups))
     return stamped(flags, as_of, "dl_load_dt", "dl_update_dt").select(*table_columns(groups)["card_transactions"])
 
 
+def packed_card_flags(
+    histories: DataFrame,
+    as_of: datetime,
+    months: int = HISTORY_MONTHS,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+) -> DataFrame:
+    """The rows of ``card_flags`` before ``unpacked``: a third as wide, for the way to the writer."""
+    return packed_flags_per_week(histories, *_card_weeks(as_of, months, groups))
+
+
+def unpacked(
+    packed: DataFrame, table: str, as_of: datetime, groups: Mapping[str, Sequence[str]] = BANNER_GROUPS
+) -> DataFrame:
+    """The card or household table from its packed rows."""
+    columns = table_columns(groups)[table]
+    flags = packed.select(columns[0], columns[1], *unpack_words(flag_columns(groups)))
+    return stamped(flags, as_of, *[name for name in columns if name not in flags.columns]).select(*columns)
+
+
+def _card_weeks(as_of: datetime, months: int, groups: Mapping[str, Sequence[str]]) -> tuple:
+    bounds = WeeklyBounds.of(as_of.date(), months)
+    return "card_number", _PRESENCE, series_names(groups), ACTIVITY_WINDOWS, bounds.card_first_week, bounds.last_day
+
+
 def household_transactions(
     card_flags: DataFrame,
     customer_dim: DataFrame,
@@ -180,19 +196,28 @@ def household_flags(
     This is exact because the household weeks start 25 weeks after the card weeks: whatever a row
     looks back on also made a card row.
     """
+    flags = flags_per_week(*_household_weeks(card_bitmaps, customer_dim, as_of, months, groups))
+    return stamped(flags, as_of, "dl_load_dt").select(*table_columns(groups)["household_transactions"])
+
+
+def packed_household_flags(
+    card_bitmaps: DataFrame,
+    customer_dim: DataFrame,
+    as_of: datetime,
+    months: int = HISTORY_MONTHS,
+    groups: Mapping[str, Sequence[str]] = BANNER_GROUPS,
+) -> DataFrame:
+    """The rows of ``household_flags`` before ``unpacked``."""
+    return packed_flags_per_week(*_household_weeks(card_bitmaps, customer_dim, as_of, months, groups))
+
+
+def _household_weeks(
+    card_bitmaps: DataFrame, customer_dim: DataFrame, as_of: datetime, months: int, groups: Mapping[str, Sequence[str]]
+) -> tuple:
     bounds = WeeklyBounds.of(as_of.date(), months)
     histories = card_bitmaps.join(household_of_card(customer_dim), "card_number")
-    series = [_PRESENCE, *series_names(groups)]
-    flags = flags_per_week(
-        merge_keys(histories, "hhn", series),
-        "hhn",
-        _PRESENCE,
-        series_names(groups),
-        ACTIVITY_WINDOWS,
-        bounds.household_first_week,
-        bounds.last_day,
-    )
-    return stamped(flags, as_of, "dl_load_dt").select(*table_columns(groups)["household_transactions"])
+    merged = merge_keys(histories, "hhn", [_PRESENCE, *series_names(groups)])
+    return merged, "hhn", _PRESENCE, series_names(groups), ACTIVITY_WINDOWS, bounds.household_first_week, bounds.last_day
 
 
 def activity_in_windows(

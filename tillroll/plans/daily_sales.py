@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillroll.domain import HISTORY_MONTHS, SOF_BANNERS, TABLE_COLUMNS
 from tillroll.functions.calendar import DailyBounds
 from tillroll.functions.retail import sales_channel, stamped
+from tillroll.operators.key_filters import join_few
 from tillroll.operators.skew import join_spread
 from tillroll.sources.tables import GoldTables
 
@@ -28,11 +29,8 @@ def daily_facts(
     """Facts of financial items sold under ``banners`` on the days the daily tables cover."""
     bounds = DailyBounds.of(as_of.date(), months)
     stores = tables.location_dim.filter(F.col("current_banner_short_name").isin(*banners)).select("location_hk")
-    return (
-        tables.retail_sale_fact.filter(F.col("fiscal_date").between(bounds.first_day, bounds.last_day))
-        .join(stores, "location_hk")
-        .join(financial_items(tables.item_dim), "item_hk")
-    )
+    facts = tables.retail_sale_fact.filter(F.col("fiscal_date").between(bounds.first_day, bounds.last_day))
+    return join_few(facts, stores, "location_hk").join(financial_items(tables.item_dim), "item_hk")
 
 
 def pos_daily_agg_card(

@@ -90,6 +90,8 @@ class Store:
         observations = []
 
         def counting(rows: DataFrame) -> DataFrame:
+            if name in PACKED:
+                rows = activity.unpacked(rows, name, self.as_of, self.settings.banner_groups)
             watched, observation = quality.counting(rows, checks.row_violations(name, self.settings))
             observations.append(observation)
             return watched
@@ -168,12 +170,12 @@ def _shop_dates_by_household(run: Run) -> DataFrame:
 
 
 def _activity_by_card(run: Run) -> DataFrame:
-    return activity.card_flags(run.card_histories, run.store.as_of, groups=run.store.settings.banner_groups)
+    return activity.packed_card_flags(run.card_histories, run.store.as_of, groups=run.store.settings.banner_groups)
 
 
 def _activity_by_household(run: Run) -> DataFrame:
     store = run.store
-    return activity.household_flags(
+    return activity.packed_household_flags(
         run.card_histories, store.gold.customer_dim, store.as_of, groups=store.settings.banner_groups
     )
 
@@ -182,6 +184,9 @@ def _household_type(run: Run) -> DataFrame:
     return household_types.household_type(run.store.gold.customer_dim, run.store.as_of)
 
 
+# Tables whose builders give packed flags, which become columns at the writer.
+PACKED = ("card_transactions", "household_transactions")
+
 # In dependency order: daily sales and shop dates of households are built from the stored card tables.
 BUILDERS: dict[str, Callable[[Run], DataFrame]] = {
     "pos_daily_agg_card": _daily_by_card,

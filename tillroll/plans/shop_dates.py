@@ -21,6 +21,7 @@ from tillroll.domain import (
 from tillroll.functions.calendar import last_saturday
 from tillroll.functions.retail import stamped
 from tillroll.operators.extremes import first_last, merge_first_last, overall, pivot_first_last
+from tillroll.operators.key_filters import join_few
 from tillroll.operators.versions import latest_version
 from tillroll.sources.tables import SilverTables
 
@@ -73,7 +74,7 @@ def customer_shop_dates(
         F.col("ecomm_flag").isin(*SHOP_CHANNELS.values()) & (F.col("fiscal_date").cast("date") <= last_day)
     )
     visits = (
-        sales.join(stores, "store_number")
+        join_few(sales, stores, "store_number")
         .join(items, "item_id")
         .withColumn("fiscal_date", F.col("fiscal_date").cast("date"))
     )

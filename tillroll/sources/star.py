@@ -25,11 +25,6 @@ SCHEMAS = {
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
 }
-# What sales are made of.
-_LINE_COLUMNS = [
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-    "l_returnflag", "l_linestatus", "o_custkey", "o_orderdate",
-]
 _BANNERS = ["SOF", "UF", "PSF", "BLF", "NM", "MFF", "QF", "OTH", "SOF"]
 _TYPES = ["ST", "CS", "LS", "WH", "ST"]
 
@@ -48,8 +43,26 @@ class RawTables:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        lines = self.lineitem.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines if self.folder is None else stored(lines.select(*_LINE_COLUMNS), f"{self.folder}/order_lines")
+        """What sales are made of. All that is worked out of a line or an order is so below the join: with nothing but
+        names above it, Spark moves semi joins of sales below the join too."""
+        price = F.col("l_extendedprice").cast("decimal(18,2)")
+        tax = F.col("l_tax").cast("decimal(4,2)")
+        lines = self.lineitem.select(
+            "l_orderkey",
+            "l_partkey",
+            "l_suppkey",
+            "l_linenumber",
+            _ecomm_flag().alias("ecomm_flag"),
+            (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias("merch_sales"),
+            F.when(F.col("l_tax") > 0, price * tax).alias("merch_scan_margin"),
+            F.col("l_quantity").cast("bigint").alias("unit_count"),
+            F.lit(1).alias("item_count"),
+        )
+        orders = self.orders.select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_orderdate").cast("date").alias("order_day"))
+        joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+        if self.folder is None:
+            return joined
+        return stored(joined.drop("item_count"), f"{self.folder}/order_lines").withColumn("item_count", F.lit(1))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
@@ -78,20 +91,18 @@ def _location_columns() -> list[Column]:
 
 
 def retail_sale_fact(raw: RawTables) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    tax = F.col("l_tax").cast("decimal(4,2)")
     return raw.order_lines.select(
-        F.col("o_orderdate").cast("date").alias("fiscal_date"),
+        F.col("order_day").alias("fiscal_date"),
         F.col("l_orderkey").alias("transaction_number"),
         F.col("o_custkey").alias("customer_hk"),
         F.col("l_suppkey").alias("location_hk"),
         F.col("l_partkey").alias("item_hk"),
         F.col("l_linenumber").alias("register_hk"),
-        _ecomm_flag().alias("ecomm_flag"),
-        (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).alias("merch_sales"),
-        F.when(F.col("l_tax") > 0, price * tax).alias("merch_scan_margin"),
-        F.col("l_quantity").cast("bigint").alias("unit_count"),
-        F.lit(1).alias("item_count"),
+        "ecomm_flag",
+        "merch_sales",
+        "merch_scan_margin",
+        "unit_count",
+        "item_count",
     )
 
 
@@ -159,7 +170,7 @@ def silver_of(raw: RawTables) -> SilverTables:
         F.col("o_custkey").alias("customer_id"),
         F.col("l_suppkey").alias("store_number"),
         F.col("l_partkey").alias("item_id"),
-        _ecomm_flag().alias("ecomm_flag"),
+        "ecomm_flag",
     )
     customers = customer_dim(raw).select(F.col("customer_hk").alias("ldw_customer_id"), "card_number", "eff_to_dt")
 
