@@ -302,6 +302,17 @@ def test_leaks_of_odd_rows_and_blocks_of_items(spark):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - {d for d, _ in expected}
 
 
+@pytest.mark.parametrize("block_words", [leaks.BLOCK_WORDS, 20])
+def test_the_driver_makes_no_index_of_the_benchmark(spark, monkeypatch, block_words):
+    """Only tasks do; the driver's memory does not follow the number of items."""
+    items = [(i, " ".join(f"item{i}word{k}" for k in range(6 + i % 30))) for i in range(40)]
+    docs = spark.createDataFrame([(i, f"before {text} after") for i, text in items] + [(99, "nothing of it")], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(leaks, "Index", None)
+    found = leaks.leaks(docs, bench, block_words=block_words).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits, r.first_word, r.n_words) for r in found) == [(i, i, 0, 1, 6 + i % 30) for i, _ in items]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 4), min_size=1, max_size=12), st.lists(st.integers(0, 4), max_size=30))
 def test_bit_parallel_distances(a, b):

@@ -13,16 +13,17 @@ edit are looked up by the hash of all their words.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import hashing as H
 from tillroll.llm.columns import rows_of
+from tillroll.llm.store import stored
 
 #: Words of benchmark items held by a task at once; larger benchmarks are searched in several passes.
 BLOCK_WORDS = 1_000_000
@@ -129,10 +130,24 @@ def walks_needed(size: int, edits: int, steps: int, target: float = TARGET) -> i
     return walk
 
 
+def steps_of(size: int, similarity: float) -> int:
+    """Steps of the walks of an item of ``size`` words; none for one without edits."""
+    return next(steps for least, steps in STEPS if least <= size) if edits_allowed(size, similarity) else 0
+
+
+def walks_of(sizes: Iterable[int], similarity: float) -> dict[int, int]:
+    """The walks that items of these sizes need, by the steps of their walks."""
+    walks: dict[int, int] = {}
+    for size in {size for size in sizes if size >= LEAST_WORDS}:
+        if steps := steps_of(size, similarity):
+            walks[steps] = max(walks.get(steps, 0), walks_needed(size, edits_allowed(size, similarity), steps))
+    return walks
+
+
 class Index:
-    """The keys of a block of benchmark items."""
+    """The keys of a block of benchmark items; ``walks`` has the number of walks by their steps, if it is known."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY):
+    def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, walks: dict[int, int] | None = None):
         texts = pa.array([text for _, text in items], pa.large_string())
         hashes, first = word_hashes(*H.text_bytes(texts))
         self.item_ids = [item for item, _ in items]
@@ -144,24 +159,30 @@ class Index:
             size = len(words)
             if size < LEAST_WORDS:
                 continue
-            if not edits_allowed(size, similarity):
-                whole.setdefault(size, []).append(number)
-            else:
-                walked.setdefault(next(s for least, s in STEPS if least <= size), []).append(number)
-        self.whole = {size: _table((H.gram_hashes(self.words[n], size), n, np.zeros(1, np.int64)) for n in numbers) for size, numbers in whole.items()}
-        self.walks = {
-            steps: max(walks_needed(size, edits_allowed(size, similarity), steps) for size in {len(self.words[n]) for n in numbers})
-            for steps, numbers in walked.items()
-        }
-        self.tables = {steps: _table(self._entries(steps, numbers)) for steps, numbers in walked.items()}
-
-    def _entries(self, steps: int, numbers: list[int]) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-        for number in numbers:
-            words = self.words[number]
-            starts = starts_of(words, steps)
-            for key, stop in walk_keys(words, starts, steps, range(self.walks[steps])):
-                inside = stop <= len(words)
-                yield key[inside], number, starts[inside]
+            steps = steps_of(size, similarity)
+            (walked.setdefault(steps, []) if steps else whole.setdefault(size, [])).append(number)
+        self.whole = {size: _table([self._whole(size, np.array(numbers, np.int32))]) for size, numbers in whole.items()}
+        self.walks = walks if walks is not None else walks_of(map(len, self.words), similarity)
+        self.tables = {steps: _table(self._entries(steps, np.array(numbers, np.int32))) for steps, numbers in walked.items()}
+
+    def _whole(self, size: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = H.gram_hashes(np.concatenate([self.words[n] for n in numbers]), size)[::size]
+        return keys, numbers, np.zeros(len(numbers), np.int32)
+
+    def _entries(self, steps: int, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Keys, items and positions in them of each walk and table, of all items at once."""
+        words = [self.words[n] for n in numbers]
+        # Behind each item as many empty words as a walk may take beyond its end.
+        begin = np.concatenate(([0], np.cumsum([len(w) + steps for w in words])))
+        laid_out = np.zeros(begin[-1], np.uint64)
+        for a, w in zip(begin.tolist(), words, strict=False):
+            laid_out[a : a + len(w)] = w
+        offsets = [starts_of(w, steps) for w in words]
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), [len(x) for x in offsets])
+        offset = np.concatenate(offsets).astype(np.int32)
+        for key, stop in walk_keys(laid_out, begin[owner] + offset, steps, range(self.walks[steps])):
+            inside = stop <= begin[owner + 1] - steps
+            yield key[inside], numbers[owner[inside]], offset[inside]
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word positions, item numbers and positions in the items, of all equal keys."""
@@ -178,10 +199,9 @@ class Index:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _table(entries: Iterator[tuple[np.ndarray, int, np.ndarray]]) -> tuple[np.ndarray, ...]:
+def _table(entries: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys, and for the entries of each key the items and positions."""
-    keys, numbers, offsets = zip(*((key, np.full(len(key), number), offset) for key, number, offset in entries), strict=True)
-    key, number, offset = np.concatenate(keys), np.concatenate(numbers), np.concatenate(offsets)
+    key, number, offset = (np.concatenate(x) for x in zip(*entries, strict=True))
     order = np.argsort(key, kind="stable")
     unique, first_entry = np.unique(key[order], return_index=True)
     return unique, np.append(first_entry, len(key)), number[order], offset[order]
@@ -221,8 +241,47 @@ def nearest(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _candidates(docs: DataFrame, index: Index, similarity: float) -> DataFrame:
+@lru_cache(maxsize=1)
+def _index(items: bytes, walks: tuple[tuple[int, int], ...], similarity: float) -> Index:
+    """The index of a packed block, which a worker makes once for its tasks."""
+    with pa.ipc.open_stream(pa.py_buffer(items)) as reader:
+        index = Index([tuple(r.values()) for r in reader.read_all().to_pylist()], similarity, dict(walks))
+    H.trim()
+    return index
+
+
+def _packed(items: DataFrame) -> bytes:
+    """The items, sorted, as bytes for the tasks."""
+    rows = sorted(((r[0], r[1]) for r in items.collect()), key=str)
+    table = pa.table([pa.array([x[k] for x in rows], kind) for k, kind in enumerate((pa.int64(), pa.large_string()))], ["item_id", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _sizes(items: DataFrame, parts: int) -> dict[int, list[int]]:
+    """The different numbers of words of each block's items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in H.blocks(batches):
+            _, first = word_hashes(*H.text_bytes(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(np.diff(first).astype(np.int64))], ["part", "size"])
+
+    rows = items.select(_part(parts).cast("long").alias("part"), "text").mapInArrow(H.trimmed(run), "part long, size long")
+    found: dict[int, list[int]] = {}
+    for part, size in rows.distinct().collect():
+        found.setdefault(part, []).append(size)
+    return found
+
+
+def _part(parts: int) -> Column:
+    return F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+
+
+def _candidates(docs: DataFrame, items: bytes, walks: tuple[tuple[int, int], ...], similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(items, walks, similarity)
         for batch in H.blocks(batches):
             hashes, first = word_hashes(*H.text_bytes(batch.column("text")))
             position, number, offset = index.hits(hashes)
@@ -280,17 +339,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     three words, empty or null ones are not looked for; null texts have no words; a null doc_id or
     item_id is carried like any other; repeated rows give one row; empty tables give an empty result.
     The benchmark is the query set: it is held by the tasks in blocks of ``block_words`` words, each
-    of which is one pass over all documents.
+    of which is one pass over all documents. The driver holds the texts of one block at a time, and the
+    tasks make its index.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, math.ceil(total / (5 * block_words)))
+    sizes = _sizes(items, parts)
     found = []
     for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        index = Index(sorted(((r[0], r[1]) for r in rows), key=str), similarity)
-        found.append(_candidates(texts, index, similarity))
+        walks = tuple(sorted(walks_of(sizes.get(part, []), similarity).items()))
+        hits = _candidates(texts, _packed(items.where(_part(parts) == part)), walks, similarity)
+        # Stored, so that the block can go before the next one comes.
+        found.append(stored(hits) if parts > 1 else hits)
     candidates = reduce(DataFrame.union, found).dropDuplicates()
     best = F.min(F.struct("edits", "first_word", "similarity", "n_words")).alias("best")
     return (
