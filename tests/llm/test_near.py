@@ -372,6 +372,86 @@ def test_holders_of_parts_of_a_passage_hide_no_holder_of_the_whole(spark, parts)
         assert [(r.doc_id, r.other_id, r.first_word, r.last_word) for r in found] == [(20, 10, 50, 109)]
 
 
+def passages_of_all_pairs(texts: list[str]) -> set:
+    """Passages between any two different texts, by matching every place of every seed in both."""
+    words = []
+    for text in texts:
+        block = hashing.Words(hashing.LOWER[np.frombuffer(text.encode(), np.uint8)], np.array([0, len(text.encode())]), hashing.LETTERS)
+        words.append(block.hashes())
+    places = []
+    for own in words:
+        grams = hashing.gram_hashes(own, chains.SEED_WORDS)
+        at = chains._chosen(grams, chains.SEED_WINDOW) if len(grams) else np.zeros(0, int)
+        zero = np.zeros(len(at), int)
+        places.append(list(zip(*(x.tolist() for x in chains._runs(grams[at], zero, at, zero)), strict=True)) if len(at) else [])
+    found = set()
+    for i, j in ((i, j) for i in range(len(texts)) for j in range(i)):
+        met = set()
+        for seed, _, x, n, _ in places[i]:
+            for other, _, y, m, _ in places[j]:
+                if seed == other:
+                    least = min(n, m)
+                    met |= {(x, y, least), (x + n - least, y + m - least, least)}
+        if not met:
+            continue
+        x, y, size = chains.segments(*(np.array(v) for v in zip(*sorted(met), strict=True)))
+        for links in chains.chain(x, y, size):
+            if x[links[-1]] + size[links[-1]] - x[links[0]] >= chains.LEAST_CHAIN:
+                for x0, y0, x1, y1, edits in chains.align(words[i], words[j], x[links], y[links], size[links]):
+                    n = max(x1 - x0, y1 - y0)
+                    if n >= chains.LEAST_PASSAGE and edits <= (1 - chains.SIMILARITY) * n:
+                        found.add((i, j, x0, x1 - 1, y0, y1 - 1, edits))
+    return found
+
+
+@pytest.mark.parametrize("few", [1, 12, chains.FEW])
+def test_passages_are_those_of_all_pairs(spark, monkeypatch, few):
+    """Edited passages, common lines, repeated words and sentences: no pair is left out, however many documents share a seed."""
+    rng = random.Random(few)
+
+    def own(n):
+        return [f"own{rng.randrange(10**9)}" for _ in range(n)]
+
+    passages = [own(70), own(50), own(90)]
+    lines = [own(12), own(14), own(7), ["again"] * 30, (own(9) * 6)[:50]]
+    texts = []
+    for i in range(45):
+        words = own(rng.randrange(5, 40))
+        for _ in range(rng.randrange(1, 4)):
+            part = list(rng.choice(passages + lines))
+            for _ in range(rng.choice([0, 1, 3, 6])):
+                at = rng.randrange(len(part))
+                part[at : at + 1] = rng.choice([[], own(1), [part[at], *own(1)]])
+            words += part * rng.choice([1, 1, 2]) + own(rng.choice([0, 3, 30]))
+        texts.append(" ".join(words))
+    texts += ["again " * n for n in (60, 61, 90)]
+    monkeypatch.setattr(chains, "FEW", few)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.other_id, r.first_word, r.last_word, r.other_first, r.other_last, r.edits) for r in chains.passages(docs).collect()}
+    expected = passages_of_all_pairs(texts)
+    assert got == expected
+    assert len({x[:2] for x in expected}) > 150
+
+
+def test_copies_stand_under_their_first_document(spark):
+    rng = random.Random(5)
+    passage, text = (" ".join(f"own{rng.randrange(10**9)}" for _ in range(n)) for n in (60, 33))
+    rows = [(1, f"a b {passage}"), (2, f"c {passage}"), (3, f"a b {passage}"), (3, f"a b {passage}"), (4, f"c {passage}"), (5, text), (6, text), (None, text), (7, "short"), (8, "short")]
+    got = chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    whole = lambda a, b, n: (a, b, 0, n - 1, 0, n - 1, 0)
+    assert sorted((tuple(r)[:7] for r in got), key=str) == sorted([(2, 1, 1, 60, 2, 61, 0), whole(3, 1, 62), whole(4, 2, 61), whole(5, None, 33), whole(6, None, 33)], key=str)
+
+
+def test_texts_under_one_doc_id(spark):
+    """They give nothing between them, but a text that other documents have too is met under one of these."""
+    rng = random.Random(6)
+    passage = " ".join(f"own{rng.randrange(10**9)}" for _ in range(60))
+    rows = [(1, f"a {passage}"), (1, f"b {passage}")]
+    assert chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect() == []
+    got = chains.passages(spark.createDataFrame([*rows, (2, f"b {passage}")], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.other_id, r.first_word, r.last_word) for r in got} == {(2, 1, 1, 60), (2, 1, 0, 60)}
+
+
 def test_chain_prefers_order_and_leaves_strays_out():
     x = np.array([0, 10, 20, 12, 30])
     y = np.array([100, 110, 121, 400, 131])
